@@ -240,13 +240,17 @@ def format_segments(seg: DataFrame, p: DetectParams) -> DataFrame:
             ordinal_to_iso("bday_n").alias("bday"),
             _f(F.col("chprob")).alias("chprob"),
             F.col("curqa").cast("int").alias("curqa")]
-    series_to_band = {v: k for k, v in BAND_SERIES.items()}
-    names = {b: BAND_PREFIX.get(series_to_band.get(b, b), b) for b in p.bands}
+    # bands not detected on (e.g. a one band run) give null columns
+    by_band = {b: BAND_SERIES[b] if BAND_SERIES[b] in p.bands else None for b in BANDS}
+    null_f = F.lit(None).cast("float")
     for part, src in (("mag", "mag_{}"), ("rmse", "rmse_{}")):
-        cols += [_f(F.col(src.format(b))).alias(names[b] + part) for b in p.bands]
-    cols += [F.array(*[_f(F.col(f"b_{b}_{i}")) for i in range(1, p.terms)]).alias(names[b] + "coef")
-             for b in p.bands]
-    cols += [_f(F.col(f"b_{b}_0")).alias(names[b] + "int") for b in p.bands]
+        cols += [(_f(F.col(src.format(s))) if s else null_f).alias(BAND_PREFIX[b] + part)
+                 for b, s in by_band.items()]
+    cols += [(F.array(*[_f(F.col(f"b_{s}_{i}")) for i in range(1, p.terms)]) if s
+              else F.lit(None).cast("array<float>")).alias(BAND_PREFIX[b] + "coef")
+             for b, s in by_band.items()]
+    cols += [(_f(F.col(f"b_{s}_0")) if s else null_f).alias(BAND_PREFIX[b] + "int")
+             for b, s in by_band.items()]
     return seg.select(*cols)
 
 
@@ -278,12 +282,12 @@ def processing_mask(obs: DataFrame, used: DataFrame, keys=PIXEL) -> DataFrame:
                     F.transform(F.col("_s.m"), lambda m: m.cast("tinyint")).alias("mask"))
 
 
-def detect(obs: DataFrame, p: DetectParams | None = None) -> DataFrame:
+def detect(obs: DataFrame, p: DetectParams | None = None, max_rounds: int | None = None) -> DataFrame:
     """D1-D3 + D4 + D5 + D7: observations -> wide detection result
     (segment columns, dates, mask, rfrawp = null), one row per segment,
     sentinel rows for pixels without a model."""
     p = p or DetectParams()
-    seg, used = detect_rounds(obs, p)
+    seg, used = detect_rounds(obs, p, max_rounds=max_rounds)
     flat = format_segments(seg, p)
     flat = flat.unionByName(default_segments(obs, seg, flat))
     masks = processing_mask(obs, used)
