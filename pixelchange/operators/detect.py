@@ -6,8 +6,9 @@ pixels: round r fits the next segment of every still-active pixel at once.
 
 Round r, for all active pixels together:
 
-1. D10 fit each band on the first ``min_obs`` clear observations
-   (a grouped aggregate of sums of products, solved by Cholesky),
+1. D10 fit each band on the initial window: the first ``min_obs`` clear
+   observations, extended to span ``min_years`` (a grouped aggregate of
+   sums of products, solved by Cholesky),
 2. D11 score every later observation: sum over detection bands of
    (residual / rmse)^2, rmse floored by the pixel's variogram,
 3. D12 a break starts at the first observation from which ``peek``
@@ -35,7 +36,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import (BAND_PREFIX, BAND_SERIES, BANDS, CHI2_99_5, DETECTION_BANDS, FILL,
+from ..config import (BAND_PREFIX, BAND_SERIES, BANDS, CHI2_99_5, DAYS_PER_YEAR, DETECTION_BANDS, FILL,
                       MIN_OBSERVATIONS, PEEK_SIZE, SENTINEL_DAY)
 from ..functions.dates import ordinal_to_iso
 from ..session import checkpoint_dir
@@ -59,6 +60,7 @@ class DetectParams:
     terms: int = 4
     ridge: float = fitmod.RIDGE
     variogram_floor: bool = True
+    min_years: float = 1.0
     fill: int = FILL
     partitions: int | None = None
 
@@ -98,7 +100,12 @@ def variogram(clear: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
 def _score(active: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
     """Steps 1-3 for every active pixel; returns active rows with fit,
     score, flag and the pixel's break position ``brk_n`` (null: none)."""
-    init = active.where(F.col("n") <= p.min_obs)
+    # the initial window: at least min_obs rows and up to the first row
+    # min_years after the start (no such row: no model yet)
+    whole = Window.partitionBy(*keys)
+    span = F.min(F.when(F.col("t") - F.col("t0") >= F.lit(p.min_years * DAYS_PER_YEAR), F.col("n"))).over(whole)
+    active = active.select("*", F.greatest(F.lit(p.min_obs), span).alias("init_n"))
+    init = active.where(F.col("n") <= F.col("init_n"))
     model = fitmod.fit(init, keys, p.bands, p.terms, ridge=p.ridge, t0="t0") \
         .where(F.col("n") >= p.min_obs).drop("n", "t0")
     scored = active.join(model.hint("shuffle_hash"), keys, "inner")
@@ -110,9 +117,8 @@ def _score(active: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
         r = fitmod.residual(b, p.terms)
         z = z + F.when(rm > 0, (r / rm) * (r / rm)).otherwise(F.lit(0.0))
     scored = scored.select("*", z.alias("z")) \
-                   .withColumn("flag", ((F.col("n") > p.min_obs) & (F.col("z") > p.threshold)).cast("int"))
+                   .withColumn("flag", ((F.col("n") > F.col("init_n")) & (F.col("z") > p.threshold)).cast("int"))
     ahead = Window.partitionBy(*keys).orderBy("n").rowsBetween(0, p.peek - 1)
-    whole = Window.partitionBy(*keys)
     starts = (F.min("flag").over(ahead) == 1) & (F.count(F.lit(1)).over(ahead) == p.peek)
     scored = scored.select("*", starts.alias("_start"))
     scored = scored.select("*", F.min(F.when(F.col("_start"), F.col("n"))).over(whole).alias("brk_n"),
@@ -132,7 +138,8 @@ def _summarise(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
         F.max("t").alias("eday_n"),
         F.first("brk_n", ignorenulls=True).alias("brk_n"),
         F.first("last_n").alias("last_n"),
-        F.first("last_ok", ignorenulls=True).alias("last_ok"))
+        F.first("last_ok", ignorenulls=True).alias("last_ok"),
+        F.first("init_n").alias("init_n"))
     bday = scored.where(F.col("n") == F.col("brk_n")).select(*keys, F.col("t").alias("bday_n"))
     peek_rows = scored.where(F.col("brk_n").isNotNull() & (F.col("n") >= F.col("brk_n"))
                              & (F.col("n") < F.col("brk_n") + p.peek)) \
@@ -145,7 +152,7 @@ def _summarise(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
               .join(bday.hint("shuffle_hash"), keys, "left")
               .join(mags.hint("shuffle_hash"), keys, "left"))
     broke = F.col("brk_n").isNotNull()
-    trailing = F.col("last_n") - F.greatest(F.coalesce(F.col("last_ok"), F.lit(0)), F.lit(p.min_obs))
+    trailing = F.col("last_n") - F.greatest(F.coalesce(F.col("last_ok"), F.lit(0)), F.col("init_n"))
     out = (out.withColumn("bday_n", F.coalesce(F.col("bday_n"), F.col("eday_n")))
               .withColumn("chprob", F.when(broke, F.lit(1.0))
                           .otherwise(F.least(trailing, F.lit(p.peek)) / F.lit(float(p.peek))))
@@ -172,6 +179,23 @@ def _used(scored: DataFrame, keys=PIXEL) -> DataFrame:
 # Driver of rounds
 # ---------------------------------------------------------------------------
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint that keeps the pixel hash partitioning.
+
+    An adaptive plan reports unknown output partitioning, so a checkpoint
+    taken under AQE would make the next round shuffle by pixel again.  A
+    round has no shuffle for AQE to re-plan, so its checkpoint is planned
+    with AQE off (restored at once); later reads see the partitioning.
+    """
+    conf = df.sparkSession.conf
+    old = conf.get("spark.sql.adaptive.enabled", "true")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        conf.set("spark.sql.adaptive.enabled", old)
+
+
 def prepare(obs: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
     """Partition by pixel once, keep clear rows, number them per pixel."""
     spark = obs.sparkSession
@@ -201,7 +225,7 @@ def detect_rounds(obs: DataFrame, p: DetectParams | None = None, keys=PIXEL,
     r = 0
     while True:
         r += 1
-        scored = _score(active, p, keys).checkpoint(eager=True)
+        scored = materialise(_score(active, p, keys))
         segments.append(_summarise(scored, p, keys).withColumn("seg", F.lit(r)))
         used.append(_used(scored, keys))
         if max_rounds is not None and r >= max_rounds:

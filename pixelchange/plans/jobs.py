@@ -117,7 +117,8 @@ def classification(spark: SparkSession, x: float, y: float, msday: int, meday: i
     segs = SG.filter_detected(T.read_segment(spark, root, ids))
     tile_aux = aux.join(F.broadcast(ids), ["cx", "cy"], "left_semi")
     preds = RF.dedensify(RF.classify(model, FT.features(tile_aux, segs)))
-    out = SG.join_predictions(segs, preds)
+    # materialise before the upsert replaces the files ``segs`` reads
+    out = SG.join_predictions(segs, preds).checkpoint(eager=True)
     T.write_segment(out, root)
     tile = grid.tile(pt).select("tx", "ty").first()
     if model_path:
