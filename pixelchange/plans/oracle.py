@@ -271,7 +271,8 @@ WHERE """ + " AND ".join(f"{e} IS NOT NULL" for e in C.EVENT_TYPES),
 
     "q16_default_sentinel": _with(OBS, PARTPIX,
                                   f"modelled AS (SELECT cx, cy, px, py FROM obs WHERE {CLEAR7} "
-                                  f"GROUP BY cx, cy, px, py HAVING count(*) >= {C.TREND.min_obs})") +
+                                  f"GROUP BY cx, cy, px, py HAVING count(*) >= {C.TREND.min_obs} "
+                                  f"AND max(t) - min(t) >= 365.25)") +
     """SELECT DISTINCT p.cx, p.cy, p.px, p.py, '0001-01-01' AS sday, '0001-01-01' AS eday, '0001-01-01' AS bday
 FROM partpix p LEFT JOIN modelled m USING (cx, cy, px, py) WHERE m.px IS NULL""",
 
