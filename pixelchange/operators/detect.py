@@ -61,6 +61,7 @@ class DetectParams:
     ridge: float = fitmod.RIDGE
     variogram_floor: bool = True
     min_years: float = 1.0
+    refine: int = 1
     fill: int = FILL
     partitions: int | None = None
 
@@ -98,64 +99,122 @@ def variogram(clear: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _score(active: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
-    """Steps 1-3 for every active pixel; returns active rows with fit,
-    score, flag and the pixel's break position ``brk_n`` (null: none)."""
-    # the initial window: at least min_obs rows and up to the first row
-    # min_years after the start (no such row: no model yet)
-    whole = Window.partitionBy(*keys)
-    span = F.min(F.when(F.col("t") - F.col("t0") >= F.lit(p.min_years * DAYS_PER_YEAR), F.col("n"))).over(whole)
-    active = active.select("*", F.greatest(F.lit(p.min_obs), span).alias("init_n"))
-    init = active.where(F.col("n") <= F.col("init_n"))
-    model = fitmod.fit(init, keys, p.bands, p.terms, ridge=p.ridge, t0="t0") \
-        .where(F.col("n") >= p.min_obs).drop("n", "t0")
-    scored = active.join(model.hint("shuffle_hash"), keys, "inner")
+    """Steps 1-3 for every active pixel.
+
+    One aggregate per pixel gives the model of the initial window (all
+    rows of the first ``min_years``, at least ``min_obs``) by conditional
+    sums, the row count and the reach of the series; the model is joined
+    back (same partitioning, no shuffle) to score every row.  Breaks are
+    found as islands of consecutive flagged rows: only flagged rows (few)
+    are numbered, runs are grouped by ``n - row_number``, and the first
+    run of at least ``peek`` rows starts the break.  Returns the active
+    rows with the model, z, flag, init_n, last_n, brk_n/brk_t (null: no
+    break) and the length of a trailing run of flags.
+    """
+    span = F.lit(p.min_years * DAYS_PER_YEAR)
+    xs = fitmod.with_regressors(active, p.terms)
+    in_init = (F.col("n") <= p.min_obs) | ((F.col("t") - F.col("t0")) < span)
+    sums = xs.groupBy(*keys).agg(
+        F.count(F.when(in_init, 1)).alias("n"),
+        F.count(F.lit(1)).alias("last_n"),
+        (F.max("t") - F.min("t0")).alias("_reach"),
+        *fitmod.sum_aggs(p.terms, p.bands, where=in_init))
+    sums = sums.where((F.col("n") >= p.min_obs) & (F.col("_reach") >= span))
+    model = fitmod.solve(sums, keys, p.bands, p.terms, p.ridge, carry=("n", "last_n")) \
+        .withColumnRenamed("n", "init_n")
+    scored = xs.join(model.hint("shuffle_hash"), keys, "inner")
+    z = F.lit(0.0)
+    for b in p.detection_bands:
+        rm = F.col(f"rmse_{b}")
+        if p.variogram_floor:
+            rm = F.greatest(rm, F.col(f"vario_{b}"))
+        r = fitmod.residual_cols(b, p.terms)
+        z = z + F.when(rm > 0, (r / rm) * (r / rm)).otherwise(F.lit(0.0))
+    return _breaks(_flag(scored, p), p, keys)
+
+
+def _flag(scored: DataFrame, p: DetectParams) -> DataFrame:
+    """z = sum over detection bands of (residual / rmse)^2 (rmse floored
+    by the variogram); flag = beyond the initial window and z > threshold."""
     z = F.lit(0.0)
     for b in p.detection_bands:
         rm = F.col(f"rmse_{b}")
         if p.variogram_floor:
             rm = F.greatest(rm, F.col(f"vario_{b}"))
-        r = fitmod.residual(b, p.terms)
+        r = fitmod.residual_cols(b, p.terms)
         z = z + F.when(rm > 0, (r / rm) * (r / rm)).otherwise(F.lit(0.0))
-    scored = scored.select("*", z.alias("z")) \
-                   .withColumn("flag", ((F.col("n") > F.col("init_n")) & (F.col("z") > p.threshold)).cast("int"))
-    ahead = Window.partitionBy(*keys).orderBy("n").rowsBetween(0, p.peek - 1)
-    starts = (F.min("flag").over(ahead) == 1) & (F.count(F.lit(1)).over(ahead) == p.peek)
-    scored = scored.select("*", starts.alias("_start"))
-    scored = scored.select("*", F.min(F.when(F.col("_start"), F.col("n"))).over(whole).alias("brk_n"),
-                           F.max("n").over(whole).alias("last_n"),
-                           F.max(F.when(F.col("flag") == 0, F.col("n"))).over(whole).alias("last_ok"))
-    return scored.drop("_start")
+    return scored.select("*", z.alias("z")).drop(*[f"_x{i}" for i in range(1, p.terms)]) \
+                 .withColumn("flag", ((F.col("n") > F.col("init_n")) & (F.col("z") > p.threshold)).cast("int"))
+
+
+def _refine(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
+    """Refit each band on the inliers before the current break (all rows
+    when none), re-score and find the break again: a model of the whole
+    stable stretch drifts less than one of the first year."""
+    before = (F.col("brk_n").isNull() | (F.col("n") < F.col("brk_n"))) & (F.col("flag") == 0)
+    model_cols = [f"b_{b}_{i}" for b in p.bands for i in range(p.terms)] + [f"rmse_{b}" for b in p.bands]
+    base = scored.select("*", before.alias("_before")) \
+                 .drop(*model_cols, "z", "flag", "brk_n", "brk_t", "trailing")
+    xs = fitmod.with_regressors(base, p.terms)
+    use = F.col("_before")
+    sums = xs.groupBy(*keys).agg(F.count(F.when(use, 1)).alias("n"),
+                                 *fitmod.sum_aggs(p.terms, p.bands, where=use))
+    model = fitmod.solve(sums, keys, p.bands, p.terms, p.ridge, carry=("n",)).drop("n")
+    xs2 = xs.drop("_before").join(model.hint("shuffle_hash"), keys, "inner")
+    return _breaks(_flag(xs2, p), p, keys)
+
+
+def _breaks(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
+    """brk_n / brk_t of the first run of ``peek`` consecutive flags and
+    the length of a run of flags that reaches the last row."""
+    flagged = scored.where(F.col("flag") == 1).select(*keys, "n", "t")
+    w = Window.partitionBy(*keys).orderBy("n")
+    runs = (flagged.select(*keys, "n", "t", (F.col("n") - F.row_number().over(w)).alias("_g"))
+                   .groupBy(*keys, "_g")
+                   .agg(F.min("n").alias("start"), F.count(F.lit(1)).alias("len"),
+                        F.min_by("t", "n").alias("t_start")))
+    brk = (runs.groupBy(*keys)
+               .agg(F.min(F.when(F.col("len") >= p.peek, F.struct("start", "t_start"))).alias("_b"),
+                    F.max(F.struct("start", "len")).alias("_l"))
+               .select(*keys, F.col("_b.start").alias("brk_n"), F.col("_b.t_start").alias("brk_t"),
+                       (F.col("_l.start") + F.col("_l.len") - 1).alias("_last_end"),
+                       F.col("_l.len").alias("_last_len")))
+    scored = scored.join(brk.hint("shuffle_hash"), keys, "left")
+    trailing = F.when(F.col("_last_end") == F.col("last_n"), F.col("_last_len")).otherwise(F.lit(0))
+    return scored.select("*", trailing.alias("trailing")).drop("_last_end", "_last_len")
 
 
 def _summarise(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
-    """Steps 4-5: one row per pixel segment, long per band columns."""
+    """Steps 4-5: one row per pixel segment, long per band columns.
+
+    The refit of the segment's inliers and the segment's days come from
+    one conditional aggregate; the median residuals of the peek window
+    are computed for break pixels only."""
     in_seg = F.col("brk_n").isNull() | (F.col("n") < F.col("brk_n"))
-    seg = scored.where(in_seg)
-    inl = seg.where(F.col("flag") == 0).select(*keys, "t", "t0", *p.bands)
-    refit = fitmod.fit(inl, keys, p.bands, p.terms, ridge=p.ridge, t0="t0").drop("t0")
-    head = seg.groupBy(*keys).agg(
+    inl = in_seg & (F.col("flag") == 0)
+    xs = fitmod.with_regressors(scored, p.terms)
+    sums = xs.groupBy(*keys).agg(
+        F.count(F.when(inl, 1)).alias("n"),
         F.min("t").alias("sday_n"),
-        F.max("t").alias("eday_n"),
-        F.first("brk_n", ignorenulls=True).alias("brk_n"),
-        F.first("last_n").alias("last_n"),
-        F.first("last_ok", ignorenulls=True).alias("last_ok"),
-        F.first("init_n").alias("init_n"))
-    bday = scored.where(F.col("n") == F.col("brk_n")).select(*keys, F.col("t").alias("bday_n"))
+        F.max(F.when(in_seg, F.col("t"))).alias("eday_n"),
+        F.max("brk_n").alias("brk_n"),
+        F.max("brk_t").alias("brk_t"),
+        F.max("trailing").alias("trailing"),
+        *fitmod.sum_aggs(p.terms, p.bands, where=inl))
+    refit = fitmod.solve(sums, keys, p.bands, p.terms, p.ridge,
+                         carry=("n", "sday_n", "eday_n", "brk_n", "brk_t", "trailing"))
     peek_rows = scored.where(F.col("brk_n").isNotNull() & (F.col("n") >= F.col("brk_n"))
                              & (F.col("n") < F.col("brk_n") + p.peek)) \
                       .select(*keys, "t", "t0", *p.bands)
     refit_b = refit.select(*keys, *[f"b_{b}_{i}" for b in p.bands for i in range(p.terms)])
-    resid = peek_rows.join(refit_b.hint("shuffle_hash"), keys).select(
-        *keys, *[fitmod.residual(b, p.terms).alias(f"r_{b}") for b in p.bands])
+    resid = fitmod.with_regressors(peek_rows.join(refit_b.hint("shuffle_hash"), keys), p.terms).select(
+        *keys, *[fitmod.residual_cols(b, p.terms).alias(f"r_{b}") for b in p.bands])
     mags = resid.groupBy(*keys).agg(*[F.median(f"r_{b}").alias(f"mag_{b}") for b in p.bands])
-    out = (head.join(refit.hint("shuffle_hash"), keys, "left")
-              .join(bday.hint("shuffle_hash"), keys, "left")
-              .join(mags.hint("shuffle_hash"), keys, "left"))
+    out = refit.join(mags.hint("shuffle_hash"), keys, "left")
     broke = F.col("brk_n").isNotNull()
-    trailing = F.col("last_n") - F.greatest(F.coalesce(F.col("last_ok"), F.lit(0)), F.col("init_n"))
-    out = (out.withColumn("bday_n", F.coalesce(F.col("bday_n"), F.col("eday_n")))
+    out = (out.withColumn("bday_n", F.coalesce(F.col("brk_t"), F.col("eday_n")))
               .withColumn("chprob", F.when(broke, F.lit(1.0))
-                          .otherwise(F.least(trailing, F.lit(p.peek)) / F.lit(float(p.peek))))
+                          .otherwise(F.least(F.col("trailing"), F.lit(p.peek)) / F.lit(float(p.peek))))
               .withColumn("curqa", F.lit(p.terms)))
     for b in p.bands:
         out = out.withColumn(f"mag_{b}", F.when(broke, F.col(f"mag_{b}")).otherwise(F.lit(0.0)))
@@ -163,11 +222,11 @@ def _summarise(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
 
 
 def _next_active(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
+    """Rows from the break on, renumbered; the break day starts the next
+    segment (no window: brk_n and brk_t are on every row)."""
     rest = scored.where(F.col("brk_n").isNotNull() & (F.col("n") >= F.col("brk_n")))
-    whole = Window.partitionBy(*keys)
     cols = [*keys, "t", *p.bands] + ([f"vario_{b}" for b in p.bands] if p.variogram_floor else [])
-    return (rest.select(*cols, (F.col("n") - F.col("brk_n") + 1).alias("n"))
-                .withColumn("t0", F.min("t").over(whole)))
+    return rest.select(*cols, (F.col("n") - F.col("brk_n") + 1).alias("n"), F.col("brk_t").alias("t0"))
 
 
 def _used(scored: DataFrame, keys=PIXEL) -> DataFrame:
@@ -196,21 +255,41 @@ def materialise(df: DataFrame) -> DataFrame:
         conf.set("spark.sql.adaptive.enabled", old)
 
 
-def prepare(obs: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
-    """Partition by pixel once, keep clear rows, number them per pixel."""
-    spark = obs.sparkSession
-    n = p.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    obs = obs.repartition(n, *keys)
-    clear = clear_observations(obs, p).select(*keys, "t", *p.bands)
-    if p.variogram_floor:
-        clear = clear.join(variogram(clear, p, keys).hint("shuffle_hash"), keys)
+def _partitions(spark, p: DetectParams) -> int:
+    return p.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def partition_observations(obs: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
+    """Every input row (pixel, day, bands, clear flag), hash partitioned by
+    pixel and checkpointed once: the rounds, the sentinel pixels and the
+    masks all read it without shuffling or recomputing the input."""
+    n = _partitions(obs.sparkSession, p)
+    return materialise(obs.repartition(n, *keys)
+                          .select(*keys, "t", *p.bands, clear_flag(p).alias("_clear")))
+
+
+def prepare(obs: DataFrame, p: DetectParams, keys=PIXEL, partitioned: bool = False) -> DataFrame:
+    """Partition by pixel once, keep clear rows, number them per pixel.
+
+    ``partitioned``: ``obs`` is the output of ``partition_observations``."""
+    if partitioned:
+        clear = obs.where(F.col("_clear"))
+    else:
+        clear = clear_observations(obs.repartition(_partitions(obs.sparkSession, p), *keys), p)
     w = Window.partitionBy(*keys).orderBy("t")
-    return clear.select("*", F.row_number().over(w).alias("n"),
-                        F.min("t").over(Window.partitionBy(*keys)).alias("t0"))
+    # one window operator: row number, first day and lag differences
+    diffs = [F.abs(F.col(b) - F.lag(b).over(w)).alias(f"_d_{b}") for b in p.bands] if p.variogram_floor else []
+    num = clear.select(*keys, "t", *p.bands, F.row_number().over(w).alias("n"),
+                       F.first("t").over(w).alias("t0"), *diffs)
+    if not p.variogram_floor:
+        return num
+    vario = num.groupBy(*keys).agg(*[F.coalesce(F.median(f"_d_{b}"), F.lit(0.0)).alias(f"vario_{b}")
+                                     for b in p.bands])
+    return num.drop(*[f"_d_{b}" for b in p.bands]).join(vario.hint("shuffle_hash"), keys)
 
 
 def detect_rounds(obs: DataFrame, p: DetectParams | None = None, keys=PIXEL,
-                  max_rounds: int | None = None):
+                  max_rounds: int | None = None, partitioned: bool = False):
     """All segments of all pixels.
 
     Returns (segments, used): ``segments`` has one row per pixel segment
@@ -220,12 +299,16 @@ def detect_rounds(obs: DataFrame, p: DetectParams | None = None, keys=PIXEL,
     """
     p = p or DetectParams()
     checkpoint_dir(obs.sparkSession)
-    active = prepare(obs, p, keys)
+    # every branch of a round reads a checkpoint, never a recomputed
+    # aggregate: prepare, score and each refinement are materialised
+    active = materialise(prepare(obs, p, keys, partitioned))
     segments, used = [], []
     r = 0
     while True:
         r += 1
         scored = materialise(_score(active, p, keys))
+        for _ in range(p.refine):
+            scored = materialise(_refine(scored, p, keys))
         segments.append(_summarise(scored, p, keys).withColumn("seg", F.lit(r)))
         used.append(_used(scored, keys))
         if max_rounds is not None and r >= max_rounds:
@@ -297,10 +380,10 @@ def default_segments(pixels: DataFrame, segments: DataFrame, template: DataFrame
 def processing_mask(obs: DataFrame, used: DataFrame, keys=PIXEL) -> DataFrame:
     """Per pixel: all input days ascending as ISO strings, and the 0/1
     mask of those used by a segment (aligned with the dates)."""
-    u = used.select(*keys, "t").withColumn("_u", F.lit(1))
-    rows = obs.select(*keys, "t").distinct().join(u, [*keys, "t"], "left")
-    s = F.sort_array(F.collect_list(F.struct("t", F.coalesce("_u", F.lit(0)).alias("m"))))
-    g = rows.groupBy(*keys).agg(s.alias("_s"))
+    rows = obs.select(*keys, "t", F.lit(0).alias("m")).unionByName(
+        used.select(*keys, "t", F.lit(1).alias("m")))
+    days = rows.groupBy(*keys, "t").agg(F.max("m").alias("m"))
+    g = days.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("t", "m"))).alias("_s"))
     return g.select(*keys,
                     F.transform(F.col("_s.t"), lambda o: ordinal_to_iso(o)).alias("dates"),
                     F.transform(F.col("_s.m"), lambda m: m.cast("tinyint")).alias("mask"))
@@ -311,10 +394,12 @@ def detect(obs: DataFrame, p: DetectParams | None = None, max_rounds: int | None
     (segment columns, dates, mask, rfrawp = null), one row per segment,
     sentinel rows for pixels without a model."""
     p = p or DetectParams()
-    seg, used = detect_rounds(obs, p, max_rounds=max_rounds)
+    checkpoint_dir(obs.sparkSession)
+    base = partition_observations(obs, p)
+    seg, used = detect_rounds(base, p, max_rounds=max_rounds, partitioned=True)
     flat = format_segments(seg, p)
-    flat = flat.unionByName(default_segments(obs, seg, flat))
-    masks = processing_mask(obs, used)
+    flat = flat.unionByName(default_segments(base, seg, flat))
+    masks = processing_mask(base, used)
     return (flat.join(masks, PIXEL, "left")
                 .withColumn("rfrawp", F.lit(None).cast("array<float>")))
 

@@ -123,18 +123,54 @@ def fit(df: DataFrame, keys, bands, terms: int = 4, t: str = "t",
         first = df.groupBy(*keys).agg(F.min(t).alias("t0"))
         df = df.join(first, keys)
         t0 = "t0"
-    aggs = [F.count(F.lit(1)).alias("n"), F.first(t0).alias("t0")]
-    aggs += [F.expr(sql).alias(alias) for alias, sql in sum_exprs_sql(terms, bands, t, t0)]
-    sums = df.groupBy(*keys).agg(*aggs)
+    # regressors once per row, then plain products inside the aggregate
+    xs = with_regressors(df.select(*keys, t, F.col(t0).alias("_t0"),
+                                   *[F.col(b).cast("double").alias(b) for b in bands]),
+                         terms, t, "_t0")
+    aggs = [F.count(F.lit(1)).alias("n"), F.first("_t0").alias("t0")] + sum_aggs(terms, bands)
+    sums = xs.groupBy(*keys).agg(*aggs)
     return solve(sums, keys, bands, terms, ridge)
 
 
-def solve(sums: DataFrame, keys, bands, terms: int = 4, ridge: float = RIDGE) -> DataFrame:
+def sum_aggs(terms: int, bands, where=None, prefix: str = ""):
+    """Aggregates X'X, X'y, y'y over rows carrying _x columns; with
+    ``where`` only rows meeting it count (conditional sums let one pass
+    fit one subset while computing other per group statistics)."""
+    x = [None] + [F.col(f"_x{i}") for i in range(1, terms)]
+    keep = (lambda c: F.when(where, c)) if where is not None else (lambda c: c)
+    aggs = []
+    for i in range(terms):
+        for j in range(i + 1):
+            prod = F.lit(1.0) if i == j == 0 else (x[i] if j == 0 else x[i] * x[j])
+            aggs.append(F.sum(keep(prod)).alias(f"{prefix}xx_{i}{j}"))
+    for b in bands:
+        y = F.col(b).cast("double")
+        for i in range(terms):
+            aggs.append(F.sum(keep(y if i == 0 else x[i] * y)).alias(f"{prefix}xy_{b}_{i}"))
+        aggs.append(F.sum(keep(y * y)).alias(f"{prefix}yy_{b}"))
+    return aggs
+
+
+def with_regressors(df: DataFrame, terms: int, t: str = "t", t0: str = "t0") -> DataFrame:
+    """Add _x1.._x{terms-1} (the non-constant regressors) as columns."""
+    return df.select("*", *[F.expr(regressor_sql(i, t, t0)).alias(f"_x{i}") for i in range(1, terms)])
+
+
+def residual_cols(band: str, terms: int = 4):
+    """D11 on rows carrying _x columns and the joined b_{band}_i."""
+    fit_ = F.col(f"b_{band}_0")
+    for i in range(1, terms):
+        fit_ = fit_ + F.col(f"b_{band}_{i}") * F.col(f"_x{i}")
+    return F.col(band) - fit_
+
+
+def solve(sums: DataFrame, keys, bands, terms: int = 4, ridge: float = RIDGE, carry=("n", "t0")) -> DataFrame:
     """One projection; later steps refer to earlier ones by lateral alias,
-    so the plan is analysed once and each value is computed once."""
+    so the plan is analysed once and each value is computed once.
+    ``carry`` names the other columns of ``sums`` to keep."""
     steps = [f"{sql} AS {alias}" for alias, sql in solution_steps(terms, bands, ridge)]
-    out = sums.selectExpr(*keys, "n", "t0", *steps)
-    keep = list(keys) + ["n", "t0"] + [f"b_{b}_{i}" for b in bands for i in range(terms)] \
+    out = sums.selectExpr(*keys, *carry, *steps)
+    keep = list(keys) + list(carry) + [f"b_{b}_{i}" for b in bands for i in range(terms)] \
         + [f"rmse_{b}" for b in bands]
     return out.select(*keep)
 

@@ -39,7 +39,7 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 # One band, trend only, 3 consecutive |residual| > 2 rmse after 12
 # observations: the single round checked against SQL (q14, q15, q19).
 TREND = D.DetectParams(bands=["greens"], detection_bands=["greens"], qa=None, threshold=4.0,
-                       peek=3, min_obs=12, terms=2, variogram_floor=False, min_years=0.0)
+                       peek=3, min_obs=12, terms=2, variogram_floor=False, min_years=0.0, refine=0)
 
 
 def _norm(df: DataFrame) -> DataFrame:

@@ -41,10 +41,10 @@ def brute_force(t, Y, p, det_idx):
     while len(t) - start >= p.min_obs:
         tt, yy = t[start:], Y[start:]
         t0 = tt[0]
-        later = np.flatnonzero(tt - t0 >= p.min_years * DAYS_PER_YEAR)
-        if len(later) == 0:
+        span = p.min_years * DAYS_PER_YEAR
+        if tt[-1] - t0 < span:
             break
-        init_n = max(p.min_obs, later[0] + 1)
+        init_n = int(((np.arange(1, len(tt) + 1) <= p.min_obs) | (tt - t0 < span)).sum())
         B, rmse = _fit(tt[:init_n], yy[:init_n], t0, p.terms, p.ridge)
         rm = np.maximum(rmse, vario) if p.variogram_floor else rmse
         r = yy - _design(tt, t0, p.terms) @ B
@@ -53,12 +53,29 @@ def brute_force(t, Y, p, det_idx):
             if rm[j] > 0:
                 z += (r[:, j] / rm[j]) ** 2
         n = np.arange(1, len(tt) + 1)
-        flag = (n > init_n) & (z > p.threshold)
-        brk = None
-        for i in range(len(tt) - p.peek + 1):
-            if flag[i:i + p.peek].all():
-                brk = i
-                break
+
+        def find(z):
+            flag = (n > init_n) & (z > p.threshold)
+            for i in range(len(tt) - p.peek + 1):
+                if flag[i:i + p.peek].all():
+                    return flag, i
+            return flag, None
+
+        def score(B, rmse):
+            rm = np.maximum(rmse, vario) if p.variogram_floor else rmse
+            r = yy - _design(tt, t0, p.terms) @ B
+            z = np.zeros(len(tt))
+            for j in det_idx:
+                if rm[j] > 0:
+                    z += (r[:, j] / rm[j]) ** 2
+            return z
+
+        flag, brk = find(z)
+        for _ in range(p.refine):
+            end = brk if brk is not None else len(tt)
+            use = np.arange(end)[~flag[:end]]
+            B, rmse = _fit(tt[use], yy[use], t0, p.terms, p.ridge)
+            flag, brk = find(score(B, rmse))
         end = brk if brk is not None else len(tt)
         seg = np.arange(end)
         inl = seg[~flag[:end]]
