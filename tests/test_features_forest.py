@@ -78,3 +78,10 @@ def test_join_predictions_replaces_rfrawp(spark):
     j = SG.join_predictions(ccd, preds)
     assert j.columns.count("rfrawp") == 1
     assert j.select("rfrawp").first()[0] == [1.0]
+
+
+def test_row_json_projection(spark):
+    from pixelchange.functions.rows import json_rows
+    df = spark.createDataFrame([(1, 2, ["2000-01-01"], True)], "cx int, cy int, dates array<string>, extra boolean")
+    chip = df.select(*schemas.chip_schema().fieldNames())
+    assert json_rows(chip).first().json == '{"cx":1,"cy":2,"dates":["2000-01-01"]}'
