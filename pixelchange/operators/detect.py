@@ -43,6 +43,19 @@ from ..session import checkpoint_dir
 from . import fit as fitmod
 
 PIXEL = ["cx", "cy", "px", "py"]
+# Inside the rounds a pixel is one bigint key (grouping and hashing one
+# long instead of four ints); cx, cy, px, py travel along as payload.
+PID = ["pid"]
+
+
+def pixel_id():
+    """px in the high 32 bits, py in the low 32 bits (two's complement)."""
+    return (F.shiftleft(F.col("px").cast("long"), 32)
+            .bitwiseOR(F.col("py").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))).alias("pid")
+
+
+def _payload(keys):
+    return [c for c in PIXEL if c not in keys]
 
 # Landsat pixel QA bits: 0 fill, 3 cloud shadow, 5 cloud.
 QA_FILL_BIT = 1
@@ -130,7 +143,9 @@ def _score(active: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
             rm = F.greatest(rm, F.col(f"vario_{b}"))
         r = fitmod.residual_cols(b, p.terms)
         z = z + F.when(rm > 0, (r / rm) * (r / rm)).otherwise(F.lit(0.0))
-    return _breaks(_flag(scored, p), p, keys)
+    # the flagged rows are checkpointed once: the break search and the
+    # rows it is joined back to then read it, instead of fitting twice
+    return _breaks(materialise(_flag(scored, p)), p, keys)
 
 
 def _flag(scored: DataFrame, p: DetectParams) -> DataFrame:
@@ -161,7 +176,7 @@ def _refine(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
                                  *fitmod.sum_aggs(p.terms, p.bands, where=use))
     model = fitmod.solve(sums, keys, p.bands, p.terms, p.ridge, carry=("n",)).drop("n")
     xs2 = xs.drop("_before").join(model.hint("shuffle_hash"), keys, "inner")
-    return _breaks(_flag(xs2, p), p, keys)
+    return _breaks(materialise(_flag(xs2, p)), p, keys)
 
 
 def _breaks(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
@@ -200,9 +215,10 @@ def _summarise(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
         F.max("brk_n").alias("brk_n"),
         F.max("brk_t").alias("brk_t"),
         F.max("trailing").alias("trailing"),
+        *[F.first(c).alias(c) for c in _payload(keys)],
         *fitmod.sum_aggs(p.terms, p.bands, where=inl))
     refit = fitmod.solve(sums, keys, p.bands, p.terms, p.ridge,
-                         carry=("n", "sday_n", "eday_n", "brk_n", "brk_t", "trailing"))
+                         carry=("n", "sday_n", "eday_n", "brk_n", "brk_t", "trailing", *_payload(keys)))
     peek_rows = scored.where(F.col("brk_n").isNotNull() & (F.col("n") >= F.col("brk_n"))
                              & (F.col("n") < F.col("brk_n") + p.peek)) \
                       .select(*keys, "t", "t0", *p.bands)
@@ -225,13 +241,14 @@ def _next_active(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
     """Rows from the break on, renumbered; the break day starts the next
     segment (no window: brk_n and brk_t are on every row)."""
     rest = scored.where(F.col("brk_n").isNotNull() & (F.col("n") >= F.col("brk_n")))
-    cols = [*keys, "t", *p.bands] + ([f"vario_{b}" for b in p.bands] if p.variogram_floor else [])
+    cols = [*keys, *_payload(keys), "t", *p.bands] + \
+        ([f"vario_{b}" for b in p.bands] if p.variogram_floor else [])
     return rest.select(*cols, (F.col("n") - F.col("brk_n") + 1).alias("n"), F.col("brk_t").alias("t0"))
 
 
 def _used(scored: DataFrame, keys=PIXEL) -> DataFrame:
     in_seg = F.col("brk_n").isNull() | (F.col("n") < F.col("brk_n"))
-    return scored.where(in_seg & (F.col("flag") == 0)).select(*keys, "t")
+    return scored.where(in_seg & (F.col("flag") == 0)).select(*keys, *_payload(keys), "t")
 
 
 # ---------------------------------------------------------------------------
@@ -259,13 +276,15 @@ def _partitions(spark, p: DetectParams) -> int:
     return p.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def partition_observations(obs: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
+def partition_observations(obs: DataFrame, p: DetectParams, keys=PID) -> DataFrame:
     """Every input row (pixel, day, bands, clear flag), hash partitioned by
     pixel and checkpointed once: the rounds, the sentinel pixels and the
     masks all read it without shuffling or recomputing the input."""
     n = _partitions(obs.sparkSession, p)
+    if "pid" in keys and "pid" not in obs.columns:
+        obs = obs.select("*", pixel_id())
     return materialise(obs.repartition(n, *keys)
-                          .select(*keys, "t", *p.bands, clear_flag(p).alias("_clear")))
+                          .select(*keys, *_payload(keys), "t", *p.bands, clear_flag(p).alias("_clear")))
 
 
 def prepare(obs: DataFrame, p: DetectParams, keys=PIXEL, partitioned: bool = False) -> DataFrame:
@@ -275,11 +294,13 @@ def prepare(obs: DataFrame, p: DetectParams, keys=PIXEL, partitioned: bool = Fal
     if partitioned:
         clear = obs.where(F.col("_clear"))
     else:
+        if "pid" in keys and "pid" not in obs.columns:
+            obs = obs.select("*", pixel_id())
         clear = clear_observations(obs.repartition(_partitions(obs.sparkSession, p), *keys), p)
     w = Window.partitionBy(*keys).orderBy("t")
     # one window operator: row number, first day and lag differences
     diffs = [F.abs(F.col(b) - F.lag(b).over(w)).alias(f"_d_{b}") for b in p.bands] if p.variogram_floor else []
-    num = clear.select(*keys, "t", *p.bands, F.row_number().over(w).alias("n"),
+    num = clear.select(*keys, *_payload(keys), "t", *p.bands, F.row_number().over(w).alias("n"),
                        F.first("t").over(w).alias("t0"), *diffs)
     if not p.variogram_floor:
         return num
@@ -338,10 +359,10 @@ def _f(c):
     return c.cast("float")
 
 
-def format_segments(seg: DataFrame, p: DetectParams) -> DataFrame:
+def format_segments(seg: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
     """Long per band segment rows -> flat segment columns (ISO days,
     float32 values, coefficient arrays without the intercept)."""
-    cols = [*PIXEL,
+    cols = [*[k for k in keys if k not in PIXEL], *PIXEL,
             ordinal_to_iso("sday_n").alias("sday"),
             ordinal_to_iso("eday_n").alias("eday"),
             ordinal_to_iso("bday_n").alias("bday"),
@@ -361,14 +382,18 @@ def format_segments(seg: DataFrame, p: DetectParams) -> DataFrame:
     return seg.select(*cols)
 
 
-def default_segments(pixels: DataFrame, segments: DataFrame, template: DataFrame) -> DataFrame:
+def default_segments(pixels: DataFrame, segments: DataFrame, template: DataFrame,
+                     keys=PIXEL) -> DataFrame:
     """Every pixel without a segment gets one sentinel segment with
     start = end = break = day 1 and every other value null."""
-    missing = pixels.select(*PIXEL).distinct().join(segments.select(*PIXEL), PIXEL, "left_anti")
+    pay = _payload(keys)
+    ids = (pixels.groupBy(*keys).agg(*[F.first(c).alias(c) for c in pay]) if pay
+           else pixels.select(*keys).distinct())
+    missing = ids.join(segments.select(*keys), keys, "left_anti")
     iso = ordinal_to_iso(F.lit(SENTINEL_DAY))
     fill = []
     for f in template.schema.fields:
-        if f.name in PIXEL:
+        if f.name in PIXEL or f.name in keys:
             fill.append(F.col(f.name))
         elif f.name in ("sday", "eday", "bday"):
             fill.append(iso.alias(f.name))
@@ -380,11 +405,12 @@ def default_segments(pixels: DataFrame, segments: DataFrame, template: DataFrame
 def processing_mask(obs: DataFrame, used: DataFrame, keys=PIXEL) -> DataFrame:
     """Per pixel: all input days ascending as ISO strings, and the 0/1
     mask of those used by a segment (aligned with the dates)."""
-    rows = obs.select(*keys, "t", F.lit(0).alias("m")).unionByName(
-        used.select(*keys, "t", F.lit(1).alias("m")))
-    days = rows.groupBy(*keys, "t").agg(F.max("m").alias("m"))
-    g = days.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("t", "m"))).alias("_s"))
-    return g.select(*keys,
+    k = [*keys, *_payload(keys)]
+    rows = obs.select(*k, "t", F.lit(0).alias("m")).unionByName(
+        used.select(*k, "t", F.lit(1).alias("m")))
+    days = rows.groupBy(*k, "t").agg(F.max("m").alias("m"))
+    g = days.groupBy(*k).agg(F.sort_array(F.collect_list(F.struct("t", "m"))).alias("_s"))
+    return g.select(*k,
                     F.transform(F.col("_s.t"), lambda o: ordinal_to_iso(o)).alias("dates"),
                     F.transform(F.col("_s.m"), lambda m: m.cast("tinyint")).alias("mask"))
 
@@ -395,12 +421,12 @@ def detect(obs: DataFrame, p: DetectParams | None = None, max_rounds: int | None
     sentinel rows for pixels without a model."""
     p = p or DetectParams()
     checkpoint_dir(obs.sparkSession)
-    base = partition_observations(obs, p)
-    seg, used = detect_rounds(base, p, max_rounds=max_rounds, partitioned=True)
-    flat = format_segments(seg, p)
-    flat = flat.unionByName(default_segments(base, seg, flat))
-    masks = processing_mask(base, used)
-    return (flat.join(masks, PIXEL, "left")
+    base = partition_observations(obs, p, PID)
+    seg, used = detect_rounds(base, p, keys=PID, max_rounds=max_rounds, partitioned=True)
+    flat = format_segments(seg, p, PID)
+    flat = flat.unionByName(default_segments(base, seg, flat, PID))
+    masks = processing_mask(base, used, PID).drop(*PIXEL)
+    return (flat.join(masks, PID, "left").drop(*PID)
                 .withColumn("rfrawp", F.lit(None).cast("array<float>")))
 
 
