@@ -98,15 +98,6 @@ def clear_observations(obs: DataFrame, p: DetectParams) -> DataFrame:
     return obs.where(clear_flag(p))
 
 
-def variogram(clear: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
-    """Per pixel and band: median absolute difference of consecutive clear
-    observations, the noise floor of rmse."""
-    w = Window.partitionBy(*keys).orderBy("t")
-    diffs = clear.select(*keys, *[F.abs(F.col(b) - F.lag(b).over(w)).alias(b) for b in p.bands])
-    return diffs.groupBy(*keys).agg(*[F.coalesce(F.median(b), F.lit(0.0)).alias(f"vario_{b}")
-                                      for b in p.bands])
-
-
 # ---------------------------------------------------------------------------
 # One round
 # ---------------------------------------------------------------------------

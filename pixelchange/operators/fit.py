@@ -178,7 +178,3 @@ def solve(sums: DataFrame, keys, bands, terms: int = 4, ridge: float = RIDGE, ca
 def predict_sql(terms: int, band: str, t: str = "t", t0: str = "t0") -> str:
     return " + ".join(f"b_{band}_{i} * ({regressor_sql(i, t, t0)})" for i in range(terms))
 
-
-def residual(band: str, terms: int = 4, t: str = "t", t0: str = "t0"):
-    """Observed minus fitted value of a band (needs the fit joined)."""
-    return F.expr(f"({band}) - ({predict_sql(terms, band, t, t0)})")

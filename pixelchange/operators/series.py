@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType
 
 from .. import schemas
 from ..functions.dates import date_to_ordinal, in_acquired
+from ..config import CHIP_SHAPE
 from ..sources import rasters
 
 PIXEL = ["cx", "cy", "px", "py"]
@@ -70,21 +71,56 @@ def decoded_pixels(chips: DataFrame, registry: DataFrame) -> DataFrame:
     return rasters.pixel_rows(c, "values", "cx", "cy").drop("i")
 
 
-def series_for_chips(chips: DataFrame, registry: DataFrame, name: str,
-                     partitions: int | None = None) -> DataFrame:
-    """Chip records -> series rows of 'ard' or 'aux'.
+def chip_observations(chips: DataFrame, registry: DataFrame, bands=ARD_BANDS, required=ARD_BANDS,
+                      partitions: int | None = None) -> DataFrame:
+    """T3-T6 on packed rasters: chip records -> one row per (pixel, day)
+    with a column per band, only days where every ``required`` band is
+    present.
 
-    The records are shuffled by chip, not by pixel: the pivot groups
-    (pixel, day) rows that all come from records of one chip, and the
-    final repartition by chip keeps a chip's pixels together for the
-    detector's partitioning.
+    The compact records, not exploded pixel values, are what moves: they
+    are (optionally) hash partitioned by chip, grouped by (chip, day) so
+    the layers of one acquisition meet, decoded together and zipped, and
+    exploded once.  The grouping keys contain the chip, so it reuses the
+    chip partitioning, and a later per pixel grouping needs no shuffle.
     """
-    px = decoded_pixels(chips, registry)
+    c = rasters.layer_to_band(chips, registry)
+    if partitions:
+        c = c.repartition(partitions, "x", "y")
+    packed = F.struct(F.col("data"), F.col("data_type"))
+    g = c.groupBy("x", "y", "acquired").agg(
+        *[F.first(F.when(F.col("band") == b, packed), ignorenulls=True).alias(b) for b in bands])
+    dec = g.select(F.col("x").alias("cx"), F.col("y").alias("cy"),
+                   date_to_ordinal(F.substring("acquired", 1, 10)).alias("t"),
+                   *[rasters.decode(F.col(f"{b}.data"), F.col(f"{b}.data_type")).alias(b) for b in bands])
+    for b in required:
+        dec = dec.where(F.col(b).isNotNull())
+    size = F.size(F.col(required[0]))
+    full = [F.coalesce(F.col(b), F.array_repeat(F.lit(None).cast("double"), size)).alias(b) for b in bands]
+    z = dec.select("cx", "cy", "t", F.posexplode(F.arrays_zip(*full)).alias("i", "v"))
+    ncols = CHIP_SHAPE[1]
+    return z.select("cx", "cy",
+                    (F.col("cx") + F.lit(30) * (F.col("i") % ncols)).cast("int").alias("px"),
+                    (F.col("cy") - F.lit(30) * F.floor(F.col("i") / ncols)).cast("int").alias("py"),
+                    "t", *[F.col(f"v.{b}").cast(_element_type(b)).alias(b) for b in bands])
+
+
+def _element_type(band: str):
+    """Element type of a band in the declared ard/aux series schemas."""
+    for name in ("ard", "aux"):
+        schema = schemas.series_schema(name)
+        if band in schema.names:
+            return schema[band].dataType.elementType
+    return "double"
+
+
+def series_for_chips(chips: DataFrame, registry: DataFrame, name: str,
+                     partitions: int | None = None) -> DataFrame:
+    """Chip records -> series rows of 'ard' or 'aux' (see
+    ``chip_observations``; the assembly groups by pixel inside chips)."""
     bands = ARD_BANDS if name == "ard" else AUX_BANDS
     required = ARD_BANDS if name == "ard" else AUX_REQUIRED
-    wide = pivot_bands(px, bands, required=required)
-    out = conform(assemble(wide, bands), name)
-    return out.repartition(partitions, "cx", "cy") if partitions else out
+    obs = chip_observations(chips, registry, bands, required, partitions)
+    return conform(assemble(obs, bands), name)
 
 
 def ard(chips: DataFrame, registry: DataFrame, acquired: str | None = None, partitions=None) -> DataFrame:
