@@ -77,6 +77,7 @@ class DetectParams:
     refine: int = 1
     fill: int = FILL
     partitions: int | None = None
+    partition_bytes: int = 128 * 1024 * 1024
 
 
 # ---------------------------------------------------------------------------
@@ -263,15 +264,28 @@ def materialise(df: DataFrame) -> DataFrame:
         conf.set("spark.sql.adaptive.enabled", old)
 
 
-def _partitions(spark, p: DetectParams) -> int:
-    return p.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _partitions(spark, p: DetectParams, df: DataFrame | None = None) -> int:
+    """Pixel partitions: ``p.partitions`` if given, else the input's size
+    estimate over ``p.partition_bytes`` (rounds run with AQE off, so the
+    count must fit the data: ~800k partitions for 100 TB, a few for a
+    test table), never fewer than the default parallelism."""
+    if p.partitions:
+        return p.partitions
+    floor = spark.sparkContext.defaultParallelism
+    if df is None:
+        return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: fall back to the session setting
+        return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(floor, -(-size // p.partition_bytes))
 
 
 def partition_observations(obs: DataFrame, p: DetectParams, keys=PID) -> DataFrame:
     """Every input row (pixel, day, bands, clear flag), hash partitioned by
     pixel and checkpointed once: the rounds, the sentinel pixels and the
     masks all read it without shuffling or recomputing the input."""
-    n = _partitions(obs.sparkSession, p)
+    n = _partitions(obs.sparkSession, p, obs)
     if "pid" in keys and "pid" not in obs.columns:
         obs = obs.select("*", pixel_id())
     return materialise(obs.repartition(n, *keys)
@@ -287,7 +301,7 @@ def prepare(obs: DataFrame, p: DetectParams, keys=PIXEL, partitioned: bool = Fal
     else:
         if "pid" in keys and "pid" not in obs.columns:
             obs = obs.select("*", pixel_id())
-        clear = clear_observations(obs.repartition(_partitions(obs.sparkSession, p), *keys), p)
+        clear = clear_observations(obs.repartition(_partitions(obs.sparkSession, p, obs), *keys), p)
     w = Window.partitionBy(*keys).orderBy("t")
     # one window operator: row number, first day and lag differences
     diffs = [F.abs(F.col(b) - F.lag(b).over(w)).alias(f"_d_{b}") for b in p.bands] if p.variogram_floor else []
