@@ -46,6 +46,8 @@ PIXEL = ["cx", "cy", "px", "py"]
 # Inside the rounds a pixel is one bigint key (grouping and hashing one
 # long instead of four ints); cx, cy, px, py travel along as payload.
 PID = ["pid"]
+# Upper bound of pixel partitions (a partition of 100 TB / 1e6 is ~100 MB).
+MAX_PARTITIONS = 1_000_000
 
 
 def pixel_id():
@@ -278,7 +280,9 @@ def _partitions(spark, p: DetectParams, df: DataFrame | None = None) -> int:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - no estimate: fall back to the session setting
         return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return max(floor, -(-size // p.partition_bytes))
+    if size >= 2 ** 62:     # no statistics: the planner's "unknown" default size
+        return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return int(max(floor, min(-(-size // p.partition_bytes), MAX_PARTITIONS)))
 
 
 def partition_observations(obs: DataFrame, p: DetectParams, keys=PID) -> DataFrame:
