@@ -34,7 +34,8 @@ def test_read_by_ids(spark, tmp_root):
     got = T.read_segment(spark, tmp_root, ids)
     assert {r.cx for r in got.collect()} == {100, 300}
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan or "tx" in plan
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line or "Scan parquet" in line]
+    assert scan and "PartitionFilters: [" in scan[0] and "tx#" in scan[0].split("PartitionFilters: [")[1]
 
 
 def test_tile_round_trip(spark, tmp_root):
