@@ -172,7 +172,7 @@ def q13_harmonic_fit(spark, sf):
 
 def _round1(spark, sf):
     D.checkpoint_dir(spark)
-    return D._score(D.prepare(_obs(spark, sf), TREND), TREND)
+    return D._score(D.prepare(_obs(spark, sf), TREND, D.PID), TREND, D.PID)
 
 
 def q14_break_days(spark, sf):
@@ -183,7 +183,7 @@ def q14_break_days(spark, sf):
 
 
 def q15_segments(spark, sf):
-    seg = D._summarise(_round1(spark, sf), TREND)
+    seg = D._summarise(_round1(spark, sf), TREND, D.PID)
     return _norm(seg.select("px", "py", ordinal_to_iso("sday_n").alias("sday"),
                             ordinal_to_iso("eday_n").alias("eday"), ordinal_to_iso("bday_n").alias("bday"),
                             F.col("n").alias("nobs"), F.round("chprob", 4).alias("chprob"),
@@ -193,7 +193,7 @@ def q15_segments(spark, sf):
 def q16_default_sentinel(spark, sf):
     p = D.DetectParams()
     checkpoint_dir(spark)
-    modelled = D._score(D.prepare(_obs(spark, sf), p), p).select(*D.PIXEL).distinct()
+    modelled = D._score(D.prepare(_obs(spark, sf), p, D.PID), p, D.PID).select(*D.PIXEL).distinct()
     pixels = standins.table(spark, sf, "part").select(*standins.pixel_keys("p_partkey"))
     tmpl = spark.createDataFrame([], "cx int, cy int, px int, py int, sday string, eday string, bday string")
     return _norm(D.default_segments(pixels, modelled, tmpl))
