@@ -439,6 +439,30 @@ def detect(obs: DataFrame, p: DetectParams | None = None, max_rounds: int | None
                 .withColumn("rfrawp", F.lit(None).cast("array<float>")))
 
 
+def detect_tables(obs: DataFrame, p: DetectParams | None = None, max_rounds: int | None = None):
+    """D1 + D4 + D5 straight into the three stored tables.
+
+    Returns (chip, pixel, segment) frames with the table schemas.  Unlike
+    ``detect`` no wide per-segment rows are built, so a pixel's dates and
+    mask arrays are never copied onto each of its segments: segments come
+    from the round summaries, masks from the pixel-partitioned input and
+    the used days, chip dates from a partial ``collect_set`` of the input.
+    """
+    from .. import schemas
+    p = p or DetectParams()
+    checkpoint_dir(obs.sparkSession)
+    base = partition_observations(obs, p, PID)
+    seg, used = detect_rounds(base, p, keys=PID, max_rounds=max_rounds, partitioned=True)
+    flat = format_segments(seg, p, PID)
+    flat = flat.unionByName(default_segments(base, seg, flat, PID)) \
+               .withColumn("rfrawp", F.lit(None).cast("array<float>"))
+    segment = flat.select(*schemas.segment_schema().names)
+    pixel = processing_mask(base, used, PID).select(*schemas.pixel_schema().names)
+    days = base.groupBy("cx", "cy").agg(F.array_sort(F.collect_set("t")).alias("_d"))
+    chip = days.select("cx", "cy", F.transform("_d", lambda o: ordinal_to_iso(o)).alias("dates"))
+    return chip, pixel, segment
+
+
 def observations_from_series(ard: DataFrame, bands=None, qa="qas") -> DataFrame:
     """ARD series rows (parallel arrays) -> long observations, the input
     of ``detect``; ``arrays_zip`` + ``explode`` in one projection."""

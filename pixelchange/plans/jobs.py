@@ -30,18 +30,16 @@ def detect_batch(obs: DataFrame, root: str, params: D.DetectParams | None = None
                  replace_chips: bool = False) -> DataFrame:
     """Observations -> detect -> chip, pixel, segment tables.
 
-    The wide result is persisted around the three writes (segment last:
-    it is the completion marker).  Returns the distinct chip ids done.
+    The three tables come from ``detect_tables`` (no wide per-segment
+    rows); each reads the detector's checkpoints, so nothing is persisted
+    in executor memory.  Segment is written last: it is the completion
+    marker.  Returns the distinct chip ids done.
     """
-    ccd = D.detect(obs, params).persist()
-    try:
-        T.write_chip(SG.project_chip(ccd), root)
-        T.write_pixel(SG.project_pixel(ccd), root)
-        T.write_segment(SG.project_segment(ccd), root, replace_chips=replace_chips)
-        done = ccd.select("cx", "cy").distinct()
-        return done.checkpoint(eager=True)
-    finally:
-        ccd.unpersist()
+    chip, pixel, segment = D.detect_tables(obs, params)
+    T.write_chip(chip, root)
+    T.write_pixel(pixel, root)
+    T.write_segment(segment, root, replace_chips=replace_chips)
+    return chip.select("cx", "cy").checkpoint(eager=True)
 
 
 def take_chips(chips: DataFrame, number: int | None) -> DataFrame:

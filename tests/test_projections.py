@@ -50,3 +50,15 @@ def test_tile_projection(spark):
                                                                  "updated string, extra boolean")
     t = tile.select(*schemas.tile_schema().names)
     assert json.loads(json_rows(t).first().json) == {"tx": 1, "ty": 2, "name": "n", "model": "m", "updated": "u"}
+
+
+def test_detect_tables_equal_wide_projections(spark):
+    from pixelchange.operators import detect as D
+    from pixelchange.sources import standins
+    obs = standins.observations(spark, "/root/testdata/sf0.001")
+    chip, pixel, segment = D.detect_tables(obs)
+    ccd = D.detect(obs)
+    norm = lambda df: sorted(r.json for r in json_rows(df).collect())
+    assert norm(chip) == norm(SG.project_chip(ccd))
+    assert norm(pixel) == norm(SG.project_pixel(ccd))
+    assert norm(segment) == norm(SG.project_segment(ccd))
