@@ -11,8 +11,11 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "pixelchange") -> SparkSession:
-    """Session used by tests and bench; a cluster brings its own."""
+                  app: str = "pixelchange", checkpoints: str | None = None) -> SparkSession:
+    """Session used by tests and bench; a cluster brings its own.
+
+    ``checkpoints`` becomes ``spark.checkpoint.dir`` (default: a fresh folder,
+    which is enough for the one machine that a local session runs on)."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -27,6 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config(CHECKPOINT_CONF, checkpoints or tempfile.mkdtemp(prefix="pixelchange-ckpt-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -49,7 +53,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="pixelchange-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path

@@ -13,9 +13,8 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from pixelchange.session import checkpoint_dir, local_session
-    s = local_session("4", shuffle_partitions=4, app="pixelchange-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pc-test-ckpt-"))
+    s = local_session("4", shuffle_partitions=4, app="pixelchange-tests",
+                      checkpoints=tempfile.mkdtemp(prefix="pc-test-ckpt-"))
     checkpoint_dir(s)
     yield s
 
