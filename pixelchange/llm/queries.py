@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pixelchange.llm import lang_id, sentencepiece_rounds
+from pixelchange.llm import decision_list, decontaminate, edit_tokens, lang_id, licences, ngram_jaccard, relative_lz, sentencepiece_rounds, shards, warc
 from pixelchange.llm.common import table
 
 
@@ -17,6 +17,33 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def rank_file() -> str:
+    """Default vocabulary of op5."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.op1_ngram_jaccard(table(spark, sf_dir, "documents"))
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decision_list.op2_quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relative_lz.op3_substring_dedup(table(spark, sf_dir, "documents"))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.op4_decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_tokens.op5_token_counts(table(spark, sf_dir, "documents"), rank_file())
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.op6_language_id(table(spark, sf_dir, "documents"))
 
@@ -25,9 +52,34 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_rounds.digest_documents(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op8_warc(table(spark, sf_dir, "pages"))
+
+
+def op9_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_relative_lz": op3_relative_lz,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_edit_token_counts": op5_edit_token_counts,
     "op6_language_id": op6_language_id,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_warc": op8_warc,
+    "op9_extendible_shards": op9_extendible_shards,
+    "op10_license_scan": op10_license_scan,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_relative_lz": relative_lz.removal_sql(),
+    "op8_warc": warc.WARC_SQL,
+    "op9_extendible_shards": shards.shard_sql(),
+    "op10_license_scan": licences.scan_sql(),
+}
