@@ -49,3 +49,18 @@ def in_acquired(date_col, acquired: str) -> Column:
     start, end = parse_acquired(acquired)
     d = F.to_date(_col(date_col))
     return d.between(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
+
+
+def in_acquired_days(day, acquired: str) -> Column:
+    """The same for a day number column: plain bounds, which scans push down."""
+    start, end = parse_acquired(acquired)
+    return _col(day).between(F.lit(iso_to_ordinal(start)), F.lit(iso_to_ordinal(end)))
+
+
+def in_acquired_time(time, acquired: str) -> Column:
+    """The same for a timestamp column: from the first day's start to before the
+    day after the last, without a function on the column."""
+    start, end = parse_acquired(acquired)
+    after = datetime.date.fromordinal(iso_to_ordinal(end) + 1).isoformat()
+    t = _col(time)
+    return (t >= F.lit(start).cast("timestamp")) & (t < F.lit(after).cast("timestamp"))

@@ -120,14 +120,14 @@ def near(df: DataFrame, x="x", y="y", level="tile") -> DataFrame:
 
 
 def training_chips(df: DataFrame, x="x", y="y") -> DataFrame:
-    """All chip ids of the 9 tiles around each point (distinct)."""
+    """All chip ids of the 9 tiles around each point (distinct, as the tiles are)."""
     tiles = near(df, x, y, "tile").select(F.col("nx").alias("tx"), F.col("ny").alias("ty")).distinct()
-    return chips(extents(tiles, "tx", "ty")).select("cx", "cy").distinct()
+    return chips(extents(tiles, "tx", "ty")).select("cx", "cy")
 
 
 def classification_chips(df: DataFrame, x="x", y="y") -> DataFrame:
-    """Chip ids of the tile of each point (distinct)."""
-    return chips(tile(df, x, y).select("ulx", "uly").distinct()).select("cx", "cy").distinct()
+    """Chip ids of the tile of each point (distinct, as the tiles are)."""
+    return chips(tile(df, x, y).select("ulx", "uly").distinct()).select("cx", "cy")
 
 
 def tile_of_chip(cx="cx", cy="cy"):

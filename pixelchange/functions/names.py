@@ -2,32 +2,30 @@
 
 from __future__ import annotations
 
-import re
-from urllib.parse import urlparse
-
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import NAMESPACE_FORMAT, VERSION
 
 
-def _cql_safe(s: str) -> str:
-    return re.sub(r"[^A-Za-z0-9_]", "_", s)
-
-
-def namespace_name(ard_url: str = "", aux_url: str = "", version: str = VERSION) -> str:
-    """Slashes removed from both URL paths, made identifier safe, lower-cased,
-    leading underscores stripped: ('', '', '1.0') -> 'ccdc_1_0'."""
-    ard = urlparse(ard_url).path.replace("/", "")
-    aux = urlparse(aux_url).path.replace("/", "")
-    name = _cql_safe(NAMESPACE_FORMAT.format(ard, aux, version.strip()))
-    return name.strip().lower().lstrip("_")
-
-
 def namespace_column(ard_path, aux_path, version) -> Column:
-    """The same rule as a column expression over path columns."""
-    c = lambda v: F.col(v) if isinstance(v, str) else v
-    raw = F.concat_ws("_", F.regexp_replace(c(ard_path), "/", ""),
-                      F.regexp_replace(c(aux_path), "/", ""),
-                      F.lit("ccdc"), F.trim(c(version)))
-    return F.regexp_replace(F.lower(F.regexp_replace(raw, "[^A-Za-z0-9_]", "_")), "^_+", "")
+    """Paths without slashes and the version, put into the namespace format,
+    lower case, everything but letters, digits and '_' replaced by '_', and
+    nothing of that in front."""
+    part = [F.regexp_replace(F.col(p) if isinstance(p, str) else p, "/", "") for p in (ard_path, aux_path)]
+    last = F.trim(F.col(version) if isinstance(version, str) else version)
+    form = F.format_string(NAMESPACE_FORMAT.replace("{0}", "%1$s").replace("{1}", "%2$s").replace("{2}", "%3$s"), *part, last)
+    return F.ltrim(F.lower(F.regexp_replace(form, "[^A-Za-z0-9_]", "_")), F.lit("_"))
+
+
+def url_path(url) -> Column:
+    """Path of a URL; a text without scheme is a path itself."""
+    u = F.col(url) if isinstance(url, str) else url
+    bare = F.regexp_replace(u, "[?#].*$", "")
+    return F.when(u.contains("://"), F.regexp_replace(bare, "^[^:]*://[^/]*", "")).otherwise(bare)
+
+
+def namespace_name(spark: SparkSession, ard_url: str = "", aux_url: str = "", version: str = VERSION) -> str:
+    """The name for two URLs: ('', '', '1.0') gives 'ccdc_1_0'."""
+    row = spark.range(1).select(namespace_column(url_path(F.lit(ard_url)), url_path(F.lit(aux_url)), F.lit(version)).alias("n"))
+    return row.first()["n"]

@@ -31,11 +31,13 @@ observations); it is never capped.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..config import (BAND_PREFIX, BAND_SERIES, BANDS, CHI2_99_5, DAYS_PER_YEAR, DETECTION_BANDS, FILL,
                       MIN_OBSERVATIONS, PEEK_SIZE, SENTINEL_DAY)
 from ..functions.dates import ordinal_to_iso
@@ -46,8 +48,10 @@ PIXEL = ["cx", "cy", "px", "py"]
 # Inside the rounds a pixel is one bigint key (grouping and hashing one
 # long instead of four ints); cx, cy, px, py travel along as payload.
 PID = ["pid"]
-# Upper bound of pixel partitions (a partition of 100 TB / 1e6 is ~100 MB).
-MAX_PARTITIONS = 1_000_000
+# Bytes of an observation row inside the rounds, and how much larger rows
+# are there than in the (compressed) files that a size estimate is of.
+ROW_BYTES = 100
+EXPANSION = 6
 
 
 def pixel_id():
@@ -115,8 +119,8 @@ def _score(active: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
     found as islands of consecutive flagged rows: only flagged rows (few)
     are numbered, runs are grouped by ``n - row_number``, and the first
     run of at least ``peek`` rows starts the break.  Returns the active
-    rows with the model, z, flag, init_n, last_n, brk_n/brk_t (null: no
-    break) and the length of a trailing run of flags.
+    rows with flag, init_n, last_n, brk_n/brk_t (null: no break) and the
+    length of a trailing run of flags.
     """
     span = F.lit(p.min_years * DAYS_PER_YEAR)
     xs = fitmod.with_regressors(active, p.terms)
@@ -130,13 +134,6 @@ def _score(active: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
     model = fitmod.solve(sums, keys, p.bands, p.terms, p.ridge, carry=("n", "last_n")) \
         .withColumnRenamed("n", "init_n")
     scored = xs.join(model.hint("shuffle_hash"), keys, "inner")
-    z = F.lit(0.0)
-    for b in p.detection_bands:
-        rm = F.col(f"rmse_{b}")
-        if p.variogram_floor:
-            rm = F.greatest(rm, F.col(f"vario_{b}"))
-        r = fitmod.residual_cols(b, p.terms)
-        z = z + F.when(rm > 0, (r / rm) * (r / rm)).otherwise(F.lit(0.0))
     # the flagged rows are checkpointed once: the break search and the
     # rows it is joined back to then read it, instead of fitting twice
     return _breaks(materialise(_flag(scored, p)), p, keys)
@@ -152,8 +149,9 @@ def _flag(scored: DataFrame, p: DetectParams) -> DataFrame:
             rm = F.greatest(rm, F.col(f"vario_{b}"))
         r = fitmod.residual_cols(b, p.terms)
         z = z + F.when(rm > 0, (r / rm) * (r / rm)).otherwise(F.lit(0.0))
-    return scored.select("*", z.alias("z")).drop(*[f"_x{i}" for i in range(1, p.terms)]) \
-                 .withColumn("flag", ((F.col("n") > F.col("init_n")) & (F.col("z") > p.threshold)).cast("int"))
+    # only what later steps read: the model itself stays out of the rows
+    keep = [c for c in scored.columns if not c.startswith(("_x", "b_", "rmse_"))]
+    return scored.select(*keep, ((F.col("n") > F.col("init_n")) & (z > p.threshold)).cast("int").alias("flag"))
 
 
 def _refine(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
@@ -161,9 +159,7 @@ def _refine(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
     when none), re-score and find the break again: a model of the whole
     stable stretch drifts less than one of the first year."""
     before = (F.col("brk_n").isNull() | (F.col("n") < F.col("brk_n"))) & (F.col("flag") == 0)
-    model_cols = [f"b_{b}_{i}" for b in p.bands for i in range(p.terms)] + [f"rmse_{b}" for b in p.bands]
-    base = scored.select("*", before.alias("_before")) \
-                 .drop(*model_cols, "z", "flag", "brk_n", "brk_t", "trailing")
+    base = scored.select("*", before.alias("_before")).drop("flag", "brk_n", "brk_t", "trailing")
     xs = fitmod.with_regressors(base, p.terms)
     use = F.col("_before")
     sums = xs.groupBy(*keys).agg(F.count(F.when(use, 1)).alias("n"),
@@ -188,7 +184,8 @@ def _breaks(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
                .select(*keys, F.col("_b.start").alias("brk_n"), F.col("_b.t_start").alias("brk_t"),
                        (F.col("_l.start") + F.col("_l.len") - 1).alias("_last_end"),
                        F.col("_l.len").alias("_last_len")))
-    scored = scored.join(brk.hint("shuffle_hash"), keys, "left")
+    # one narrow row per pixel with a flag; every reader joins it anew
+    scored = scored.join(materialise(brk).hint("shuffle_hash"), keys, "left")
     trailing = F.when(F.col("_last_end") == F.col("last_n"), F.col("_last_len")).otherwise(F.lit(0))
     return scored.select("*", trailing.alias("trailing")).drop("_last_end", "_last_len")
 
@@ -258,31 +255,36 @@ def materialise(df: DataFrame) -> DataFrame:
     with AQE off (restored at once); later reads see the partitioning.
     """
     conf = df.sparkSession.conf
-    old = conf.get("spark.sql.adaptive.enabled", "true")
-    conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        conf.set("spark.sql.adaptive.enabled", old)
-
-
-def _partitions(spark, p: DetectParams, df: DataFrame | None = None) -> int:
-    """Pixel partitions: ``p.partitions`` if given, else the input's size
-    estimate over ``p.partition_bytes`` (rounds run with AQE off, so the
-    count must fit the data: ~800k partitions for 100 TB, a few for a
-    test table), never fewer than the default parallelism."""
+    with _PLANNING:
+        old = conf.get("spark.sql.adaptive.enabled", "true")
+        conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            return df.checkpoint(eager=True)
+        finally:
+            conf.set("spark.sql.adaptive.enabled", old)
+
+
+# The switch above holds for a whole session; detectors that run in other
+# threads of the driver wait for their turn.
+_PLANNING = threading.RLock()
+
+
+def _partitions(spark, p: DetectParams, df: DataFrame) -> int:
+    """Pixel partitions: ``p.partitions`` if given, else rows over
+    ``p.partition_bytes`` (rounds run with AQE off, so the count must fit
+    the data), never fewer than the default parallelism.
+
+    Rows are taken from the plan's size estimate; without one (rasters
+    joined with a generated registry have none) they are counted."""
     if p.partitions:
         return p.partitions
-    floor = spark.sparkContext.defaultParallelism
-    if df is None:
-        return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: fall back to the session setting
-        return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    if size >= 2 ** 62:     # no statistics: the planner's "unknown" default size
-        return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return int(max(floor, min(-(-size // p.partition_bytes), MAX_PARTITIONS)))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = df.count() * ROW_BYTES if size >= UNKNOWN_BYTES else size * EXPANSION
+    return int(max(spark.sparkContext.defaultParallelism, -(-size // p.partition_bytes)))
+
+
+# Estimates from here on are products of the planner's "unknown" size.
+UNKNOWN_BYTES = 2 ** 60
 
 
 def partition_observations(obs: DataFrame, p: DetectParams, keys=PID) -> DataFrame:
@@ -313,36 +315,32 @@ def prepare(obs: DataFrame, p: DetectParams, keys=PIXEL, partitioned: bool = Fal
                        F.first("t").over(w).alias("t0"), *diffs)
     if not p.variogram_floor:
         return num
-    vario = num.groupBy(*keys).agg(*[F.coalesce(F.median(f"_d_{b}"), F.lit(0.0)).alias(f"vario_{b}")
-                                     for b in p.bands])
-    return num.drop(*[f"_d_{b}" for b in p.bands]).join(vario.hint("shuffle_hash"), keys)
+    # the same partitioning and order, so neither a shuffle nor a second sort
+    whole = Window.partitionBy(*keys)
+    vario = [F.coalesce(F.median(f"_d_{b}").over(whole), F.lit(0.0)).alias(f"vario_{b}") for b in p.bands]
+    return num.select("*", *vario).drop(*[f"_d_{b}" for b in p.bands])
 
 
-def detect_rounds(obs: DataFrame, p: DetectParams | None = None, keys=PIXEL,
-                  max_rounds: int | None = None, partitioned: bool = False):
+def detect_rounds(obs: DataFrame, p: DetectParams | None = None, keys=PIXEL, partitioned: bool = False):
     """All segments of all pixels.
 
     Returns (segments, used): ``segments`` has one row per pixel segment
-    (long per band: b_{band}_{i}, rmse_{band}, mag_{band}), ``used`` one
-    row per (pixel, day) that some segment used.  ``max_rounds`` is for
-    single round queries only; the default runs until no pixel is left.
+    (long per band: b_{band}_{i}, rmse_{band}, mag_{band}; ``seg`` counts
+    the pixel's segments from 1), ``used`` one row per (pixel, day) that
+    some segment used.  Rounds go on until no pixel is left.
     """
     p = p or DetectParams()
     checkpoint_dir(obs.sparkSession)
     # every branch of a round reads a checkpoint, never a recomputed
-    # aggregate: prepare, score and each refinement are materialised
+    # aggregate: prepared rows, flagged rows of each fit, breaks, summaries
     active = materialise(prepare(obs, p, keys, partitioned))
     segments, used = [], []
-    r = 0
     while True:
-        r += 1
-        scored = materialise(_score(active, p, keys))
+        scored = _score(active, p, keys)
         for _ in range(p.refine):
-            scored = materialise(_refine(scored, p, keys))
-        segments.append(_summarise(scored, p, keys).withColumn("seg", F.lit(r)))
+            scored = _refine(scored, p, keys)
+        segments.append(materialise(_summarise(scored, p, keys).withColumn("seg", F.lit(len(segments) + 1))))
         used.append(_used(scored, keys))
-        if max_rounds is not None and r >= max_rounds:
-            break
         active = _next_active(scored, p, keys)
         if active.where(F.col("n") == p.min_obs).isEmpty():
             break
@@ -424,22 +422,23 @@ def processing_mask(obs: DataFrame, used: DataFrame, keys=PIXEL) -> DataFrame:
                     F.transform(F.col("_s.m"), lambda m: m.cast("tinyint")).alias("mask"))
 
 
-def detect(obs: DataFrame, p: DetectParams | None = None, max_rounds: int | None = None) -> DataFrame:
+def detect(obs: DataFrame, p: DetectParams | None = None) -> DataFrame:
     """D1-D3 + D4 + D5 + D7: observations -> wide detection result
     (segment columns, dates, mask, rfrawp = null), one row per segment,
-    sentinel rows for pixels without a model."""
+    sentinel rows for pixels without a model.  Columns of the detection
+    schema (D6), then the algorithm's name (D8)."""
     p = p or DetectParams()
     checkpoint_dir(obs.sparkSession)
     base = partition_observations(obs, p, PID)
-    seg, used = detect_rounds(base, p, keys=PID, max_rounds=max_rounds, partitioned=True)
+    seg, used = detect_rounds(base, p, keys=PID, partitioned=True)
     flat = format_segments(seg, p, PID)
     flat = flat.unionByName(default_segments(base, seg, flat, PID))
     masks = processing_mask(base, used, PID).drop(*PIXEL)
-    return (flat.join(masks, PID, "left").drop(*PID)
-                .withColumn("rfrawp", F.lit(None).cast("array<float>")))
+    wide = flat.join(masks, PID, "left").withColumn("rfrawp", F.lit(None).cast("array<float>"))
+    return wide.select(*schemas.detection_schema().names, F.lit(algorithm()).alias("algorithm"))
 
 
-def detect_tables(obs: DataFrame, p: DetectParams | None = None, max_rounds: int | None = None):
+def detect_tables(obs: DataFrame, p: DetectParams | None = None):
     """D1 + D4 + D5 straight into the three stored tables.
 
     Returns (chip, pixel, segment) frames with the table schemas.  Unlike
@@ -448,11 +447,10 @@ def detect_tables(obs: DataFrame, p: DetectParams | None = None, max_rounds: int
     from the round summaries, masks from the pixel-partitioned input and
     the used days, chip dates from a partial ``collect_set`` of the input.
     """
-    from .. import schemas
     p = p or DetectParams()
     checkpoint_dir(obs.sparkSession)
     base = partition_observations(obs, p, PID)
-    seg, used = detect_rounds(base, p, keys=PID, max_rounds=max_rounds, partitioned=True)
+    seg, used = detect_rounds(base, p, keys=PID, partitioned=True)
     flat = format_segments(seg, p, PID)
     flat = flat.unionByName(default_segments(base, seg, flat, PID)) \
                .withColumn("rfrawp", F.lit(None).cast("array<float>"))

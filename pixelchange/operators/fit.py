@@ -10,8 +10,7 @@ bands, so one ``groupBy().agg()`` collects the sums of products X'X
 partial aggregate, so no series is ever gathered in one place.  The
 normal equations (with a small ridge on the non-intercept terms) are then
 solved by an unrolled Cholesky factorisation written as SQL expressions,
-which keeps the solve inside whole-stage codegen.  The same expression
-text runs in DuckDB, which is how the oracle checks it.
+which keeps the solve inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -45,27 +44,6 @@ def regressor_sql(i: int, t: str = "t", t0: str = "t0") -> str:
     raise ValueError(i)
 
 
-def sum_names(terms: int, bands):
-    xx = [f"xx_{i}{j}" for i in range(terms) for j in range(i + 1)]
-    xy = [f"xy_{b}_{i}" for b in bands for i in range(terms)]
-    yy = [f"yy_{b}" for b in bands]
-    return xx, xy, yy
-
-
-def sum_exprs_sql(terms: int, bands, t="t", t0="t0") -> list[tuple[str, str]]:
-    """(alias, aggregate SQL) pairs of every sum the solve needs."""
-    x = [regressor_sql(i, t, t0) for i in range(terms)]
-    out = []
-    for i in range(terms):
-        for j in range(i + 1):
-            out.append((f"xx_{i}{j}", f"sum(({x[i]}) * ({x[j]}))"))
-    for b in bands:
-        for i in range(terms):
-            out.append((f"xy_{b}_{i}", f"sum(({x[i]}) * cast({b} as double))"))
-        out.append((f"yy_{b}", f"sum(cast({b} as double) * cast({b} as double))"))
-    return out
-
-
 def cholesky_sql(terms: int, ridge: float = RIDGE) -> list[tuple[str, str]]:
     """(alias, SQL) for the factor L of X'X + ridge*I' (lower triangle)."""
     a = lambda i, j: f"xx_{max(i, j)}{min(i, j)}" + (f" + {dbl(ridge)}" if i == j and i > 0 else "")
@@ -173,8 +151,3 @@ def solve(sums: DataFrame, keys, bands, terms: int = 4, ridge: float = RIDGE, ca
     keep = list(keys) + list(carry) + [f"b_{b}_{i}" for b in bands for i in range(terms)] \
         + [f"rmse_{b}" for b in bands]
     return out.select(*keep)
-
-
-def predict_sql(terms: int, band: str, t: str = "t", t0: str = "t0") -> str:
-    return " + ".join(f"b_{band}_{i} * ({regressor_sql(i, t, t0)})" for i in range(terms))
-

@@ -22,14 +22,13 @@ def stable_layout(fdf: DataFrame, partitions: int | None = None) -> DataFrame:
     return fdf.repartition(n, *FEATURE_KEYS).sortWithinPartitions(*FEATURE_KEYS)
 
 
-def pipeline(fdf: DataFrame, num_trees: int = NUM_TREES, seed: int = SEED) -> Pipeline:
-    """M2: pre-fitted label and feature indexers + the forest."""
-    lindex = StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="keep").fit(fdf)
-    findex = VectorIndexer(inputCol="features", outputCol="feature_index",
-                           maxCategories=MAX_CATEGORIES, handleInvalid="keep").fit(fdf)
-    rf = RandomForestClassifier(labelCol="label_index", featuresCol="feature_index",
-                                numTrees=num_trees, seed=seed)
-    return Pipeline(stages=[lindex, findex, rf])
+def stages(num_trees: int = NUM_TREES, seed: int = SEED) -> list:
+    """M2, not fitted yet: classes by frequency, features with few values as
+    categories, forest.  Values that training did not see get a slot of
+    their own in both indexers."""
+    return [StringIndexer(inputCol="label", outputCol="class", handleInvalid="keep"),
+            VectorIndexer(inputCol="features", outputCol="inputs", maxCategories=MAX_CATEGORIES, handleInvalid="keep"),
+            RandomForestClassifier(labelCol="class", featuresCol="inputs", numTrees=num_trees, seed=seed)]
 
 
 def fit(fdf: DataFrame, num_trees: int = NUM_TREES, seed: int = SEED):
@@ -38,7 +37,7 @@ def fit(fdf: DataFrame, num_trees: int = NUM_TREES, seed: int = SEED):
     try:
         if fdf.isEmpty():
             return None
-        return pipeline(fdf, num_trees, seed).fit(fdf)
+        return Pipeline(stages=stages(num_trees, seed)).fit(fdf)
     finally:
         fdf.unpersist()
 

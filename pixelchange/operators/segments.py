@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import schemas
-from ..config import CHIP_KEY, PIXEL_KEY, SEGMENT_KEY
+from ..config import BAND_PREFIX, CHIP_KEY, PIXEL_KEY, SEGMENT_KEY, SENTINEL_DAY
 from ..functions.dates import ordinal_to_iso
 
 
@@ -48,3 +49,42 @@ def filter_detected(df: DataFrame) -> DataFrame:
 def join_predictions(segments: DataFrame, predictions: DataFrame) -> DataFrame:
     """The prediction's rfrawp replaces the stored one."""
     return segments.drop("rfrawp").join(predictions, SEGMENT_KEY, "inner")
+
+
+# Names of the fields of nested change models and the ending
+# that each gets in the flat row.
+MODEL_FIELDS = {"magnitude": "mag", "rmse": "rmse", "coefficients": "coef", "intercept": "int"}
+
+
+def change_model_type() -> str:
+    """DDL of one nested change model."""
+    band = "struct<magnitude:float,rmse:float,coefficients:array<float>,intercept:float>"
+    return ("struct<start_day:int,end_day:int,break_day:int,observation_count:int,change_probability:float,curve_qa:float,"
+            + ",".join(f"{b}:{band}" for b in BAND_PREFIX) + ">")
+
+
+def format_change_models(results: DataFrame) -> DataFrame:
+    """D4/D5/F6 for nested results: pixel keys, ``dates`` (day numbers),
+    ``change_models`` (array of ``change_model_type``) and
+    ``processing_mask`` -> one flat row per model.
+
+    Without models a pixel gets the sentinel model of day 1.  Absent fields
+    (null bands, days, models) give null."""
+    sentinel = F.array(F.named_struct(*[x for f in ("start_day", "end_day", "break_day") for x in (F.lit(f), F.lit(SENTINEL_DAY))]))
+    kind = f"array<{change_model_type()}>"
+    known = results.schema["change_models"].dataType.elementType.fieldNames()
+    full = F.transform(F.coalesce("change_models", F.array().cast(results.schema["change_models"].dataType)), lambda m: F.struct(*[
+        (m[f.name] if f.name in known else F.lit(None).cast(f.dataType)).alias(f.name) for f in _fields(kind)]))
+    empty = F.transform(sentinel, lambda m: F.struct(*[
+        (m[f.name] if f.name in ("start_day", "end_day", "break_day") else F.lit(None).cast(f.dataType)).alias(f.name) for f in _fields(kind)]))
+    models = F.when(F.size(full) > 0, full.cast(kind)).otherwise(empty.cast(kind))
+    rows = results.select(*PIXEL_KEY, "dates", "processing_mask", F.explode(models).alias("m"))
+    cols = [ordinal_to_iso(F.col(f"m.{a}")).alias(b) for a, b in (("start_day", "sday"), ("end_day", "eday"), ("break_day", "bday"))]
+    cols += [F.col("m.change_probability").alias("chprob"), F.col("m.curve_qa").cast("int").alias("curqa")]
+    cols += [F.col(f"m.{b}.{field}").alias(p + end) for field, end in MODEL_FIELDS.items() for b, p in BAND_PREFIX.items()]
+    return rows.select(*PIXEL_KEY, *cols, F.transform("dates", lambda d: ordinal_to_iso(d)).alias("dates"),
+                       F.col("processing_mask").cast("array<tinyint>").alias("mask"), F.lit(None).cast("array<float>").alias("rfrawp"))
+
+
+def _fields(kind: str):
+    return StructType.fromDDL(f"a {kind}")["a"].dataType.elementType.fields

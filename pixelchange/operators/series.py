@@ -86,16 +86,23 @@ def chip_observations(chips: DataFrame, registry: DataFrame, bands=ARD_BANDS, re
     c = rasters.layer_to_band(chips, registry)
     if partitions:
         c = c.repartition(partitions, "x", "y")
+    # layers of one sensor only: two sensors may see a chip at the same time
+    c = c.withColumn("sensor", F.upper(F.substring("ubid", 1, 4)))
     packed = F.struct(F.col("data"), F.col("data_type"))
-    g = c.groupBy("x", "y", "acquired").agg(
-        *[F.first(F.when(F.col("band") == b, packed), ignorenulls=True).alias(b) for b in bands])
+    g = c.groupBy("x", "y", "acquired", "sensor").agg(
+        *[F.max(F.when(F.col("band") == b, packed)).alias(b) for b in bands])
+    for b in required:
+        g = g.where(F.col(f"{b}.data").isNotNull())
+    # of complete acquisitions at one time the first sensor by name counts
+    g = (g.groupBy("x", "y", "acquired").agg(F.min_by(F.struct(*bands), "sensor").alias("s"))
+          .select("x", "y", "acquired", "s.*"))
     dec = g.select(F.col("x").alias("cx"), F.col("y").alias("cy"),
                    date_to_ordinal(F.substring("acquired", 1, 10)).alias("t"),
                    *[rasters.decode(F.col(f"{b}.data"), F.col(f"{b}.data_type")).alias(b) for b in bands])
     for b in required:
         dec = dec.where(F.col(b).isNotNull())
     size = F.size(F.col(required[0]))
-    full = [F.coalesce(F.col(b), F.array_repeat(F.lit(None).cast("double"), size)).alias(b) for b in bands]
+    full = [F.coalesce(F.col(b), F.array_repeat(F.lit(None).cast("float"), size)).alias(b) for b in bands]
     z = dec.select("cx", "cy", "t", F.posexplode(F.arrays_zip(*full)).alias("i", "v"))
     ncols = CHIP_SHAPE[1]
     return z.select("cx", "cy",

@@ -11,18 +11,21 @@ caller's session is never stopped.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import NUM_TREES
+from ..config import CHIP_SHAPE, NUM_TREES
 from ..functions import grid
-from ..functions.dates import acquired_default, date_to_ordinal, in_acquired, ordinal_to_date
+from ..functions.dates import acquired_default, date_to_ordinal, in_acquired_days
 from ..operators import detect as D
 from ..operators import features as FT
 from ..operators import forest as RF
 from ..operators import segments as SG
+from ..operators import series as SR
+from ..sources import rasters
 from ..sources import tables as T
 
 
@@ -49,13 +52,14 @@ def take_chips(chips: DataFrame, number: int | None) -> DataFrame:
 
 
 def chunk_chips(chips: DataFrame, chunk_size: int) -> DataFrame:
-    """A5: batch number = floor((row_number - 1) / chunk_size) in chip order.
+    """A5: number of a chip's batch inside its tile.
 
-    The chip list of a job is bounded (chips of one tile), so the global
-    ordering window runs on a few thousand rows.
-    """
-    w = Window.orderBy("cx", F.desc("cy"))
-    return chips.withColumn("batch", F.floor((F.row_number().over(w) - 1) / F.lit(chunk_size)))
+    The place of a chip in its tile, column by column from the top, is
+    arithmetic on its corner, so no rows are sorted or numbered."""
+    tx, ty = grid.tile_of_chip("cx", "cy")
+    side = int(grid.definition("chip")["sx"])
+    i, j = F.floor((F.col("cx") - tx) / side), F.floor((ty - F.col("cy")) / side)
+    return chips.withColumn("batch", F.floor((i * grid.chips_per_side() + j) / F.lit(chunk_size)))
 
 
 def tile_chips(spark: SparkSession, x: float, y: float) -> DataFrame:
@@ -65,34 +69,61 @@ def tile_chips(spark: SparkSession, x: float, y: float) -> DataFrame:
 
 
 def _restrict(obs: DataFrame, chips: DataFrame) -> DataFrame:
-    # chips of a tile or of its 3x3 neighbourhood: at most 22,500 ids
-    return obs.join(F.broadcast(chips.select("cx", "cy")), ["cx", "cy"], "left_semi")
+    # chips of a tile or of its 3x3 neighbourhood: at most 22,500 distinct ids
+    return obs.join(F.broadcast(chips.select("cx", "cy").distinct()), ["cx", "cy"], "left_semi")
 
 
 def change_detection(spark: SparkSession, x: float, y: float, obs: DataFrame, root: str,
-                     acquired: str | None = None, number: int | None = 2500,
+                     acquired: str | None = None, number: int | None = None,
                      chunk_size: int | None = None, params: D.DetectParams | None = None) -> DataFrame:
-    """Detect every chip of the tile holding (x, y) (first ``number``)."""
+    """Detect every chip of the tile holding (x, y) (the first ``number`` if given)."""
     acquired = acquired or acquired_default()
     chips = take_chips(tile_chips(spark, x, y), number)
-    obs = obs.where(in_acquired(ordinal_to_date(F.col("t")), acquired))
+    obs = obs.where(in_acquired_days("t", acquired))
     if not chunk_size:
         return detect_batch(_restrict(obs, chips), root, params)
     batched = chunk_chips(chips, chunk_size).checkpoint(eager=True)
-    nb = batched.agg(F.max("batch")).first()[0]
+    # a tile has 2,500 chips, so there are at most so many batches
+    batches = sorted(r["batch"] for r in batched.select("batch").distinct().collect())
     done = None
-    for b in range(int(nb) + 1 if nb is not None else 0):
+    for b in batches:
         part = detect_batch(_restrict(obs, batched.where(F.col("batch") == b)), root, params)
         done = part if done is None else done.unionByName(part)
     return done
 
 
+def detect_chips(spark: SparkSession, ids: DataFrame, chips_path: str, registry: DataFrame, root: str,
+                 acquired: str | None = None, params: D.DetectParams | None = None, fmt: str = "json") -> DataFrame:
+    """E1 from chip ids and raster chip files: scan, decode, assemble, detect, write.
+
+    The number of pixel partitions follows from the number of acquisitions
+    (their packed rasters are counted, not decoded)."""
+    chips = rasters.scan_chips(spark, chips_path, ids, acquired or acquired_default(), fmt)
+    params = params or D.DetectParams()
+    if params.partitions is None:
+        rows = chips.select("x", "y", "acquired").distinct().count() * CHIP_SHAPE[0] * CHIP_SHAPE[1]
+        size = -(-rows * D.ROW_BYTES // params.partition_bytes)
+        params = dataclasses.replace(params, partitions=max(spark.sparkContext.defaultParallelism, size))
+    return detect_batch(SR.chip_observations(chips, registry), root, params)
+
+
+def aux_for_chips(spark: SparkSession, ids: DataFrame, chips_path: str, registry: DataFrame,
+                  acquired: str | None = None, fmt: str = "json") -> DataFrame:
+    """AUX series of chip ids from raster chip files, for training and classification."""
+    return SR.aux(rasters.scan_chips(spark, chips_path, ids, None, fmt), registry, acquired or acquired_default())
+
+
+def _aux_acquired(aux: DataFrame, acquired: str | None) -> DataFrame:
+    """AUX rows with an acquisition inside the range (all without a range)."""
+    return aux if acquired is None else aux.where(F.exists("dates", lambda d: in_acquired_days(d, acquired)))
+
+
 def training(aux: DataFrame, root: str, msday: int, meday: int,
-             num_trees: int = NUM_TREES, seed: int = RF.SEED):
+             num_trees: int = NUM_TREES, seed: int = RF.SEED, acquired: str | None = None):
     """Aux -> labels filter -> stored segments of those chips inside
     the period -> features -> forest (None when nothing to train on)."""
     spark = aux.sparkSession
-    aux = FT.filter_labels(aux)
+    aux = FT.filter_labels(_aux_acquired(aux, acquired))
     ids = aux.select("cx", "cy").distinct()                                  # A1
     ccd = SG.filter_period(SG.filter_detected(T.read_segment(spark, root, ids)), msday, meday)
     fdf = FT.features(aux, ccd)
@@ -101,38 +132,53 @@ def training(aux: DataFrame, root: str, msday: int, meday: int,
 
 def classification(spark: SparkSession, x: float, y: float, msday: int, meday: int,
                    aux: DataFrame, root: str, num_trees: int = NUM_TREES,
-                   model_path: str | None = None) -> DataFrame | None:
+                   model_path: str | None = None, acquired: str | None = None) -> DataFrame | None:
     """Train on the 3x3 tiles around (x, y), classify the segments of
-    the tile, write them back with rfrawp, record the model in the tile
-    table.  Returns the classified segments (None without a model)."""
+    the tile, write them back with rfrawp, save the model (by default under
+    the store) and record it in the tile table.  Returns the classified
+    segments (None without a model)."""
     pt = spark.createDataFrame([(float(x), float(y))], "x double, y double")
-    train_ids = grid.training_chips(pt)
-    train_aux = aux.join(F.broadcast(train_ids), ["cx", "cy"], "left_semi")
-    model = training(train_aux, root, msday, meday, num_trees)
+    train_aux = _restrict(aux, grid.training_chips(pt))
+    model = training(train_aux, root, msday, meday, num_trees, acquired=acquired)
     if model is None:
         return None
     ids = tile_chips(spark, x, y)
     segs = SG.filter_detected(T.read_segment(spark, root, ids))
-    tile_aux = aux.join(F.broadcast(ids), ["cx", "cy"], "left_semi")
-    preds = RF.dedensify(RF.classify(model, FT.features(tile_aux, segs)))
+    preds = RF.dedensify(RF.classify(model, FT.features(_aux_acquired(_restrict(aux, ids), acquired), segs)))
     # materialise before the upsert replaces the files ``segs`` reads
     out = SG.join_predictions(segs, preds).checkpoint(eager=True)
     T.write_segment(out, root)
     tile = grid.tile(pt).select("tx", "ty").first()
-    if model_path:
-        RF.save_model(model, model_path)
-    tile_metadata(spark, root, tile.tx, tile.ty, msday, meday, model_path or "")
+    path = model_path or f"{root.rstrip('/')}/models/{tile.tx}_{tile.ty}"
+    RF.save_model(model, path)
+    tile_metadata(spark, root, tile.tx, tile.ty, msday, meday, path, classes=RF.labels(model))
     return out
 
 
 def tile_metadata(spark: SparkSession, root: str, tx: int, ty: int, msday: int, meday: int,
-                  model: str, name: str = "random-forest") -> DataFrame:
-    """E5: upsert the tile's model record (period in the name)."""
+                  model: str, name: str = "random-forest", aux_source: str | None = None,
+                  classes: list | None = None) -> DataFrame:
+    """E5: read the tile's record, merge, write it back.
+
+    The record's name is 'name:key=value;...'.  Entries given here (period,
+    classes in the order of the vote slots, AUX source) replace those of
+    the same key, others stay; so does the model if ``model`` is empty."""
     period = f"{datetime.date.fromordinal(msday).isoformat()}/{datetime.date.fromordinal(meday).isoformat()}"
-    row = T.tile_row(spark, tx, ty, f"{name}:{period}", model,
+    at = spark.createDataFrame([(int(tx), int(ty))], "tx int, ty int")
+    stored = T.read_tile(spark, root, at).first()
+    entries = {}
+    if stored is not None and ":" in (stored["name"] or ""):
+        entries = dict(x.split("=", 1) for x in stored["name"].split(":", 1)[1].split(";") if "=" in x)
+    entries["period"] = period
+    if classes is not None:
+        entries["classes"] = ",".join(str(c) for c in classes)
+    if aux_source is not None:
+        entries["aux"] = aux_source
+    row = T.tile_row(spark, tx, ty, f"{name}:" + ";".join(f"{k}={v}" for k, v in sorted(entries.items())),
+                     model or (stored["model"] if stored is not None else ""),
                      datetime.datetime.now(datetime.timezone.utc).isoformat())
     return T.write_tile(row, root)
 
 
-__all__ = ["detect_batch", "change_detection", "training", "classification", "tile_metadata",
+__all__ = ["detect_batch", "detect_chips", "aux_for_chips", "change_detection", "training", "classification", "tile_metadata",
            "take_chips", "chunk_chips", "date_to_ordinal"]

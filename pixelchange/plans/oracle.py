@@ -2,16 +2,17 @@
 
 Tables are the driver's views (lineitem, part, customer, ...).  Helper
 macros below restate the stand-in mappings of ``sources.standins`` in SQL;
-the one-round detector SQL is generated from the same expression builders
-as the Spark fit, so both engines evaluate identical formulas.
+the detector's SQL (``detector_sql``) shares no expression with the engine.
 Integral outputs are cast to BIGINT; ``+ 0.0`` after ``round`` turns a
 negative zero into zero.
 """
 
 from __future__ import annotations
 
-from ..operators import fit as fitmod
+from ..config import BAND_PREFIX, BAND_SERIES, BANDS, NUM_TREES
+from ..operators.detect import DetectParams
 from . import catalogue as C
+from .detector_sql import FINISHED, REGRESSORS, _fit, detector_ctes
 
 
 def PX(k):
@@ -19,7 +20,7 @@ def PX(k):
 
 
 def PY(k):
-    return f"(3314805 - 30 * (({k} * 104729) % 25000))"
+    return f"(3314805 - 30 * (({k} * 104729 + ({k} // 25000) * 9973) % 25000))"
 
 
 def CX(x):
@@ -92,114 +93,119 @@ def _with(*ctes):
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def _steps(terms, band):
-    return ",\n         ".join(f"{sql} AS {alias}" for alias, sql in fitmod.solution_steps(terms, [band]))
-
-
-def _sums(terms, band):
-    return ",\n         ".join(f"{sql} AS {alias}" for alias, sql in fitmod.sum_exprs_sql(terms, [band]))
-
-
-def _round1_ctes():
-    """CTEs of one detector round with catalogue.TREND's parameters."""
-    p = C.TREND
-    b = p.bands[0]
-    k, m, thr = p.peek, p.min_obs, p.threshold
-    resid = f"({b} - ({fitmod.predict_sql(p.terms, b)}))"
-    coefs = ", ".join(f"b_{b}_{i}" for i in range(p.terms))
-    return [
-        OBS,
-        f"""c AS (SELECT cx, cy, px, py, t, {b} FROM obs WHERE {b} IS NOT NULL AND {b} <> -9999)""",
-        f"""a AS (SELECT *, row_number() OVER (PARTITION BY cx, cy, px, py ORDER BY t) AS n,
-                  min(t) OVER (PARTITION BY cx, cy, px, py) AS t0 FROM c)""",
-        f"""s1 AS (SELECT cx, cy, px, py, count(*) AS n, first(t0) AS t0,
-         {_sums(p.terms, b)}
-         FROM a WHERE n <= {m} GROUP BY cx, cy, px, py)""",
-        f"""m1 AS (SELECT cx, cy, px, py, n AS nfit,
-         {_steps(p.terms, b)}
-         FROM s1)""",
-        f"""z1 AS (SELECT a.*, {coefs}, rmse_{b},
-                  CASE WHEN rmse_{b} > 0 THEN ({resid} / rmse_{b}) * ({resid} / rmse_{b}) ELSE 0.0 END AS z
-           FROM a JOIN m1 USING (cx, cy, px, py) WHERE nfit >= {m})""",
-        f"""f1 AS (SELECT *, CAST(n > {m} AND z > {thr!r} AS INTEGER) AS flag FROM z1)""",
-        f"""w1 AS (SELECT *,
-                  (min(flag) OVER (PARTITION BY cx, cy, px, py ORDER BY n ROWS BETWEEN CURRENT ROW AND {k - 1} FOLLOWING) = 1
-                   AND count(*) OVER (PARTITION BY cx, cy, px, py ORDER BY n ROWS BETWEEN CURRENT ROW AND {k - 1} FOLLOWING) = {k})
-                  AS st FROM f1)""",
-        f"""sc AS (SELECT *,
-                  min(CASE WHEN st THEN n END) OVER (PARTITION BY cx, cy, px, py) AS brk_n,
-                  max(n) OVER (PARTITION BY cx, cy, px, py) AS last_n,
-                  max(CASE WHEN flag = 0 THEN n END) OVER (PARTITION BY cx, cy, px, py) AS last_ok
-           FROM w1)""",
-        f"""seg AS (SELECT * FROM sc WHERE brk_n IS NULL OR n < brk_n)""",
-        f"""s2 AS (SELECT cx, cy, px, py, count(*) AS n, first(t0) AS t0,
-         {_sums(p.terms, b)}
-         FROM seg WHERE flag = 0 GROUP BY cx, cy, px, py)""",
-        f"""rf AS (SELECT cx, cy, px, py, n, t0,
-         {_steps(p.terms, b)}
-         FROM s2)""",
-        f"""hd AS (SELECT cx, cy, px, py, min(t) AS sday_n, max(t) AS eday_n, min(brk_n) AS brk_n,
-                  min(last_n) AS last_n, min(last_ok) AS last_ok FROM seg GROUP BY cx, cy, px, py)""",
-        f"""bd AS (SELECT cx, cy, px, py, t AS bday_n FROM sc WHERE n = brk_n)""",
-        f"""pk AS (SELECT sc.cx, sc.cy, sc.px, sc.py,
-                  sc.{b} - ({' + '.join(f'rf.b_{b}_{i} * ({fitmod.regressor_sql(i, "sc.t", "sc.t0")})' for i in range(p.terms))}) AS r
-           FROM sc JOIN rf USING (cx, cy, px, py)
-           WHERE sc.brk_n IS NOT NULL AND sc.n >= sc.brk_n AND sc.n < sc.brk_n + {k})""",
-        f"""mg AS (SELECT cx, cy, px, py, median(r) AS mag FROM pk GROUP BY cx, cy, px, py)""",
-        f"""summ AS (SELECT hd.cx, hd.cy, hd.px, hd.py, sday_n, eday_n,
-                  coalesce(bday_n, eday_n) AS bday_n, rf.n AS nobs,
-                  CASE WHEN hd.brk_n IS NOT NULL THEN 1.0
-                       ELSE least(last_n - greatest(coalesce(last_ok, 0), {m}), {k}) / {float(k)!r} END AS chprob,
-                  CASE WHEN hd.brk_n IS NOT NULL THEN mg.mag ELSE 0.0 END AS mag,
-                  rf.rmse_{b} AS rmse, rf.b_{b}_0 AS b0, rf.b_{b}_1 AS b1
-           FROM hd LEFT JOIN rf USING (cx, cy, px, py) LEFT JOIN bd USING (cx, cy, px, py)
-                LEFT JOIN mg USING (cx, cy, px, py))""",
-    ]
+FULL = DetectParams()
+
+
+# Rounds that are enough at the size the SQL runs at; if not, the results say so.
+FULL_ROUNDS = 3
+
+
+def _detected(p, *more):
+    return _with(OBS, *detector_ctes(p, rounds=FULL_ROUNDS if p is FULL else 5), *more)
+
+
+# Pixels and days of the lines, read once more: DuckDB doesn't finish in minutes
+# when a table of the rounds and the observations that they start from meet again.
+DAYS = f"""(SELECT DISTINCT {CX('x')} AS cx, {CY('y')} AS cy, x AS px, y AS py, t
+  FROM (SELECT {PX('l_partkey')} AS x, {PY('l_partkey')} AS y, {DAY('l_shipdate')} AS t FROM lineitem) l)"""
 
 
 def _q14():
-    return _with(*_round1_ctes()) + "SELECT px, py, CAST(brk_n AS BIGINT) AS brk_n, CAST(t AS BIGINT) AS bday FROM sc WHERE n = brk_n"
+    return _detected(C.TREND) + f"""SELECT px, py, CAST(seg AS BIGINT) AS seg, CAST(brk_t AS BIGINT) AS bday
+FROM segs WHERE brk_t IS NOT NULL AND {FINISHED}"""
 
 
 def _q15():
-    return _with(*_round1_ctes()) + f"""SELECT px, py, {ISO('sday_n')} AS sday, {ISO('eday_n')} AS eday,
+    return _detected(C.TREND) + f"""SELECT px, py, CAST(seg AS BIGINT) AS seg, {ISO('sday_n')} AS sday, {ISO('eday_n')} AS eday,
   {ISO('bday_n')} AS bday, CAST(nobs AS BIGINT) AS nobs, {R('chprob', 4)} AS chprob,
-  {R('mag', 2)} AS mag, {R('rmse', 2)} AS rmse FROM summ"""
+  {R('mag_greens', 2)} AS mag, {R('rmse_greens', 2)} AS rmse FROM segs WHERE {FINISHED}"""
 
 
 def _q19():
-    return _with(*_round1_ctes()) + f"""SELECT cx, cy, px, py, {ISO('sday_n')} AS sday, {ISO('eday_n')} AS eday,
+    return _detected(C.TREND) + f"""SELECT cx, cy, px, py, {ISO('sday_n')} AS sday, {ISO('eday_n')} AS eday,
   {ISO('bday_n')} AS bday, {R(F32('chprob'), 4)} AS chprob, CAST(2 AS BIGINT) AS curqa,
-  {R(F32('rmse'), 1)} AS grrmse, {R(F32('mag'), 1)} AS grmag, CAST(1 AS BIGINT) AS ncoef, TRUE AS bl_null
-FROM summ
+  {R(F32('rmse_greens'), 1)} AS grrmse, {R(F32('mag_greens'), 1)} AS grmag, CAST(1 AS BIGINT) AS ncoef, TRUE AS bl_null
+FROM segs WHERE {FINISHED}
 UNION ALL
 SELECT DISTINCT o.cx, o.cy, o.px, o.py, '0001-01-01', '0001-01-01', '0001-01-01', NULL, NULL, NULL, NULL,
   CAST(NULL AS BIGINT), TRUE
-FROM obs o LEFT JOIN summ s USING (cx, cy, px, py) WHERE s.px IS NULL"""
+FROM obs o LEFT JOIN segs s USING (cx, cy, px, py) WHERE s.px IS NULL"""
 
 
 def _q28():
-    feats = [(1, "mag"), (8, "rmse"), (15, "b1"), (22, "b0")]
-    aux = [(28, "p_retailprice"), (29, "p_size"), (30, "p_partkey % 45"), (31, "p_size % 2"),
-           (32, "(p_size % 7) / 7.0")]
-    sel = [f"SELECT px, py, {ISO('sday_n')} AS sday, CAST({i} AS BIGINT) AS i, {R(F32(c), 1)} AS v FROM j"
-           for i, c in feats]
-    sel += [f"SELECT px, py, {ISO('sday_n')} AS sday, CAST({i} AS BIGINT) AS i, {R(F32(c), 1)} AS v FROM j"
-            for i, c in aux]
-    return _with(*_round1_ctes(), PARTPIX,
-                 "j AS (SELECT * FROM summ JOIN partpix USING (cx, cy, px, py))") + \
+    cols = [(1, "mag_greens"), (8, "rmse_greens"), (15, "b_greens_1"), (22, "b_greens_0"), (28, "p_retailprice"), (29, "p_size"),
+            (30, "p_partkey % 45"), (31, "p_size % 2"), (32, "(p_size % 7) / 7.0")]
+    sel = [f"SELECT px, py, {ISO('sday_n')} AS sday, CAST({i} AS BIGINT) AS i, {R(F32(c), 1)} AS v FROM j" for i, c in cols]
+    return _detected(C.TREND, PARTPIX, f"j AS MATERIALIZED (SELECT * FROM segs JOIN partpix USING (cx, cy, px, py) WHERE {FINISHED})") + \
         "SELECT * FROM (" + "\nUNION ALL\n".join(sel) + ") u WHERE v IS NOT NULL AND NOT isnan(v)"
 
 
+def _flat(source=DAYS):
+    """All segments with every value as a rounded number, sentinels included."""
+    names, values, nulls = [], [], []
+    for b in BANDS:
+        s, x = BAND_SERIES[b], BAND_PREFIX[b]
+        for name, value in [(f"{x}mag", f"mag_{s}"), (f"{x}rmse", f"rmse_{s}"), *[(f"{x}coef{i}", f"b_{s}_{i + 1}") for i in range(3)], (f"{x}int", f"b_{s}_0")]:
+            names.append(name)
+            values.append(f"{R(F32(value), 1)} AS {name}")
+            nulls.append("NULL")
+    # a window, as joins over the rounds take DuckDB's planner minutes
+    return f"""SELECT * EXCLUDE (found) FROM (
+  SELECT cx, cy, px, py, {ISO('sday_n')} AS sday, {ISO('eday_n')} AS eday, {ISO('bday_n')} AS bday,
+    {R(F32('chprob'), 4)} AS chprob, CAST(4 AS BIGINT) AS curqa, {', '.join(values)}, 1 AS found FROM segs
+  UNION ALL
+  SELECT DISTINCT cx, cy, px, py, '0001-01-01', '0001-01-01', '0001-01-01', NULL, NULL, {', '.join(nulls)}, 0 FROM {source} d
+  UNION ALL
+  SELECT {', '.join(['NULL'] * (9 + len(nulls)))}, 1 FROM unfinished WHERE n > 0) u
+QUALIFY found = 1 OR max(found) OVER (PARTITION BY px, py) = 0"""
+
+
+def _mask():
+    return _detected(FULL) + f"""SELECT cx, cy, px, py, string_agg(CASE WHEN hit THEN '1' ELSE '0' END, '' ORDER BY t) AS mask
+FROM (SELECT any_value(cx) AS cx, any_value(cy) AS cy, px, py, t, bool_or(hit) AS hit
+      FROM (SELECT cx, cy, px, py, t, FALSE AS hit FROM {DAYS} d UNION ALL SELECT NULL, NULL, px, py, t, TRUE FROM used
+            UNION ALL SELECT 0, 0, 0, 0, 0, TRUE FROM unfinished WHERE n > 0) u GROUP BY px, py, t) v
+GROUP BY cx, cy, px, py"""
+
+
+# The tile of the first customer, and the 3 x 3 tiles around it.
+HOME = PTS + f""",
+home AS (SELECT {TX('x')} AS tx, {TY('y')} AS ty FROM pts ORDER BY c_custkey LIMIT 1)"""
+
+
+def _q32():
+    near = f"""near AS MATERIALIZED (SELECT obs.* FROM obs, home WHERE {TX('cx')} = tx AND {TY('cy')} = ty
+  AND t BETWEEN {DAY("DATE '1990-01-01'")} AND {DAY("DATE '2005-12-31'")})"""
+    return _with(OBS, HOME, near, *detector_ctes(FULL, "near", FULL_ROUNDS)) + _flat("near")
+
+
+def _votes(rows):
+    """Segments with the number of vote slots (classes seen in training and one for others) and their sum."""
+    return f"""SELECT cx, cy, px, py, {ISO('sday_n')} AS sday, {ISO('eday_n')} AS eday,
+  CAST((SELECT count(DISTINCT p_size % 10) + 1 FROM train) AS BIGINT) AS slots, {float(NUM_TREES)!r} AS votes
+FROM {rows} WHERE (SELECT count(*) FROM train) > 0
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM unfinished WHERE n > 0"""
+
+
+def _q29():
+    return _detected(FULL, PARTPIX, "j AS MATERIALIZED (SELECT * FROM segs JOIN partpix USING (cx, cy, px, py))",
+                     "train AS (SELECT * FROM j WHERE p_size % 10 NOT IN (0, 9))") + _votes("j")
+
+
 def _q13():
-    b = "greens"
-    return _with(OBS,
-                 "f0 AS (SELECT px, py, t, greens, min(t) OVER (PARTITION BY px, py) AS t0 FROM obs)",
-                 f"""sm AS (SELECT px, py, count(*) AS n, first(t0) AS t0,
-         {_sums(4, b)}
-         FROM f0 GROUP BY px, py)""",
-                 f"""sv AS (SELECT px, py, n, {_steps(4, b)} FROM sm)""") + \
-        f"SELECT px, py, n, {', '.join(f'{R(f"b_{b}_{i}", 3)} AS b{i}' for i in range(4))}, {R(f'rmse_{b}', 3)} AS rmse FROM sv"
+    p = DetectParams(bands=["greens"], detection_bands=["greens"], qa=None)
+    first = "row_number() OVER (PARTITION BY px, py ORDER BY t) AS n, min(t) OVER (PARTITION BY px, py) AS t0"
+    xs = ", ".join(f"{x} AS x{i}" for i, x in enumerate(REGRESSORS))
+    return _with(OBS, f"a AS (SELECT px, py, t, greens, {first} FROM obs)", f"x AS MATERIALIZED (SELECT *, {xs} FROM a)", *_fit("f", "x", "TRUE", p)) + \
+        f"SELECT px, py, nfit AS n, {', '.join(f'{R(f"b_greens_{i}", 3)} AS b{i}' for i in range(4))}, {R('rmse_greens', 3)} AS rmse FROM f"
+
+
+CELLS38 = f"""cells AS MATERIALIZED (
+  SELECT {CX('p.x')} AS cx, {CY('p.y')} AS cy, {DAY('o_orderdate')} AS t, l_partkey % {C.CELLS} AS cell,
+         max(CAST(l_quantity AS INTEGER)) * 100 + 1 AS g, max(CAST(l_quantity AS INTEGER)) * 100 + 6 AS th, 40000 + max(l_linenumber) AS qa
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN pts p ON o_custkey = c_custkey
+  WHERE {DAY('o_orderdate')} BETWEEN {DAY(f"DATE '{C.ACQUIRED[:10]}'")} AND {DAY(f"DATE '{C.ACQUIRED[11:]}'")}
+  GROUP BY 1, 2, 3, 4)"""
 
 
 ORACLE = {
@@ -276,10 +282,10 @@ WHERE """ + " AND ".join(f"{e} IS NOT NULL" for e in C.EVENT_TYPES),
     """SELECT DISTINCT p.cx, p.cy, p.px, p.py, '0001-01-01' AS sday, '0001-01-01' AS eday, '0001-01-01' AS bday
 FROM partpix p LEFT JOIN modelled m USING (cx, cy, px, py) WHERE m.px IS NULL""",
 
-    "q17_project_chip": _with(OBS) + f"""SELECT cx, cy, count(DISTINCT t) AS n_dates, {ISO('min(t)')} AS first,
-       {ISO('max(t)')} AS last FROM obs GROUP BY cx, cy""",
+    "q17_project_chip": _with(OBS) + f"""SELECT cx, cy, string_agg({ISO('t')}, ',' ORDER BY t) AS dates
+FROM (SELECT DISTINCT cx, cy, t FROM obs) d GROUP BY cx, cy""",
 
-    "q18_project_pixel": _with(OBS) + """SELECT cx, cy, px, py, count(*) AS n_mask FROM obs GROUP BY cx, cy, px, py""",
+    "q18_project_pixel": _mask(),
 
     "q19_project_segment": _q19(),
 
@@ -307,7 +313,7 @@ WHERE sday >= {ISO(str(C.MSDAY))} AND eday <= {ISO(str(C.MEDAY))}""",
                             """chips AS (SELECT DISTINCT tx + i * 3000 AS cx, ty - j * 3000 AS cy
   FROM tiles, (SELECT range AS i FROM range(0, 50)) a, (SELECT range AS j FROM range(0, 50)) b)""",
                             f"""taken AS (SELECT * FROM chips ORDER BY cx, cy DESC LIMIT {C.TAKE})""") +
-    f"""SELECT cx, cy, CAST(floor((row_number() OVER (ORDER BY cx, cy DESC) - 1) / {float(C.CHUNK)!r}) AS BIGINT) AS batch
+    f"""SELECT cx, cy, ((cx - {TX('cx')}) // 3000 * 50 + ({TY('cy')} - cy) // 3000) // {C.CHUNK} AS batch
 FROM taken""",
 
     "q27_join_features": _with(OBS, SPANS, PARTPIX) + f"""SELECT px, py, sday, eday, CAST(p_size % 10 AS BIGINT) AS label,
@@ -318,10 +324,16 @@ FROM partpix JOIN spans USING (cx, cy, px, py)""",
 
     "q28_feature_vector": _q28(),
 
+    "q29_train_classify": _q29(),
+
     "q30_join_predictions": _with(OBS, SPANS, PARTPIX) + f"""SELECT cx, cy, px, py, sday, eday,
        {R(F32('p_size'), 2)} AS r0, {R(F32('p_retailprice'), 2)} AS r1
 FROM spans JOIN partpix USING (cx, cy, px, py)""",
 
+    "q31_full_detector": _detected(FULL) + _flat(),
+
+    "q32_change_detection_job": _q32(),
+
     "q34_tile_metadata": _with(PTS, TILES) + """SELECT tx, ty, 'random-forest:1995-06-01/2001-06-30' AS name,
        'models/' || CAST(tx AS VARCHAR) || '_' || CAST(ty AS VARCHAR) AS model FROM tiles""",
 
@@ -331,11 +343,42 @@ FROM spans JOIN partpix USING (cx, cy, px, py)""",
                                            '[^A-Za-z0-9_]', '_', 'g')), '^_+', '') AS namespace
 FROM nation JOIN region ON n_regionkey = r_regionkey""",
 
-    "q36_decode_chip": _with(PTS) + f"""SELECT l_orderkey AS rec, CAST(l_linenumber - 1 AS BIGINT) AS i,
-       {CX('p.x')} + 30 * (l_linenumber - 1) AS px, {CY('p.y')} AS py, CAST(q AS BIGINT) AS value
-FROM (SELECT l_orderkey, l_linenumber, max(CAST(round(l_quantity * 100) AS INTEGER)) AS q
-      FROM lineitem WHERE l_linenumber BETWEEN 1 AND 7 GROUP BY 1, 2) l
+    "q36_decode_chip": _with(PTS) + f"""SELECT l_orderkey AS rec, CAST(i AS BIGINT) AS i,
+       {CX('p.x')} + 30 * (i % 100) AS px, {CY('p.y')} - 30 * (i // 100) AS py, CAST(q AS BIGINT) AS value
+FROM (SELECT l_orderkey, {C.RASTER_STEP} * (l_linenumber - 1) AS i, max(CAST(round(l_quantity * 100) AS INTEGER)) AS q
+      FROM lineitem GROUP BY 1, 2) l
 JOIN orders o ON o.o_orderkey = l.l_orderkey
 JOIN pts p ON p.c_custkey = o.o_custkey
 WHERE q <> -9999""",
+
+    "q37_upsert_batches": _with(PTS, TILES) + f"""SELECT {CX('x')} AS cx, {CY('y')} AS cy, x AS px, y AS py, {ISO('t')} AS sday, {ISO('t')} AS eday,
+       CAST(l_quantity AS DOUBLE) AS chprob, CAST(l_linenumber AS BIGINT) AS curqa
+FROM (SELECT *, {PX('l_partkey')} AS x, {PY('l_partkey')} AS y, {DAY('l_shipdate')} AS t FROM lineitem) l
+JOIN tiles ON {TX('x')} = tx AND {TY('y')} = ty
+QUALIFY row_number() OVER (PARTITION BY l_partkey, t ORDER BY l_linenumber % 2, l_orderkey DESC, l_linenumber DESC, l_quantity DESC) = 1""",
+
+    "q38_raster_ard": _with(PTS, CELLS38) + f"""SELECT cx, cy, cx + 30 * (cell % 100) AS px, cy - 30 * (cell // 100) AS py,
+       string_agg(CAST(t AS VARCHAR), ',' ORDER BY t DESC) AS dates, string_agg(CAST(g AS VARCHAR), ',' ORDER BY t DESC) AS greens,
+       string_agg(CAST(th AS VARCHAR), ',' ORDER BY t DESC) AS thermals, string_agg(CAST(qa AS VARCHAR), ',' ORDER BY t DESC) AS qas
+FROM (SELECT d.cx, d.cy, d.t, c.cell, coalesce(g, -9999) AS g, coalesce(th, -9999) AS th, coalesce(qa, 1) AS qa, any_value(qa) OVER (PARTITION BY d.cx, d.cy, c.cell) AS seen
+      FROM (SELECT cx, cy, t, max(cell) AS top FROM cells GROUP BY 1, 2, 3) d
+      JOIN (SELECT range AS cell FROM range(0, {C.CELLS})) c ON c.cell <= top
+      LEFT JOIN cells USING (cx, cy, t, cell)) r
+WHERE seen IS NOT NULL GROUP BY cx, cy, cell""",
+
+    "q39_raster_aux": _with(PARTPIX) + f"""SELECT cx, cy, cx + 30 * (cell % 100) AS px, cy - 30 * (cell // 100) AS py,
+       max(p_size) + 0.5::DOUBLE AS dem, CAST(max(p_size % 10) AS DOUBLE) AS trends, CAST(max(-p_size) AS DOUBLE) AS aspect,
+       CAST(max(p_size % 2) AS DOUBLE) AS mpw, TRUE AS no_slope
+FROM (SELECT *, p_partkey % {C.CELLS} AS cell FROM partpix) p GROUP BY cx, cy, cell""",
+
+    "q40_nested_models": _with(PARTPIX) + f"""SELECT cx, cy, px, py,
+       CASE WHEN has THEN {ISO('p_size + 730000')} ELSE '0001-01-01' END AS sday, CASE WHEN has THEN {ISO('p_size + 730100')} ELSE '0001-01-01' END AS eday,
+       CASE WHEN NOT has THEN '0001-01-01' WHEN p_size % 2 = 0 THEN {ISO('p_size + 730050')} END AS bday,
+       CASE WHEN has THEN p_size / 64.0::DOUBLE END AS chprob, CASE WHEN has THEN p_size::DOUBLE END AS blmag, CASE WHEN has THEN -p_size::DOUBLE END AS s2coef1,
+       CASE WHEN has AND p_partkey % 3 > 0 THEN p_size + 1.0::DOUBLE END AS thint,
+       {ISO('730000')} || ',' || {ISO('p_size + 730001')} AS dates, CAST(1 AS BIGINT) AS m1, TRUE AS no_qa
+FROM (SELECT *, p_partkey % 7 > 0 AS has FROM partpix) p""",
+
+    "q41_detection_round_trip": _with(OBS, PTS, TILES) + f"""SELECT cx, cy, string_agg({ISO('t')}, ',' ORDER BY t) AS dates
+FROM (SELECT DISTINCT cx, cy, o.t FROM obs o JOIN tiles ON {TX('o.cx')} = tx AND {TY('o.cy')} = ty) d GROUP BY cx, cy""",
 }

@@ -12,11 +12,13 @@ registry), and ``posexplode`` + column math (T5) give one row per pixel.
 
 from __future__ import annotations
 
+import base64
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType,
+from pyspark.sql.types import (ArrayType, FloatType, IntegerType, StringType,
                                StructField, StructType)
 
 from ..config import CHIP_SHAPE, FILL
@@ -33,9 +35,8 @@ REGISTRY_SCHEMA = StructType([
     StructField("data_shape", ArrayType(IntegerType())), StructField("data_fill", IntegerType()),
     StructField("tags", ArrayType(StringType()))])
 
-# numpy dtypes of registry data types (little endian).
-DTYPES = {"INT16": "<i2", "UINT16": "<u2", "UINT8": "u1", "BYTE": "u1", "FLOAT32": "<f4",
-          "INT32": "<i4"}
+# numpy dtypes of registry data types (little endian); each fits a 32-bit float.
+DTYPES = {"INT16": "<i2", "UINT16": "<u2", "UINT8": "u1", "BYTE": "u1", "FLOAT32": "<f4"}
 
 # ---------------------------------------------------------------------------
 # Layer families, band names and tags of the registry.
@@ -47,6 +48,7 @@ SR_BANDS = {  # sensor -> surface reflectance layer suffixes for blue..swir2
     "LC08": ["SRB2", "SRB3", "SRB4", "SRB5", "SRB6", "SRB7"],
 }
 THERMAL = {"LT04": ["BTB6"], "LT05": ["BTB6"], "LE07": ["BTB6"], "LC08": ["BTB10", "BTB11"]}
+QA_FILL = {"LE07": FILL}
 REFLECTANCE_NAMES = ["blue", "green", "red", "nir", "swir1", "swir2"]
 AUX_LAYERS = [("AUX_DEM", "FLOAT32", "dem"), ("AUX_TRENDS", "BYTE", "trends"),
               ("AUX_ASPECT", "INT16", "aspect"), ("AUX_POSIDEX", "FLOAT32", "posidex"),
@@ -67,7 +69,7 @@ def registry_rows():
         for suffix in THERMAL[sensor]:
             rows.append((f"{sensor}_{suffix}", "INT16", shape, FILL,
                          [sensor.lower(), "bt", "thermal", suffix.lower().replace("bt", "")]))
-        rows.append((f"{sensor}_PIXELQA", "UINT16", shape, 1, [sensor.lower(), "pixelqa", "qa"]))
+        rows.append((f"{sensor}_PIXELQA", "UINT16", shape, QA_FILL.get(sensor), [sensor.lower(), "pixelqa", "qa"]))
     for ubid, dtype, name in AUX_LAYERS:
         rows.append((ubid, dtype, shape, None, ["aux", name]))
     return rows
@@ -80,7 +82,9 @@ def registry(spark: SparkSession) -> DataFrame:
 
 def scan_registry(spark: SparkSession, path: str) -> DataFrame:
     """A registry stored as a JSON array file."""
-    return spark.read.schema(REGISTRY_SCHEMA).option("multiLine", True).json(path)
+    as_stored = StructType([StructField(f.name, StringType()) if f.name == "data_fill" else f for f in REGISTRY_SCHEMA.fields])
+    raw = spark.read.schema(as_stored).option("multiLine", True).json(path)      # fills are texts, "-9999"
+    return raw.withColumn("data_fill", F.col("data_fill").cast("double").cast("int"))
 
 
 def band_of(tags: Column) -> Column:
@@ -130,7 +134,7 @@ def scan_chips(spark: SparkSession, path: str, ids: DataFrame | None = None,
     return df
 
 
-@F.pandas_udf(ArrayType(DoubleType()))
+@F.pandas_udf(ArrayType(FloatType()))
 def _decode(raw: pd.Series, dtype: pd.Series) -> pd.Series:
     out = [None] * len(raw)
     for t in dtype.dropna().unique():
@@ -139,15 +143,26 @@ def _decode(raw: pd.Series, dtype: pd.Series) -> pd.Series:
         for i in idx:
             b = raw.iat[i]
             if b is not None:
-                out[i] = np.frombuffer(b, dtype=dt).astype(np.float64)
+                out[i] = np.frombuffer(b, dtype=dt).astype(np.float32)
     return pd.Series(out, dtype=object)
 
 
 def decode(data: Column, data_type: Column) -> Column:
-    """base64 packed raster -> array<double> of pixel values."""
+    """base64 packed raster -> array<float> of pixel values."""
     return _decode(F.unbase64(data), data_type)
 
 
+@F.pandas_udf(StringType())
+def _encode(values: pd.Series, dtype: pd.Series) -> pd.Series:
+    return pd.Series([None if v is None else base64.b64encode(np.asarray(v, DTYPES[t]).tobytes()).decode()
+                      for v, t in zip(values, dtype)], dtype=object)
+
+
+def encode(values: Column, data_type: Column) -> Column:
+    """Inverse of T3 for any registry type: array of numbers -> base64."""
+    return _encode(values, data_type)
+
+
 def encode_int16(values: Column) -> Column:
     """Inverse of T3 for int16 rasters, in SQL expressions (used to build
     chips from tables): array<int> -> base64 of little endian int16."""

@@ -20,13 +20,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TILE_GRID
-from ..functions.dates import date_to_ordinal
+from ..functions.dates import date_to_ordinal, in_acquired_time
 from ..functions.grid import chip_of_point
 
 # Placement rule of keys on the grid: 25,000 x 25,000 pixels of 30 units
-# starting at the grid origin, i.e. 5 x 5 tiles.
+# starting at the grid origin, i.e. 5 x 5 tiles.  x is given by the key's
+# remainder, y by remainder and quotient; the factors have no divisor in
+# common with 25,000, so keys below 25,000^2 have a pixel each.
 PLACE_X_MUL = 7919
 PLACE_Y_MUL = 104729
+PLACE_Y_STEP = 9973
 PLACE_CELLS = 25000
 PIXEL_SIZE = 30
 
@@ -46,7 +49,8 @@ def place_x(key) -> Column:
 
 def place_y(key) -> Column:
     k = F.col(key) if isinstance(key, str) else key
-    return (F.lit(int(TILE_GRID["ty"])) - F.lit(PIXEL_SIZE) * ((k * PLACE_Y_MUL) % PLACE_CELLS)).cast("bigint")
+    return (F.lit(int(TILE_GRID["ty"])) - F.lit(PIXEL_SIZE) * (
+        (k * PLACE_Y_MUL + F.floor(k / PLACE_CELLS) * PLACE_Y_STEP) % PLACE_CELLS)).cast("bigint")
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,14 +66,17 @@ def pixel_keys(key: str):
     return [cx, cy, x.cast("int").alias("px"), y.cast("int").alias("py")]
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def observations(spark: SparkSession, sf_dir: str, acquired: str | None = None) -> DataFrame:
     """lineitem -> one ARD observation per (pixel, day), long form.
 
     Columns: cx, cy, px, py, t (day number), blues .. thermals, qas.
     Several lines of a part may ship on one day; they are reduced with
-    max/min/avg so the day is unique per pixel.
+    max/min/avg so the day is unique per pixel.  ``acquired`` filters the
+    scan by ship date.
     """
     li = table(spark, sf_dir, "lineitem")
+    if acquired:
+        li = li.where(in_acquired_time(F.col("l_shipdate"), acquired))
     g = (li.select("l_partkey", date_to_ordinal("l_shipdate").alias("t"), "l_quantity",
                    "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
            .groupBy("l_partkey", "t")
@@ -86,21 +93,6 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "swir1s", "swir2s", "thermals", "qas")
 
 
-def layered_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem -> long (pixel, day, ubid, value) rows, one per band layer,
-    the shape raster chips have after decoding (T3) and before band
-    assembly (T4/T6).  Layer names follow the LE07 surface reflectance
-    naming so the generated registry maps them to bands."""
-    obs = observations(spark, sf_dir)
-    layers = [("le07_srb1", "blues"), ("le07_srb2", "greens"), ("le07_srb3", "reds"),
-              ("le07_srb4", "nirs"), ("le07_srb5", "swir1s"), ("le07_srb7", "swir2s"),
-              ("le07_btb6", "thermals"), ("le07_pixelqa", "qas")]
-    stack = F.explode(F.array(*[F.struct(F.lit(u).alias("ubid"), F.col(c).alias("value"))
-                                for u, c in layers]))
-    return obs.select("cx", "cy", "px", "py", "t", stack.alias("l")).select(
-        "cx", "cy", "px", "py", "t", "l.ubid", "l.value")
-
-
 def aux_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """part -> AUX series rows (one static acquisition per pixel)."""
     p = table(spark, sf_dir, "part")

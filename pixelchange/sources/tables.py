@@ -1,12 +1,14 @@
 """Keyed result tables on Parquet.
 
-Tables live under ``{root}/{table}``.  Chip, pixel, segment and detection
-tables are partitioned by the tile (tx, ty) of their chip, so a keyed read
-or an upsert touches only the tiles of the ids at hand.  The original store
-was keyed (a write replaced rows with an equal primary key); here that is
-an explicit upsert:
-
-1. dedupe the incoming rows on the key,
+Tables live under ``{root}/{table}``.  All are partitioned by tile (tx, ty):
+chip, pixel, segment and detection tables by the tile of their chip, the
+tile table by its own key.  A keyed read or an upsert touches only the
+tiles of the ids at hand, and two jobs on different tiles never write the
+same folder.  The original store was keyed (a write replaced rows with an
+equal primary key); here that is an explicit upsert:
+
+1. keep the newest of the incoming rows of each key and stage them, so
+   that whatever computes them runs once,
 2. read only the touched tile partitions of the stored table,
 3. keep stored rows whose key is not in the incoming rows (left anti join),
 4. union, stage to a fresh folder under the checkpoint folder, and
@@ -46,10 +48,6 @@ def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def _partitioned(table: str) -> bool:
-    return table != TILE_TABLE
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -63,12 +61,9 @@ def scan_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     path = table_path(root, table)
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    reader = spark.read
-    if _partitioned(table):
-        schema = schemas.StructType(schema.fields + [schemas.StructField("tx", schemas.IntegerType()),
-                                                     schemas.StructField("ty", schemas.IntegerType())])
-        reader = reader.option("basePath", path)
-    return reader.schema(schema).parquet(path)
+    extra = [schemas.StructField(c, schemas.IntegerType()) for c in PARTITION_COLUMNS if c not in schema.names]
+    full = schemas.StructType(schema.fields + extra)
+    return spark.read.option("basePath", path).schema(full).parquet(path).select(*full.names)
 
 
 def with_tile(df: DataFrame) -> DataFrame:
@@ -77,8 +72,8 @@ def with_tile(df: DataFrame) -> DataFrame:
 
 
 def _touched_tiles(df: DataFrame):
-    """Distinct tiles of a frame with (cx, cy); bounded by area, not rows."""
-    tiles = with_tile(df.select("cx", "cy")).select("tx", "ty").distinct()
+    """Distinct tiles of a frame with (tx, ty) or (cx, cy); bounded by area, not rows."""
+    tiles = (df if "tx" in df.columns else with_tile(df.select("cx", "cy"))).select("tx", "ty").distinct()
     rows = tiles.limit(MAX_LITERAL_TILES + 1).collect()
     return None if len(rows) > MAX_LITERAL_TILES else [(r.tx, r.ty) for r in rows]
 
@@ -108,47 +103,47 @@ def latest_by_key(df: DataFrame, key, order) -> DataFrame:
               .select(*key, "_row.*"))
 
 
+def _write_partitions(df: DataFrame, path: str) -> None:
+    """Replace the tile partitions that ``df`` has rows for, and no others."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLUMNS).parquet(path)
+
+
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def upsert_table(df: DataFrame, root: str, table: str, key=None,
-                 replace_chips: bool = False) -> DataFrame:
+                 replace_chips: bool = False, order=None) -> DataFrame:
     """Write ``df`` so rows with an equal key replace stored ones.
 
-    ``replace_chips`` drops every stored row of the incoming chips first,
-    which removes segments whose (sday, eday) changed on re-detection.
-    Returns ``df`` (like the original writers).
+    Of incoming rows with an equal key the greatest by ``order`` (columns of
+    ``df``, stored or not) counts; without it, the greatest by all other
+    columns.  ``replace_chips`` drops every stored row of the incoming chips
+    first, which removes segments whose (sday, eday) changed on
+    re-detection.  Returns ``df`` (like the original writers).
     """
     spark = df.sparkSession
     key = key or KEYS[table]
     cols = SCHEMAS[table]().fieldNames()
     path = table_path(root, table)
-    new = df.select(*cols).dropDuplicates(key)
-    if _partitioned(table):
-        new = with_tile(new)
-    exists = _exists(spark, path)
-    if not exists:
-        writer = new.write.mode("overwrite")
-        if _partitioned(table):
-            writer = writer.partitionBy(*PARTITION_COLUMNS)
-        writer.parquet(path)
+    order = list(order or [c for c in cols if c not in key])
+    wide = df.select(*cols, *[c for c in order if c not in cols])
+    new = latest_by_key(wide, key, order).select(*cols)
+    new = _staged(new if table == TILE_TABLE else with_tile(new), table)
+    if not _exists(spark, path):
+        _write_partitions(new, path)
         return df
     old = scan_table(spark, root, table)
-    if _partitioned(table):
-        tiles = _touched_tiles(new)
-        if tiles is not None:
-            old = old.where(_tile_filter(tiles))
-        else:
-            old = old.join(new.select(*PARTITION_COLUMNS).distinct(), PARTITION_COLUMNS, "left_semi")
+    tiles = _touched_tiles(new)
+    if tiles is not None:
+        old = old.where(_tile_filter(tiles))
+    else:
+        old = old.join(new.select(*PARTITION_COLUMNS).distinct(), PARTITION_COLUMNS, "left_semi")
     drop_on = CHIP_KEY if replace_chips else key
     kept = old.join(new.select(*drop_on).distinct(), drop_on, "left_anti")
-    merged = new.unionByName(kept.select(*new.columns))
-    stage = scratch_path(spark, table)
-    if _partitioned(table):
-        merged.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(stage)
-        staged = spark.read.option("basePath", stage).parquet(stage)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(*PARTITION_COLUMNS).parquet(path))
-    else:
-        merged.write.mode("overwrite").parquet(stage)
-        spark.read.parquet(stage).write.mode("overwrite").parquet(path)
+    _write_partitions(_staged(new.unionByName(kept.select(*new.columns)), table), path)
     return df
 
 
@@ -157,10 +152,10 @@ def read_by_ids(spark: SparkSession, root: str, table: str, ids: DataFrame) -> D
 
     The touched tiles become a literal partition filter, so only their
     folders are listed and scanned; the ids side is broadcast only when
-    its size is proven small (tiles x chips per tile).
+    its size is proven small (distinct ids: tiles x chips per tile).
     """
     t = scan_table(spark, root, table)
-    ids = ids.select(F.col("cx").cast("int").alias("cx"), F.col("cy").cast("int").alias("cy"))
+    ids = ids.select(F.col("cx").cast("int").alias("cx"), F.col("cy").cast("int").alias("cy")).distinct()
     tiles = _touched_tiles(ids)
     if tiles is not None:
         t = t.where(_tile_filter(tiles))
@@ -172,7 +167,10 @@ def read_by_ids(spark: SparkSession, root: str, table: str, ids: DataFrame) -> D
 
 def read_tile(spark: SparkSession, root: str, ids: DataFrame) -> DataFrame:
     """Tile ids (tx, ty) inner join the tile table."""
-    return ids.join(scan_table(spark, root, TILE_TABLE), TILE_KEY, "inner")
+    t = scan_table(spark, root, TILE_TABLE)
+    ids = ids.select(*[F.col(c).cast("int").alias(c) for c in TILE_KEY]).distinct()
+    tiles = _touched_tiles(ids)
+    return ids.join(t if tiles is None else t.where(_tile_filter(tiles)), TILE_KEY, "inner")
 
 
 def tile_row(spark: SparkSession, tx: int, ty: int, name: str, model: str, updated: str) -> DataFrame:
@@ -181,24 +179,24 @@ def tile_row(spark: SparkSession, tx: int, ty: int, name: str, model: str, updat
 
 
 # Writers return their input, like the original ones.
-def write_chip(df: DataFrame, root: str) -> DataFrame:
-    return upsert_table(df, root, CHIP_TABLE)
+def write_chip(df: DataFrame, root: str, order=None) -> DataFrame:
+    return upsert_table(df, root, CHIP_TABLE, order=order)
 
 
-def write_pixel(df: DataFrame, root: str) -> DataFrame:
-    return upsert_table(df, root, PIXEL_TABLE)
+def write_pixel(df: DataFrame, root: str, order=None) -> DataFrame:
+    return upsert_table(df, root, PIXEL_TABLE, order=order)
 
 
-def write_segment(df: DataFrame, root: str, replace_chips: bool = False) -> DataFrame:
-    return upsert_table(df, root, SEGMENT_TABLE, replace_chips=replace_chips)
+def write_segment(df: DataFrame, root: str, replace_chips: bool = False, order=None) -> DataFrame:
+    return upsert_table(df, root, SEGMENT_TABLE, replace_chips=replace_chips, order=order)
 
 
-def write_tile(df: DataFrame, root: str) -> DataFrame:
-    return upsert_table(df, root, TILE_TABLE)
+def write_tile(df: DataFrame, root: str, order=None) -> DataFrame:
+    return upsert_table(df, root, TILE_TABLE, order=order)
 
 
-def write_detection(df: DataFrame, root: str) -> DataFrame:
-    return upsert_table(df, root, DETECTION_TABLE)
+def write_detection(df: DataFrame, root: str, order=None) -> DataFrame:
+    return upsert_table(df, root, DETECTION_TABLE, order=order)
 
 
 def read_chip(spark, root, ids):

@@ -62,3 +62,24 @@ def test_detect_tables_equal_wide_projections(spark):
     assert norm(chip) == norm(SG.project_chip(ccd))
     assert norm(pixel) == norm(SG.project_pixel(ccd))
     assert norm(segment) == norm(SG.project_segment(ccd))
+
+
+def test_nested_change_models(spark):
+    """A full model, one with absent parts, and none at all."""
+    from pixelchange.config import BAND_PREFIX
+    from pixelchange.operators import segments as SG
+
+    f = 0.5
+    band = (f, f, [f, f], f)
+    full = (730001, 730300, 730200, 3, f, f, *[band] * 7)
+    part = (730001, 730300, None, 3, None, None, None, *[band] * 6)
+    rows = [(1, 2, 3, 4, [730001, 730200, 730300], [0, 1, 0], [full]), (1, 2, 33, 4, [730001], None, [part, full]), (1, 2, 63, 4, [730001], [0], []), (1, 2, 93, 4, [730001], [0], None)]
+    df = spark.createDataFrame(rows, f"cx int, cy int, px int, py int, dates array<int>, processing_mask array<int>, change_models array<{SG.change_model_type()}>")
+    got = sorted(SG.format_change_models(df).collect(), key=lambda r: (r["px"], r["chprob"] is None))
+    assert len(got) == 5
+    r = got[0]
+    assert (r["sday"], r["eday"], r["bday"], r["chprob"], r["mask"], len(r["dates"])) == ("1999-09-03", "2000-06-28", "2000-03-20", f, [0, 1, 0], 3)
+    for p in BAND_PREFIX.values():
+        assert (r[f"{p}mag"], r[f"{p}rmse"], r[f"{p}coef"], r[f"{p}int"]) == (f, f, [f, f], f)
+    assert got[2]["bday"] is None and got[2]["blmag"] is None and got[2]["grmag"] == f and got[2]["mask"] is None
+    assert all(x["sday"] == x["eday"] == x["bday"] == "0001-01-01" and x["chprob"] is None and x["blcoef"] is None for x in got[3:])

@@ -44,8 +44,8 @@ def test_acquired():
 
 
 def test_namespace(spark):
-    assert names.namespace_name("", "", "1.0") == "ccdc_1_0"
-    assert names.namespace_name("http://h:5656/ard/v1", "http://h/aux", "1.0") == "ardv1_aux_ccdc_1_0"
+    assert names.namespace_name(spark, "", "", "1.0") == "ccdc_1_0"
+    assert names.namespace_name(spark, "http://h:5656/ard/v1", "http://h/aux", "1.0") == "ardv1_aux_ccdc_1_0"
     r = spark.createDataFrame([("", "", "1.0")], "a string, b string, v string") \
         .select(names.namespace_column("a", "b", "v")).first()[0]
     assert r == "ccdc_1_0"

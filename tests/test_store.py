@@ -61,3 +61,36 @@ def test_chip_pixel_writers(spark, tmp_root):
     px = spark.createDataFrame([(100, -100, 130, -130, [1, 0])], "cx int, cy int, px int, py int, mask array<tinyint>")
     T.write_pixel(px, tmp_root)
     assert T.scan_table(spark, tmp_root, "pixel").select(F.size("mask")).first()[0] == 2
+
+
+def test_newest_of_equal_incoming_keys_counts(spark, tmp_root):
+    rows = _seg(spark, [(100, -100, 130, -130, "2000-01-01", "2001-01-01", b) for b in ("b", "c", "a")])
+    T.write_segment(rows, tmp_root)
+    assert [r.bday for r in T.scan_table(spark, tmp_root, "segment").collect()] == ["c"]
+    T.write_segment(rows.withColumn("seq", F.when(F.col("bday") == "a", 9).otherwise(1)), tmp_root, order=["seq"])
+    assert [r.bday for r in T.scan_table(spark, tmp_root, "segment").collect()] == ["a"]
+
+
+def test_input_of_an_upsert_is_computed_once(spark, tmp_root):
+    T.write_segment(_seg(spark, [(100, -100, 130, -130, "2000-01-01", "2001-01-01", "b1")]), tmp_root)
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    new = _seg(spark, [(100, -100, 130, -130, "2000-01-01", "2001-01-01", "b2"), (100, -100, 160, -130, "2000-01-01", "2001-01-01", "b3")])
+    T.write_segment(new.mapInArrow(note, new.schema), tmp_root)
+    assert seen.value == 2
+
+
+def test_tiles_are_separate_folders_and_repeated_ids_return_rows_once(spark, tmp_root):
+    T.write_tile(T.tile_row(spark, 1, 2, "a", "m", "u"), tmp_root)
+    T.write_tile(T.tile_row(spark, 3, 4, "b", "m", "u"), tmp_root)
+    ids = spark.createDataFrame([(1, 2), (1, 2), (3, 4)], schemas.tile_id_schema())
+    assert sorted(r["name"] for r in T.read_tile(spark, tmp_root, ids).collect()) == ["a", "b"]
+    chips = spark.createDataFrame([(100, -100, ["2000-01-01"])], schemas.chip_schema())
+    T.write_chip(chips, tmp_root)
+    twice = spark.createDataFrame([(100, -100)] * 2, schemas.chip_id_schema())
+    assert T.read_chip(spark, tmp_root, twice).count() == 1
