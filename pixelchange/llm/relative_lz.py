@@ -36,11 +36,11 @@ from pixelchange.llm.common import mix, slices, split_words, strings, window_has
 WINDOW = 13
 SEED = 6
 SLICE = 8 << 20             # text bytes that are merged before the shuffle
-BUCKET_BYTES = 16 << 20     # text bytes whose blocks meet in one task
+BUCKET_BYTES = 8 << 20      # text bytes whose blocks meet in one task
 SAMPLE = 64                 # one document in so many sizes the buckets and finds hot seeds
 HOT_SHARE = 4096            # a seed with this part of all blocks is hot: at most so many are
 
-RUN = np.dtype([("start", "<u4"), ("n", "<u4"), ("ref", "<i8")])
+RUN = np.dtype([("doc", "<i8"), ("tag", "<i8"), ("ref", "<i8"), ("start", "<u4"), ("n", "<u4")])
 LOW48 = np.uint64((1 << 48) - 1)
 LOW40 = np.uint64((1 << 40) - 1)
 
@@ -154,42 +154,39 @@ def _file_blocks(batches, window, seed_words, buckets, hot):
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(rows, pa.binary())], names=["bucket", "blocks"])
 
 
-def _match_blocks(table: pa.Table) -> pa.Table:
-    """Windows of a bucket that a smaller document has, as runs by document."""
+def _match_blocks(table: pa.Table, homes: int) -> pa.Table:
+    """Windows of a bucket that a smaller document has, as runs, packed for the
+    ``homes`` parts that documents are dealt to."""
     parts = [_unpack(raw.as_py()) for raw in table.column("blocks")]
     doc = np.concatenate([p[0][p[2]] for p in parts])
     tag = np.concatenate([p[1][p[2]] for p in parts]).astype(np.int64)
     size = np.concatenate([p[5] for p in parts]).astype(np.int64)
     seed, start0, prints = (np.concatenate([p[i] for p in parts]) for i in (3, 4, 6))
-    w_doc, w_tag = np.repeat(doc, size), np.repeat(tag, size)
     first = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(size) else size
-    w_start = np.repeat(start0.astype(np.int64) - first, size) + np.arange(len(prints))
     with np.errstate(over="ignore"):
         key = mix(mix(np.repeat(seed, size)) ^ (prints * np.uint64(0x9E3779B97F4A7C15)))
-    ref = _first_document(key, w_doc)
-    hit = w_doc > ref
-    d = np.concatenate([w_doc[hit]] + [p[0][p[7]] for p in parts])
-    t = np.concatenate([w_tag[hit]] + [p[1][p[7]].astype(np.int64) for p in parts])
-    s = np.concatenate([w_start[hit]] + [p[8].astype(np.int64) for p in parts])
-    n = np.concatenate([np.ones(int(hit.sum()), np.int64)] + [p[9].astype(np.int64) for p in parts])
-    r = np.concatenate([ref[hit]] + [p[10] for p in parts])
-    order = np.lexsort((s, t, d))
-    d, t, s, n, r = (x[order] for x in (d, t, s, n, r))
+    block = np.repeat(np.arange(len(size)), size)
+    ref = _first_document(key, doc[block])
+    hit = np.flatnonzero(doc[block] > ref)
+    block, ref = block[hit], ref[hit]
+    start = start0[block].astype(np.int64) + hit - first[block]
+    d = np.concatenate([doc[block]] + [p[0][p[7]] for p in parts])
+    t = np.concatenate([tag[block]] + [p[1][p[7]].astype(np.int64) for p in parts])
+    s = np.concatenate([start] + [p[8].astype(np.int64) for p in parts])
+    n = np.concatenate([np.ones(len(hit), np.int64)] + [p[9].astype(np.int64) for p in parts])
+    r = np.concatenate([ref] + [p[10] for p in parts])
+    home = d % homes
+    order = np.lexsort((s, t, d, home))
+    d, t, s, n, r, home = (x[order] for x in (d, t, s, n, r, home))
     if not len(d):
-        return pa.table({"doc_id": pa.array([], pa.int64()), "tag": pa.array([], pa.int64()), "runs": pa.array([], pa.binary())})
-    new = np.concatenate([[True], (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (r[1:] != r[:-1]) | (s[1:] != s[:-1] + n[:-1])])
-    at = np.flatnonzero(new)
+        return pa.table({"home": pa.array([], pa.int64()), "runs": pa.array([], pa.binary())})
+    at = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (r[1:] != r[:-1]) | (s[1:] != s[:-1] + n[:-1])]))
     runs = np.zeros(len(at), RUN)
-    runs["start"], runs["n"], runs["ref"] = s[at], np.add.reduceat(n, at), r[at]
-    d, t = d[at], t[at]
-    cut = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (t[1:] != t[:-1])]))
-    offsets = np.append(cut, len(d)) * RUN.itemsize
-    if offsets[-1] < 2 ** 31:
-        packed = pa.BinaryArray.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(offsets.astype("<i4").tobytes()), pa.py_buffer(runs.tobytes())])
-    else:
-        raw = runs.tobytes()
-        packed = pa.array([raw[a:b] for a, b in zip(offsets, offsets[1:])], pa.binary())
-    return pa.table({"doc_id": pa.array(d[cut], pa.int64()), "tag": pa.array(t[cut], pa.int64()), "runs": packed})
+    runs["doc"], runs["tag"], runs["ref"], runs["start"], runs["n"] = d[at], t[at], r[at], s[at], np.add.reduceat(n, at)
+    home = home[at]
+    cut = np.flatnonzero(np.concatenate([[True], home[1:] != home[:-1]]))
+    packed = [runs[a:b].tobytes() for a, b in zip(cut, np.append(cut[1:], len(home)))]
+    return pa.table({"home": pa.array(home[cut], pa.int64()), "runs": pa.array(packed, pa.binary())})
 
 
 def factors(runs: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, int]]:
@@ -197,7 +194,7 @@ def factors(runs: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, int]
 
     A factor goes on while the next window comes from the same source."""
     out: list[list[int]] = []
-    for start, n, ref in np.sort(runs, order=["start"]).tolist():
+    for start, n, ref in np.sort(runs, order=["start"])[["start", "n", "ref"]].tolist():
         if out and out[-1][2] == ref and start <= out[-1][1] - window + 1:
             out[-1][1] = max(out[-1][1], start + n + window - 1)
         else:
@@ -205,42 +202,60 @@ def factors(runs: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, int]
     return [tuple(x) for x in out]
 
 
+def _runs_by_document(raw: list[bytes]) -> dict:
+    """(doc, tag) -> runs, of all that came to a home."""
+    if not raw:
+        return {}
+    runs = np.frombuffer(b"".join(raw), RUN)
+    order = np.lexsort((runs["start"], runs["tag"], runs["doc"]))
+    runs = runs[order]
+    cut = np.flatnonzero(np.concatenate([[True], (runs["doc"][1:] != runs["doc"][:-1]) | (runs["tag"][1:] != runs["tag"][:-1])]))
+    return {(int(runs["doc"][a]), int(runs["tag"][a])): runs[a:b] for a, b in zip(cut, np.append(cut[1:], len(runs)))}
+
+
 def _apply_runs(batches, window):
-    """Text rows with their repeated words taken out.  Rows come by document, its
-    runs before its texts."""
-    runs_of: dict = {}
+    """Text rows with their repeated words taken out.  Rows come by home, its runs
+    before its texts; a home has so many texts as a bucket has, and less runs."""
+    home, raw, runs_of = None, [], None
     for batch in batches:
-        kinds = batch.column(2).to_numpy(zero_copy_only=False)
-        keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-        raw = batch.column(3)
-        for i in np.flatnonzero(kinds == 0).tolist():
-            runs_of.setdefault(keys[i], []).append(raw[i].as_py())
-        mine = np.flatnonzero(kinds == 1)
-        rows = batch.column(4).take(pa.array(mine))
-        bodies = pa.RecordBatch.from_arrays([rows, pc.struct_field(rows, "text")], names=["row", "text"])
-        at = 0
-        for part in slices(bodies, "text"):
-            texts = strings(part.column(1))
-            words, offsets = split_words(texts)
-            edge = np.zeros(len(words) + 1, np.int32)
-            count = []
-            for j in range(part.num_rows):
-                found = runs_of.get(keys[mine[at + j]])
-                parse = factors(np.concatenate([np.frombuffer(x, RUN) for x in found]), window) if found else []
-                count.append(len(parse))
-                for a, b, _ in parse:
-                    edge[offsets[j] + a] += 1
-                    edge[offsets[j] + b] -= 1
-            at += part.num_rows
-            keep = np.cumsum(edge[:-1]) == 0
-            left = np.concatenate([[0], np.cumsum(keep)])[offsets]
-            kept = pc.binary_join(pa.ListArray.from_arrays(pa.array(left, pa.int32()), words.filter(pa.array(keep))), " ")
-            n = np.diff(offsets)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n, pa.int64()), pa.array(n - np.diff(left), pa.int64()), pa.array(count, pa.int64()), kept.cast(pa.string())],
-                names=["row", "n_words", "n_removed", "n_factors", "kept_text"])
-        last = keys[-1] if keys else None
-        runs_of = {last: runs_of[last]} if last in runs_of else {}
+        homes, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        cuts = np.flatnonzero(np.concatenate([[True], (homes[1:] != homes[:-1]) | (kinds[1:] != kinds[:-1])]))
+        for a, b in zip(cuts, np.append(cuts[1:], len(homes))):
+            if homes[a] != home:
+                home, raw, runs_of = homes[a], [], None
+            part = batch.slice(a, b - a)
+            if kinds[a] == 0:
+                raw.extend(part.column(4).to_pylist())
+                continue
+            if runs_of is None:
+                runs_of, raw = _runs_by_document(raw), []
+            yield from _apply_slice(part, runs_of, window)
+
+
+def _apply_slice(batch, runs_of, window):
+    keys = list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()))
+    bodies = pa.RecordBatch.from_arrays([batch.column(5), pc.struct_field(batch.column(5), "text")], names=["row", "text"])
+    at = 0
+    for part in slices(bodies, "text"):
+        texts = strings(part.column(1))
+        words, offsets = split_words(texts)
+        edge = np.zeros(len(words) + 1, np.int32)
+        count = []
+        for j in range(part.num_rows):
+            found = runs_of.get(keys[at + j])
+            parse = [] if found is None else factors(found, window)
+            count.append(len(parse))
+            for a, b, _ in parse:
+                edge[offsets[j] + a] += 1
+                edge[offsets[j] + b] -= 1
+        at += part.num_rows
+        keep = np.cumsum(edge[:-1]) == 0
+        left = np.concatenate([[0], np.cumsum(keep)])[offsets]
+        kept = pc.binary_join(pa.ListArray.from_arrays(pa.array(left, pa.int32()), words.filter(pa.array(keep))), " ")
+        n = np.diff(offsets)
+        yield pa.RecordBatch.from_arrays(
+            [part.column(0), pa.array(n, pa.int64()), pa.array(n - np.diff(left), pa.int64()), pa.array(count, pa.int64()), kept.cast(pa.string())],
+            names=["row", "n_words", "n_removed", "n_factors", "kept_text"])
 
 
 def _plan(rows: DataFrame, window: int, seed: int) -> tuple[int, list[int]]:
@@ -277,13 +292,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     usable = rows.where("doc_id IS NOT NULL AND _text IS NOT NULL").select("doc_id", "tag", "_text")
     buckets, hot = _plan(usable, window, seed)
     filed = usable.mapInArrow(lambda it: _file_blocks(it, window, seed, buckets, hot), "bucket long, blocks binary")
-    runs = filed.groupBy("bucket").applyInArrow(_match_blocks, "doc_id long, tag long, runs binary")
+    homes = max(64, 4 * buckets) + 1
+    runs = filed.groupBy("bucket").applyInArrow(lambda t: _match_blocks(t, homes), "home long, runs binary")
     kind = rows.schema["row"].dataType
-    both = (runs.select("doc_id", "tag", F.lit(0).alias("kind"), "runs", F.lit(None).cast(kind).alias("row"))
-            .unionByName(rows.select("doc_id", "tag", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("runs"), "row")))
-    # Rows without id have nothing to meet; a number of their own spreads them.
-    spread = F.coalesce(F.col("doc_id"), F.xxhash64("tag", F.monotonically_increasing_id()))
-    together = both.withColumn("_at", spread).repartition("_at").sortWithinPartitions("doc_id", "tag", "kind").drop("_at")
+    # rows without id meet nothing; their texts spread them
+    texts = rows.select(F.pmod(F.coalesce("doc_id", "tag", F.lit(0)), F.lit(homes)).cast("long").alias("home"), "doc_id", "tag", "row")
+    none = lambda t: F.lit(None).cast(t)
+    both = (runs.select("home", F.lit(0).alias("kind"), none("long").alias("doc_id"), none("long").alias("tag"), "runs", none(kind).alias("row"))
+            .unionByName(texts.select("home", F.lit(1).alias("kind"), "doc_id", "tag", none("binary").alias("runs"), "row")))
+    together = both.repartition("home").sortWithinPartitions("home", "kind")
     return together.mapInArrow(lambda it: _apply_runs(it, window),
                                f"row {kind.simpleString()}, n_words long, n_removed long, n_factors long, kept_text string")
 
