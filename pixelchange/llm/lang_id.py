@@ -121,25 +121,28 @@ def score_texts(texts: pa.Array, model: dict) -> tuple[list[str], np.ndarray]:
     return [langs[b] if ok else UNDETERMINED for b, ok in zip(best, letters)], np.where(letters, score, 0.0)
 
 
-def identify(docs: DataFrame, model: dict, key: list[str] | None = None) -> DataFrame:
-    """``key`` columns (default ``doc_id``) of each row with ``lang_pred`` and ``score``.
+def identify(docs: DataFrame, model: dict, keep: list[str] | None = None) -> DataFrame:
+    """Struct ``row`` of the columns ``keep`` (default all) of each row, with
+    ``lang_pred`` and ``score``.
 
     A null, empty or letterless text is ``und`` with score 0; ties go to the
     language first in alphabetical order; equal rows give equal rows."""
-    key = ["doc_id"] if key is None else key
-    kept = docs.select(*key, F.col("text").alias("_text"))
+    keep = docs.columns if keep is None else keep
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("text").alias("_text"))
+    if "text" in keep:           # then the row has it already
+        rows = rows.select("row")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
+            if "text" in keep:
+                batch = pa.RecordBatch.from_arrays([batch.column(0), pc.struct_field(batch.column(0), "text")], names=["row", "_text"])
             for part in slices(batch, "_text"):
-                lang, score = score_texts(part.column(len(key)), shared.value)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:len(key)], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                    names=[*key, "lang_pred", "score"])
+                lang, score = score_texts(part.column(1), shared.value)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                                                 names=["row", "lang_pred", "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:len(key)])
-    return kept.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double")
 
 
 def held_out():
@@ -154,5 +157,5 @@ def training_rows(docs: DataFrame) -> DataFrame:
 def op6_language_id(docs: DataFrame) -> DataFrame:
     """Language of every document by a model of the documents that are not held out."""
     model = train(training_rows(docs))
-    named = docs.select("doc_id", held_out().alias("held_out"), "text")
-    return identify(named, model, ["doc_id", "held_out"])
+    named = identify(docs.select("doc_id", held_out().alias("held_out"), "text"), model, ["doc_id", "held_out"])
+    return named.select("row.doc_id", "row.held_out", "lang_pred", "score")

@@ -49,7 +49,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_rounds.digest_documents(table(spark, sf_dir, "documents"), piece_model())
+    return sentencepiece_rounds.encode_documents(table(spark, sf_dir, "documents"), piece_model(), with_ids=False)
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

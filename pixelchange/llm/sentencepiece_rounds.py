@@ -86,7 +86,7 @@ class Codec:
         merging = {c for p in longer for c in p} - {BLANK}
         inner = "".join(re.escape(c) for c in sorted(merging))
         self.word = re.compile(f"{BLANK}*[{inner}]+|{BLANK}+|[^{inner}{BLANK}]")
-        self.cache: dict[str, tuple[int, bytes, bytes]] = {}
+        self.cache: dict[str, tuple[int, bytes, bytes, bytes]] = {}
 
     def _pairs(self, left, right):
         key = left * self.width + right
@@ -209,13 +209,15 @@ class Codec:
         return [self.word.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
 
     def learn(self, words) -> None:
-        """Fill the cache: number of ids, ids as text, decoded bytes of each new word."""
+        """Fill the cache: number of ids, ids as text, decoded bytes, and ids as
+        32-bit numbers of each new word."""
         new = [w for w in words if w not in self.cache]
         if len(self.cache) + len(new) > CACHED_WORDS:
             self.cache, new = {}, list(words)
         for w, s in zip(new, self.merge_words(new)):
             ids = self.ids(w, s)
-            self.cache[w] = (len(ids), b"".join(b"%d," % i for i in ids), b"".join(self.surface[i] for i in ids))
+            self.cache[w] = (len(ids), b"".join(b"%d," % i for i in ids), b"".join(self.surface[i] for i in ids),
+                             np.array(ids, "<i4").tobytes())
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         words = self.words(texts)
@@ -234,34 +236,14 @@ def codec(docs: DataFrame, model_path: str):
     return docs.sparkSession.sparkContext.broadcast(read_model(model_path))
 
 
-def encode_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``ids`` (array of int) and ``decoded`` of each row; a null text is empty.
+def encode_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
+    """``key``, ``n_tokens``, ``ids_sha256`` (of decimal ids joined by commas) and
+    ``decoded_sha256`` (of the decoded text) of each row and, ``with_ids``, the ids.
 
-    An empty text has no ids and decodes to an empty text; equal rows give
-    equal rows; other columns are ignored."""
+    A null text is empty; an empty text has no ids and decodes to an empty
+    text; equal rows give equal rows; other columns are ignored."""
     shared = codec(docs, model_path)
-    kept = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-
-    def run(batches):
-        own = Codec(shared.value)
-        for batch in batches:
-            for part in slices(batch, "_text"):
-                ids = own.encode(strings(part.column(1)).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([own.decode(x) for x in ids], pa.string())],
-                    names=[key, "ids", "decoded"])
-
-    kind = kept.schema["_key"].dataType.simpleString()
-    return kept.mapInArrow(run, f"`{key}` {kind}, ids array<int>, decoded string")
-
-
-def digest_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Numbers and digests of the ids and of the decoded text of each row.
-
-    The same encoder as ``encode_documents``, but ids stay in the task; for
-    corpora of which only counts and digests are wanted."""
-    shared = codec(docs, model_path)
-    kept = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    kept = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
 
     def run(batches):
         own = Codec(shared.value)
@@ -269,16 +251,34 @@ def digest_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text
             for part in slices(batch, "_text"):
                 words = own.words(strings(part.column(1)).to_pylist())
                 own.learn({w for ws in words for w in ws})
-                counts, id_digests, text_digests = [], [], []
+                counts, id_digests, text_digests, raw_ids = [], [], [], []
                 for ws in words:
                     got = [own.cache[w] for w in ws]
                     counts.append(sum(g[0] for g in got))
                     id_digests.append(hashlib.sha256(b"".join([g[1] for g in got])[:-1]).hexdigest())
                     raw = b"".join([g[2] for g in got])
                     text_digests.append(hashlib.sha256(raw[1:] if raw[:1] == b" " else raw).hexdigest())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts, pa.int64()), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())],
-                    names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
+                    if with_ids:
+                        raw_ids.append(b"".join([g[3] for g in got]))
+                columns = [part.column(0), pa.array(counts, pa.int64()), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())]
+                if with_ids:
+                    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(raw_ids), "<i4"))))
+                yield pa.RecordBatch.from_arrays(columns, names=[key, "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(columns)])
 
     kind = kept.schema["_key"].dataType.simpleString()
-    return kept.mapInArrow(run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return kept.mapInArrow(run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
+
+
+def decode_documents(rows: DataFrame, model_path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """``key`` and the text of each row's ids (null: none)."""
+    shared = codec(rows, model_path)
+    kept = rows.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{ids}`").cast("array<int>").alias("_ids"))
+
+    def run(batches):
+        own = Codec(shared.value)
+        for batch in batches:
+            texts = [own.decode(x or []) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[key, "decoded"])
+
+    return kept.mapInArrow(run, f"`{key}` {kept.schema['_key'].dataType.simpleString()}, decoded string")
