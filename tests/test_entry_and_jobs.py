@@ -72,7 +72,7 @@ def test_classification_job(spark, tmp_root):
     kept = T.read_segment(spark, tmp_root, jobs.tile_chips(spark, pt.x, pt.y)).where("rfrawp IS NOT NULL")
     assert out is not None and kept.count() == out.count()
     record = T.read_tile(spark, tmp_root, tile).first()
-    assert "aux=stored" in record["name"] and "period=1917-07-15/2027-01-24" in record["name"]
+    assert "aux=stored" in record["name"] and "period=1917-07-15/2027-01-19" in record["name"]
     model = RF.load_model(record["model"])
     assert f"classes={','.join(RF.labels(model))}" in record["name"]
     slots = {len(r["rfrawp"]) for r in out.select("rfrawp").collect()}

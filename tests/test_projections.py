@@ -78,7 +78,7 @@ def test_nested_change_models(spark):
     got = sorted(SG.format_change_models(df).collect(), key=lambda r: (r["px"], r["chprob"] is None))
     assert len(got) == 5
     r = got[0]
-    assert (r["sday"], r["eday"], r["bday"], r["chprob"], r["mask"], len(r["dates"])) == ("1999-09-03", "2000-06-28", "2000-03-20", f, [0, 1, 0], 3)
+    assert (r["sday"], r["eday"], r["bday"], r["chprob"], r["mask"], len(r["dates"])) == ("1999-09-04", "2000-06-29", "2000-03-21", f, [0, 1, 0], 3)
     for p in BAND_PREFIX.values():
         assert (r[f"{p}mag"], r[f"{p}rmse"], r[f"{p}coef"], r[f"{p}int"]) == (f, f, [f, f], f)
     assert got[2]["bday"] is None and got[2]["blmag"] is None and got[2]["grmag"] == f and got[2]["mask"] is None
