@@ -29,13 +29,13 @@ SHARPNESS = 10.0
 def gram_buckets(texts: pa.Array, orders=ORDERS, bits: int = BITS):
     """Buckets of all n-grams as one array per order, and the text offsets in them.
 
-    Texts are lowercased and each is followed by blanks, so that no n-gram
+    Texts are lowercased and each comes after so many blanks that no n-gram
     holds characters of two texts."""
-    pad = " " * max(orders)
+    pad = " " * (max(orders) - 1)
     lower = pc.utf8_lower(texts).to_pylist()
-    lens = np.fromiter((len(t) + len(pad) for t in lower), np.int64, len(lower))
+    lens = np.fromiter((len(pad) + len(t) for t in lower), np.int64, len(lower))
     offsets = np.concatenate([[0], np.cumsum(lens)])
-    chars = np.frombuffer((pad.join(lower) + pad + pad).encode("utf-32-le"), np.uint32)
+    chars = np.frombuffer("".join([x for t in lower for x in (pad, t)] + [pad]).encode("utf-32-le"), np.uint32)
     n = int(offsets[-1])
     out, acc = [], np.zeros(n, np.uint32)
     with np.errstate(over="ignore"):
