@@ -73,5 +73,5 @@ def test_clashing_columns_and_factors(spark):
 
 
 def test_factors_end_where_the_source_ends():
-    runs = np.array([(0, 5, 1), (5, 3, 2), (8, 2, 2), (40, 1, 2)], rl.RUN)
+    runs = np.array([(1, 0, ref, start, n) for start, n, ref in ((0, 5, 1), (5, 3, 2), (8, 2, 2), (40, 1, 2))], rl.RUN)
     assert rl.factors(runs) == [(0, 17, 1), (5, 22, 2), (40, 53, 2)]
