@@ -9,7 +9,7 @@ found as well.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -69,8 +69,8 @@ COPYRIGHT_LINE = r"(^|\n)[^\n\p{L}\p{N}]*(copyright|\(c\)|©)[^\n]*"
 COPYRIGHT_MARKS = ["copyright", "(c)", "©"]
 NOT_A_WORD = r"[^\p{L}\p{N}]+"
 SPELLINGS = [
-    (r"\blicen[cs](e|es|ed|ing|or|ee)\b", "licens$1", "licen"),
-    (r"\bsub licen[cs]", "sublicens", "sub licen"),
+    (r"\bsub licen", "sublicen", "sub licen"),
+    (r"\b(sub)?licen[cs](e|es|ed|ing|or|ee)\b", "$1licens$2", "licen"),
     (r"\bnon (commercial|infringement)\b", "non$1", "non "),
     (r"\backnowledgement\b", "acknowledgment", "acknowledgement"),
     (r"\bfavour\b", "favor", "favour"),
@@ -81,28 +81,32 @@ SPELLINGS = [
 ]
 
 
-def with_canonical(rows: DataFrame, text: str, name: str) -> DataFrame:
-    """``rows`` with the canonical form of column ``text``; null for null, ''
-    where nothing is left.
+def canonical(texts: Column) -> Column:
+    """Canonical forms of an array of texts ('' where nothing is left).
 
     A pattern is only tried where what it needs is there: looking for a
-    fixed string is much cheaper than a pattern on every line."""
-    c = F.col(name)
-    marked = F.lit(False)
-    for mark in COPYRIGHT_MARKS:
-        marked = marked | c.contains(mark)
-    out = rows.withColumn(name, F.lower(text))
-    out = out.withColumn(name, F.when(marked, F.regexp_replace(c, COPYRIGHT_LINE, "$1")).otherwise(c))
-    out = out.withColumn(name, F.trim(F.regexp_replace(c, NOT_A_WORD, " ")))
-    for pattern, by, needs in SPELLINGS:
-        out = out.withColumn(name, F.when(c.contains(needs), F.regexp_replace(c, pattern, by)).otherwise(c))
+    fixed string is much cheaper than a pattern on every line.  Each step
+    names its text once (a lambda's variable), so the expression stays small."""
+    def without_copyright(c):
+        marked = F.lit(False)
+        for mark in COPYRIGHT_MARKS:
+            marked = marked | c.contains(mark)
+        return F.when(marked, F.regexp_replace(c, COPYRIGHT_LINE, "$1")).otherwise(c)
+
+    def spell(pattern, by, needs):
+        return lambda c: F.when(c.contains(needs), F.regexp_replace(c, pattern, by)).otherwise(c)
+
+    out = F.transform(F.transform(texts, F.lower), without_copyright)
+    out = F.transform(out, lambda c: F.trim(F.regexp_replace(c, NOT_A_WORD, " ")))
+    for rule in SPELLINGS:
+        out = F.transform(out, spell(*rule))
     return out
 
 
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
     """``license_id`` and ``digest`` of the catalogue, one row a digest (the first licence wins)."""
     rows = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(known)], "i int, license_id string, body string")
-    return (with_canonical(rows, "body", "_form").select("i", "license_id", F.md5("_form").alias("digest"))
+    return (rows.select("i", "license_id", F.md5(canonical(F.array("body"))[0]).alias("digest"))
             .groupBy("digest").agg(F.min_by("license_id", "i").alias("license_id")))
 
 
@@ -119,11 +123,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", known=KNOWN)
     paragraphs = F.when(F.regexp_like(body, F.lit(r"\n\s*\n")),
                         F.filter(F.split(body, r"\n\s*\n"), lambda x: x.contains("\n") & (x != body))).otherwise(F.array().cast("array<string>"))
     units = (docs.select(F.col(key).alias(key), F.col(text).alias("_text")).where(body.isNotNull())
-             .select(key, F.explode(F.concat(
-                 F.array(F.struct(F.lit("text").alias("unit"), body.alias("body"))),
-                 F.transform(F.concat(lines, paragraphs), lambda x: F.struct(F.lit("part").alias("unit"), x.alias("body"))))).alias("u"))
-             .select(key, "u.unit", F.col("u.body").alias("_body")))
-    units = with_canonical(units, "_body", "_form").select(key, "unit", F.md5("_form").alias("digest"))
+             .select(key, F.posexplode(canonical(F.concat(F.array(body), lines, paragraphs))).alias("_i", "_form"))
+             .select(key, F.when(F.col("_i") == 0, "text").otherwise("part").alias("unit"), F.md5("_form").alias("digest")))
     # The catalogue is a fixed list of a few rows: its broadcast can't grow with the data.
     hits = units.join(F.broadcast(known_digests(spark, known)), "digest")
     return hits.groupBy(key, "license_id", "unit").agg(F.count(F.lit(1)).alias("n_found"))
@@ -138,7 +139,7 @@ def scan_sql(known=KNOWN) -> str:
         out = f"regexp_replace(lower({x}), {quoted(COPYRIGHT_LINE)}, '\\1', 'g')"
         out = f"trim(regexp_replace({out}, {quoted(NOT_A_WORD)}, ' ', 'g'))"
         for pattern, by, _ in SPELLINGS:
-            out = f"regexp_replace({out}, {quoted(pattern)}, {quoted(by.replace('$1', chr(92) + '1'))}, 'g')"
+            out = f"regexp_replace({out}, {quoted(pattern)}, {quoted(by.replace('$', chr(92)))}, 'g')"
         return out
 
     rows = ", ".join(f"({i}, {quoted(a)}, {quoted(b)})" for i, (a, b) in enumerate(known))
