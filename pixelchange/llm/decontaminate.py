@@ -1,17 +1,21 @@
 """Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
 
 Test items are read in blocks of bounded size.  A first pass counts each
-n-gram of a block's items in the whole corpus (added up in the tasks; only
-one number an n-gram leaves them).  In every stretch of ``SPAN`` n-grams of
-an item the rarest one becomes a seed, so a passage with ``SEED + SPAN - 1``
-words in a row unchanged has a seed, however common its words are.  The
-second pass joins the documents' n-grams with the broadcast seeds, cuts the
-passage around seeds that lie on neighbouring diagonals, and aligns it with
-the item; many alignments run at once in numpy.  No document is shuffled.
+pair of adjacent words of a block's items in the whole corpus (added up in
+the tasks; only one number a pair leaves them).  An alignment of score T has
+at least T - 1 of its item's pairs, as a run of r matches has r - 1 and each
+step from one run to the next costs 1.  So all pairs of an item but the T - 2
+most common ones become seeds: whatever the edits are, a passage that the
+alignment accepts has one.  The second pass joins the documents' pairs with
+the broadcast seeds and aligns each item with all that an accepted passage
+around a seed can reach; many alignments run at once in numpy.  No document
+is shuffled.
 """
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,13 +24,15 @@ from pyspark.sql import functions as F
 
 from pixelchange.llm.common import slices, split_words, strings, window_hashes, word_hashes
 
-SEED = 3                    # words of an n-gram
-SPAN = 5                    # n-grams of which one is a seed
+SEED = 2                    # words of an n-gram; the bound above is one for pairs
+SPAN = 5                    # n-grams of which one at least is a seed
+MIN_WORDS = 3               # of an item
 MIN_SHARE = 0.5             # of an item's words, as alignment score
 MIN_SCORE = 13              # or so many words in all, for long items
 BLOCK_BYTES = 8 << 20       # of item texts that are broadcast at once
 FILTER_BITS = 20
 CELLS = 1 << 20             # of alignments that a task works on at once
+STRETCH = 8                 # item lengths that are aligned in one piece
 
 
 def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -35,6 +41,11 @@ def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(words), at
 
 
+def least_score(size: np.ndarray, min_share: float, min_score: int) -> np.ndarray:
+    """Score at which an alignment with an item of ``size`` words is a leak (2 at least)."""
+    return np.maximum(2, np.minimum(np.ceil(min_share * size), min_score)).astype(np.int64)
+
+
 class Items:
     """Index of a block of test items."""
 
@@ -44,7 +55,7 @@ class Items:
         n = np.diff(self.at)
         of = np.repeat(np.arange(len(n)), n)
         grams = window_hashes(self.words, SEED)
-        ok = np.flatnonzero(of[:len(grams)] == of[SEED - 1:]) if len(grams) else np.zeros(0, np.int64)
+        ok = np.flatnonzero((of[:len(grams)] == of[SEED - 1:]) & (n[of[:len(grams)]] >= MIN_WORDS)) if len(grams) else np.zeros(0, np.int64)
         self.gram, self.item, self.place = grams[ok], of[ok], ok - self.at[of[ok]]
         self.use(np.ones(len(ok), bool))
 
@@ -67,12 +78,15 @@ class Items:
         same = self.keys[k] == grams[at]
         return at[same], k[same]
 
-    def choose(self, counts: np.ndarray) -> np.ndarray:
-        """The rarest n-gram of each stretch of SPAN of an item (the first of equals)."""
+    def choose(self, counts: np.ndarray, min_share: float = MIN_SHARE, min_score: int = MIN_SCORE) -> np.ndarray:
+        """All n-grams of an item but the most common ones, of which an accepted alignment
+        has others too, and the rarest one of each stretch of SPAN (the first of equals)."""
         chosen = np.zeros(len(self.gram), bool)
         cost = counts[np.searchsorted(self.keys, self.gram)] if len(self.keys) else np.zeros(0, np.int64)
         cuts = np.flatnonzero(np.concatenate([[True], self.item[1:] != self.item[:-1]])) if len(self.item) else np.zeros(0, np.int64)
         for a, b in zip(cuts, np.append(cuts[1:], len(self.item))):
+            spare = int(least_score(np.array(b - a + SEED - 1), min_share, min_score)) - 2
+            chosen[a + np.argsort(cost[a:b], kind="stable")[:b - a - spare]] = True
             for x in range(a, max(a + 1, b - SPAN + 1)):
                 chosen[x + int(np.argmin(cost[x:min(x + SPAN, b)]))] = True
         return chosen
@@ -121,45 +135,67 @@ def align(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndar
     return best, end
 
 
-def _passages(texts: pa.Array, items: Items, min_share: float, min_score: int):
-    """Leaks in a slice of documents: (text number, item number, score, first word, one past the last)."""
+def _windows(texts: pa.Array, items: Items, least: np.ndarray):
+    """Words of a slice of documents, where each begins, and the pieces to align:
+    (document, item, first word, one past the last)."""
     words, at, of, grams, place = _document_grams(texts)
     hit, key = items.find(grams)
-    if not len(hit):
-        return []
     n = items.first[key + 1] - items.first[key]
-    cell = np.repeat(items.first[key] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+    cell = np.repeat(items.first[key] - (np.cumsum(n) - n), n) + np.arange(n.sum())
     item, in_item = items.hit_item[cell], items.hit_place[cell]
     spot = np.repeat(place[hit], n)
     doc, start = of[spot], spot - in_item          # start: where the item would begin
     order = np.lexsort((start, item, doc))
     doc, item, start = doc[order], item[order], start[order]
     size = np.diff(items.at)[item]
-    slack = np.maximum(8, size // 2)
-    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > slack[1:])])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(doc)) - 1
-    doc, item, slack, size = doc[first], item[first], slack[first], size[first]
-    low = np.maximum(start[first] - slack, at[doc])
-    high = np.minimum(start[last] + size + slack, at[doc + 1])
-    order, out, x = np.argsort(high - low, kind="stable"), [], 0
-    while x < len(order):
-        y = x + 1
-        while y < len(order) and (y + 1 - x) * (high - low)[order[y]] <= CELLS:
-            y += 1
-        group = order[x:y]
-        a = [items.words[items.at[i]:items.at[i + 1]] for i in item[group]]
-        b = [words[p:q] for p, q in zip(low[group], high[group])]
-        score, end = align(a, b)
-        good = np.flatnonzero((score >= min_share * size[group]) | (score >= min_score))
-        if len(good):
-            # Read backwards from its end, the same alignment shows where it begins.
-            back, length = align([a[g][::-1] for g in good], [b[g][:end[g]][::-1] for g in good])
-            for g, s in zip(good, length):
-                c = group[g]
-                stop = int(low[c] + end[g] - at[doc[c]])
-                out.append((int(doc[c]), int(item[c]), float(score[g] / size[c]), stop - int(s), stop))
-        x = y
+    slack = np.maximum(8, size - least[item])      # no accepted alignment has more words put in
+    low, high = np.maximum(start - slack, at[doc]), np.minimum(start + size + slack, at[doc + 1])
+    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (low[1:] > high[:-1])])[:len(doc)])
+    last = np.append(first[1:], len(doc))[:len(first)] - 1
+    doc, item, size, low, high = doc[first], item[first], size[first], low[first], high[last]
+    # Pieces overlap by two item lengths; an accepted alignment is shorter than that.
+    n = 1 + np.maximum(0, -((high - low - STRETCH * size) // -((STRETCH - 2) * size)))
+    piece = np.repeat(np.arange(len(low)), n)
+    low = low[piece] + (np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n)) * (STRETCH - 2) * size[piece]
+    return words, at, doc[piece], item[piece], low, np.minimum(low + STRETCH * size[piece], high[piece])
+
+
+def _passages(texts: pa.Array, items: Items, min_share: float, min_score: int):
+    """Leaks in a slice of documents: (text number, item number, score, first word, one past the last).
+
+    Of passages of one document that overlap and copy one item, the best stays."""
+    least = least_score(np.diff(items.at), min_share, min_score)
+    words, at, doc, item, low, high = _windows(texts, items, least)
+    found = []
+    while len(low):
+        order, rest, x = np.argsort(high - low, kind="stable"), [], 0
+        while x < len(order):
+            y = x + 1
+            while y < len(order) and (y + 1 - x) * (high - low)[order[y]] <= CELLS:
+                y += 1
+            group = order[x:y]
+            a = [items.words[items.at[i]:items.at[i + 1]] for i in item[group]]
+            b = [words[p:q] for p, q in zip(low[group], high[group])]
+            score, end = align(a, b)
+            good = np.flatnonzero(score >= least[item[group]])
+            if len(good):
+                # Read backwards from its end, the same alignment shows where it begins.
+                back, length = align([a[g][::-1] for g in good], [b[g][:end[g]][::-1] for g in good])
+                for g, s in zip(good, length):
+                    c = group[g]
+                    stop = int(low[c] + end[g])
+                    found.append((int(doc[c]), int(item[c]), -int(score[g]), stop - int(s), stop))
+                    # Left and right of it there may be others.
+                    rest += [(doc[c], item[c], p, q) for p, q in ((low[c], stop - s), (stop, high[c])) if q - p >= least[item[c]]]
+            x = y
+        doc, item, low, high = np.array(rest, np.int64).reshape(-1, 4).T
+    out, taken = [], {}
+    for d, i, s, a, b in sorted(found):
+        spans = taken.setdefault((d, i), [])
+        k = bisect.bisect_left(spans, (a, b))
+        if (k == 0 or spans[k - 1][1] <= a) and (k == len(spans) or spans[k][0] >= b):
+            spans.insert(k, (a, b))
+            out.append((d, i, -s / float(items.at[i + 1] - items.at[i]), int(a - at[d]), int(b - at[d])))
     return sorted(out)
 
 
@@ -186,9 +222,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = N
 
     A leak is a passage that aligns with an item: its score as a share of
     the item's words, and its place among the document's words (without
-    punctuation).  A leak has a score of ``min_share`` or ``min_score`` words.
-    Null and empty texts have none; items that are null or have fewer than
-    ``SEED`` words are ignored; without items nothing leaks."""
+    punctuation).  A leak has a score of ``min_share`` or ``min_score`` words,
+    and of 2 at least.  Null and empty texts have none; items that are null or
+    have fewer than ``MIN_WORDS`` words are ignored; without items nothing leaks."""
     keep = docs.columns if keep is None else keep
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").alias("_text"),
                        F.lit(None).cast(LEAKS).alias("leaks"))
@@ -201,7 +237,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = N
         for r in (rows.select("_text").mapInArrow(lambda it, i=items: _count(it, i), "k long, n long")
                   .groupBy("k").agg(F.sum("n").alias("n")).toLocalIterator()):       # one number an n-gram of the block
             counts[r["k"]] = r["n"]
-        items.use(items.choose(counts))
+        items.use(items.choose(counts, min_share, min_score))
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches, shared=shared):

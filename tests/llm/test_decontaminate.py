@@ -90,3 +90,50 @@ def test_every_stretch_has_a_seed():
         at = np.flatnonzero(index.item == i)
         for x in range(len(at) - dc.SPAN + 1):
             assert chosen[at[x:x + dc.SPAN]].any()
+
+
+def edited_copies(n, how):
+    """Items and documents with one copy each, edited by ``how`` (word number, word) -> words."""
+    bench, docs = items(n), []
+    for i, text in bench:
+        w = text.lower().rstrip(".").split()
+        docs.append((i, " ".join(prose(i + 300, 30) + [y for k, x in enumerate(w) for y in how(k, x)] + prose(i + 700, 30))))
+    return bench, docs
+
+
+def accepted(bench, docs):
+    """Pairs that alignment of every item with every document accepts, cell by cell."""
+    out = set()
+    for i, text in bench:
+        w = text.lower().rstrip(".").split()
+        out |= {(d, i) for d, t in docs if score(np.array(w), np.array(t.split())) >= min(np.ceil(dc.MIN_SHARE * len(w)), dc.MIN_SCORE)}
+    return out
+
+
+def test_dense_edits_against_alignment_of_all(spark):
+    r = random.Random(5)
+    edits = [lambda k, x, n=n: ["other"] if k % n == n - 1 else [x] for n in (3, 4, 5, 6, 7)]         # replaced
+    edits += [lambda k, x, n=n: [x, "added"] if k % n == n - 1 else [x] for n in (2, 3, 4)]           # put in
+    edits += [lambda k, x, n=n: [] if k % n == n - 1 else [x] for n in (4, 5)]                        # left out
+    edits += [lambda k, x: r.choice([[x], [x], [x], [x], ["other"], [x, "added"], []]) for _ in range(3)]
+    bench, docs, sure = items(16), [], 0
+    for e, how in enumerate(edits):
+        docs += [(100 * e + d, t) for d, t in edited_copies(16, how)[1]]
+    want = accepted(bench, docs)
+    got = leaks(spark, docs, bench)[0]
+    assert {(d, i) for d, i, _, _ in got} == want
+    for e in (1, 2, 3, 4, 5, 6):                   # dense copies are among them
+        sure += len({d for d, _ in want if d // 100 == e})
+    assert sure >= 80
+
+
+def test_passages_of_one_document_do_not_overlap(spark):
+    text = prose(1, 30)
+    repeats = ["a1", "b1", "c1"] * 5
+    docs = [(1, " ".join(text + prose(2, 9) + text + text[:8] + prose(3, 5) + text)), (2, " ".join(["a1", "b1", "c1"] * 200))]
+    got, _ = leaks(spark, docs, [(7, " ".join(text)), (8, " ".join(repeats))])
+    assert {(0, 30), (39, 69), (82, 112)} <= {(a, b) for d, i, a, b in got if (d, i) == (1, 7)}
+    for pair in ((1, 7), (2, 8)):
+        spans = [(a, b) for d, i, a, b in got if (d, i) == pair]
+        assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
+    assert len([g for g in got if g[:2] == (2, 8)]) >= 30
