@@ -1,8 +1,15 @@
+from pathlib import Path
+
 from pixelchange.llm import licences as lc
 from pyspark.sql import functions as F
 from tests.llm.helpers import table
 
 
+def published(name):
+    """A licence file as its publisher wraps it."""
+    return (Path(__file__).parent / "published" / f"{name}.txt").read_text()
+
+
 def found(spark, docs):
     return sorted((r["doc_id"] is None, r["doc_id"] or 0, r["license_id"], r["unit"], r["n_found"]) for r in lc.scan(table(spark, docs)).collect())
 
@@ -50,3 +57,9 @@ def test_guards_skip_no_pattern(spark):
 def test_plan_has_no_python(spark):
     plan = lc.scan(table(spark, [(1, "x")]))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_entire_unlicense(spark):
+    text = published("Unlicense")
+    docs = [(1, text), (2, text.replace("http:", "https:")), (3, text.split("In jurisdictions")[0])]
+    assert found(spark, docs) == [(False, 1, "Unlicense", "text", 1), (False, 2, "Unlicense", "text", 1)]
