@@ -4,7 +4,8 @@ A text is brought to a canonical form (case, punctuation, copyright lines,
 equivalent spellings) and its digest is joined with the digests of known
 notices and licences.  Whole texts, their paragraphs and their lines are
 looked up, each as an entire text, so a notice inside a longer document is
-found as well.
+found as well.  Entire licences are looked for at every place of a text,
+whatever its paragraphs are; their forms know no line wraps.
 """
 
 from __future__ import annotations
@@ -48,6 +49,15 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 
 For more information, please refer to <http://unlicense.org>"""
 
+# (licence, text without title, titles that stand above it)
+LICENCES = [
+    ("MIT", MIT.removeprefix("MIT License\n\n"), ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT", "Expat License"]),
+    ("ISC", ISC, ["ISC License", "The ISC License", "ISC License (ISC)", "ISC"]),
+    ("Zlib", ZLIB, ["zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License", "zlib"]),
+    ("Unlicense", UNLICENSE, ["The Unlicense", "Unlicense"]),
+    ("Unlicense", UNLICENSE.replace("http:", "https:"), ["The Unlicense", "Unlicense"]),
+]
+
 # (licence, text); several notices may name one licence.
 KNOWN = [
     ("MIT", MIT),
@@ -71,8 +81,33 @@ KNOWN = [
     ("CC-BY-4.0", "This work is licensed under CC BY 4.0."),
 ]
 
+KNOWN += [(licence, f"{title}\n\n{body}") for licence, body, titles in LICENCES for title in ["", *titles]]
+
+
+NO_LETTER = r"\x00-\x60\x7b-\x7f"       # of lower case text; all beyond ASCII counts as letters, which keeps patterns small
+
+
+def other_word(words: list[str]) -> str:
+    """Pattern of a run of letters that is none of ``words``, up to the end of the run
+    (no engine that the scan runs on has lookaheads in common)."""
+    starts = sorted({w[0] for w in words if w})
+    follow = [f"{c}{other_word([w[1:] for w in words if w[:1] == c])}" for c in starts]
+    rest = [f"[^{NO_LETTER}{''.join(starts)}][^{NO_LETTER}]*"]
+    return "(?:" + "|".join(follow + rest + ([] if "" in words else [""])) + ")"
+
+
+# Words that follow "copyright" at the start of a line of body text.
+BODY_WORDS = ["", "a", "act", "and", "any", "as", "assignment", "conditions", "dedication", "disclaimer", "disclaimers", "for", "from",
+              "grant", "has", "holder", "holders", "if", "in", "information", "infringement", "interest", "interests", "is", "it", "law", "laws",
+              "licence", "licences", "license", "licensed", "licenses", "line", "lines", "management", "may", "must", "notice", "notices",
+              "of", "on", "or", "other", "owned", "owner", "owners", "ownership", "permission", "permissions", "protection", "related", "right",
+              "rights", "rules", "shall", "statement", "statements", "status", "such", "that", "the", "this", "to", "treaties", "treaty",
+              "under", "which", "will", "with", "work", "works", "you"]
+
 # (pattern, replacement, what a match must contain) over lower case text, in order.
-COPYRIGHT_LINE = r"(^|\n)[^\n\p{L}\p{N}]*(copyright|\(c\)|©)[^\n]*"
+# A copyright line has (c), a year or a name (up to eight words, to the end of the line).
+COPYRIGHT_LINE = (r"(^|\n)[^\n\p{L}\p{N}]*(?:©|\(c\)[^\n\p{L}\p{N}]*(?:copyright|\d{4}|year|yyyy)|copyright[^\n\p{L}]*(?:\(c\)|©|\d{4}|year|yyyy|by )"
+                  r"|copyright:?[ \t]+" + other_word(BODY_WORDS) + r"(?:[\x21-\x60\x7b-\x7f][^ \t\n]*)?(?:[ \t]+[^ \t\n]+){0,7}[ \t\r]*(?m:$))[^\n]*")
 COPYRIGHT_MARKS = ["copyright", "(c)", "©"]
 NOT_A_WORD = r"[^\p{L}\p{N}]+"
 SPELLINGS = [
@@ -117,12 +152,24 @@ def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
             .groupBy("digest").agg(F.min_by("license_id", "i").alias("license_id")))
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", known=KNOWN) -> DataFrame:
+UNITS = "array<struct<unit:string,digest:string,n:bigint,held:boolean>>"
+
+
+def whole_form(text: str) -> Column:
+    """Canonical form of a fixed text, which the planner works out once."""
+    out = F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.lit(text)), COPYRIGHT_LINE, "$1"), NOT_A_WORD, " "))
+    for pattern, by, _ in SPELLINGS:
+        out = F.regexp_replace(out, pattern, by)
+    return out
+
+
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", known=KNOWN, licences=LICENCES) -> DataFrame:
     """Licences found in each row's whole text.
 
     One row per ``key``, ``license_id`` and ``unit`` (``text``: the whole text
-    is a known one, ``part``: some of its paragraphs or lines are), with the
-    number of such parts.  A null or empty text has none; equal rows are
+    is a known one, ``part``: some of its paragraphs or lines are, or it holds
+    one of ``licences`` entirely), with the number of such parts.  A licence
+    counts once at each place, with or without a title.  A null or empty text has none; equal rows are
     counted together under their key; other columns are ignored."""
     spark = docs.sparkSession
     body = F.col("_text")
@@ -130,11 +177,28 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", known=KNOWN)
     paragraphs = F.when(F.regexp_like(body, F.lit(r"\n\s*\n")),
                         F.filter(F.split(body, r"\n\s*\n"), lambda x: x.contains("\n") & (x != body))).otherwise(F.array().cast("array<string>"))
     units = (docs.select(F.col(key).alias(key), F.col(text).alias("_text")).where(body.isNotNull())
-             .select(key, F.posexplode(canonical(F.concat(F.array(body), lines, paragraphs))).alias("_i", "_form"))
-             .select(key, F.when(F.col("_i") == 0, "text").otherwise("part").alias("unit"), F.md5("_form").alias("digest")))
+             .select(key, F.posexplode(canonical(F.concat(F.array(body), lines, paragraphs))).alias("_i", "_form")))
+
+    entire = [F.md5(whole_form(f"{title}\n\n{licence}")) for _, licence, titles in licences for title in ["", *titles]]
+
+    def found(unit, digest, n, held):
+        return F.struct(F.lit(unit).alias("unit"), digest.alias("digest"), n.cast("long").alias("n"), F.lit(held).alias("held"))
+
+    def places(licence):
+        # Forms of several words, each between two spaces of its own: copies side by side are all counted.
+        spaced = [F.concat(F.lit(" "), F.replace(x, F.lit(" "), F.lit("  ")), F.lit(" ")) for x in (F.col("_form"), whole_form(licence))]
+        n = (F.length(spaced[0]) - F.length(F.replace(*spaced, F.lit("")))) / F.length(spaced[1])
+        return F.when(F.col("_form").contains(whole_form(licence)) & spaced[0].contains(spaced[1]),
+                      found("part", F.md5(whole_form(licence)), n, True))
+
+    one = found("text", F.md5("_form"), F.lit(1), False)
+    parts = F.when(~F.md5("_form").isin(entire), F.filter(F.array(*[places(x) for _, x, _ in licences]), lambda x: x.isNotNull()))
+    units = (units.select(key, F.explode(F.when(F.col("_i") == 0, F.concat(F.array(one), F.coalesce(parts, F.array().cast(UNITS))))
+                                         .otherwise(F.array(found("part", F.md5("_form"), F.lit(1), False)))).alias("_u")).select(key, "_u.*"))
     # The catalogue is a fixed list of a few rows: its broadcast can't grow with the data.
-    hits = units.join(F.broadcast(known_digests(spark, known)), "digest")
-    return hits.groupBy(key, "license_id", "unit").agg(F.count(F.lit(1)).alias("n_found"))
+    names = known_digests(spark, known).withColumn("entire", F.col("digest").isin(entire))
+    hits = units.join(F.broadcast(names), "digest").where((F.col("unit") == "text") | F.col("held") | ~F.col("entire"))
+    return hits.groupBy(key, "license_id", "unit").agg(F.sum("n").alias("n_found"))
 
 
 def scan_sql(known=KNOWN) -> str:

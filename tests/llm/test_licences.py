@@ -63,3 +63,32 @@ def test_entire_unlicense(spark):
     text = published("Unlicense")
     docs = [(1, text), (2, text.replace("http:", "https:")), (3, text.split("In jurisdictions")[0])]
     assert found(spark, docs) == [(False, 1, "Unlicense", "text", 1), (False, 2, "Unlicense", "text", 1)]
+
+
+def test_published_files(spark):
+    texts = {name: published(name) for name in ("MIT", "ISC", "Zlib", "Unlicense")}
+    bare = {name: " ".join(line for line in t.splitlines() if not line.startswith("Copyright")) for name, t in texts.items()}
+    names = sorted(texts)
+    docs = [(i, texts[n]) for i, n in enumerate(names)] + [(10 + i, bare[n]) for i, n in enumerate(names)]
+    assert found(spark, docs) == [(False, 10 * k + i, n, "text", 1) for k in (0, 1) for i, n in enumerate(names)]
+
+
+def test_entire_licences_inside_a_document(spark):
+    docs = [(1, "Read me\n\nSome words.\n\n" + published("ISC") + "\n\nmore"), (2, published("MIT") + "\n\n" + published("Zlib")),
+            (3, "\n".join([published("MIT")] * 3)), (4, "x" + published("Unlicense").strip() + "x"), (5, f"Text\n{lc.ISC.replace(chr(10), ' ')}\nText")]
+    assert found(spark, docs) == [(False, 1, "ISC", "part", 1), (False, 2, "MIT", "part", 1), (False, 2, "Zlib", "part", 1),
+                                  (False, 3, "MIT", "part", 3), (False, 5, "ISC", "part", 1)]
+
+
+def test_copyright_lines(spark):
+    gone = ["Copyright (c) 2020 A", "copyright 1999-2004, B Inc.", "© C", "(C) 2021 D", "# Copyright Some One", "Copyright by E",
+            "Copyright <YEAR> <HOLDER>", " * Copyright Andreas Noticer, F."]
+    kept = ["copyright notice and this permission notice appear in all copies.", "copyright holders and contributors", "copyright law", "(c) You must keep it",
+            "copyright", "copyright, patent and trademark", "copyright interest in the"]
+    forms = spark.createDataFrame([(x,) for x in gone + kept], "t string").select("t", lc.canonical(F.array("t"))[0].alias("form")).collect()
+    assert {r["t"] for r in forms if r["form"] == ""} == set(gone)
+    assert all(r["form"] == lc_words(r["t"]) for r in forms if r["t"] in kept)
+
+
+def lc_words(text):
+    return " ".join("".join(c if c.isalnum() else " " for c in text.lower()).split())
