@@ -10,6 +10,9 @@ whatever its paragraphs are; their forms know no line wraps.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +61,24 @@ LICENCES = [
     ("Unlicense", UNLICENSE.replace("http:", "https:"), ["The Unlicense", "Unlicense"]),
 ]
 
+# Longer texts as published.  BSD's conditions have numbers or marks; texts with an appendix
+# on their use also stand without it; addresses in them have https or http.
+TEXTS = {p.stem: p.read_text() for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))}
+END = "END OF TERMS AND CONDITIONS"
+FILES = []                  # (licence, text that holds one of LICENCES)
+for _name, _names in (("BSD-2-Clause", ["BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License"]),
+                      ("BSD-3-Clause", ["BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License", "Modified BSD License"])):
+    _titles = [x + y for y in ("", "\n\nAll rights reserved.") for x in ("", *_names, *(f"The {n}" for n in _names))][1:]
+    LICENCES += [(_name, TEXTS[_name], _titles), (_name, re.sub(r"(?m)^\d\. ", "* ", TEXTS[_name]), _titles)]
+for _name in ("Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"):
+    for _text in dict.fromkeys((TEXTS[_name], TEXTS[_name].replace("https:", "http:"), TEXTS[_name].replace("http:", "https:"))):
+        if END in _text:
+            FILES.append((_name, _text))
+        _body = _text.partition(END)[0] + END if END in _text else _text
+        _form = re.sub(r"(?mi)^\W*copyright \(c\).*$", "", _body)       # an address may stand in a copyright line only
+        if all(_form != re.sub(r"(?mi)^\W*copyright \(c\).*$", "", x) for _, x, _ in LICENCES):
+            LICENCES.append((_name, _body, []))
+
 # (licence, text); several notices may name one licence.
 KNOWN = [
     ("MIT", MIT),
@@ -81,6 +102,11 @@ KNOWN = [
     ("CC-BY-4.0", "This work is licensed under CC BY 4.0."),
 ]
 
+KNOWN += [(x.removesuffix("-only"), f"SPDX-License-Identifier: {x}") for x in (
+    "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "Zlib", "Unlicense", "CC0-1.0", "GPL-2.0-only", "LGPL-2.1-only", "LGPL-3.0-only")]
+KNOWN += [(x, f"{verb} under the {name}.") for verb in ("Licensed", "Released")
+          for x, name in (("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"), ("MPL-2.0", "Mozilla Public License, Version 2.0"))]
+KNOWN += FILES
 KNOWN += [(licence, f"{title}\n\n{body}") for licence, body, titles in LICENCES for title in ["", *titles]]
 
 
@@ -163,7 +189,7 @@ def whole_form(text: str) -> Column:
     return out
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", known=KNOWN, licences=LICENCES) -> DataFrame:
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", known=KNOWN, licences=LICENCES, files=FILES) -> DataFrame:
     """Licences found in each row's whole text.
 
     One row per ``key``, ``license_id`` and ``unit`` (``text``: the whole text
@@ -180,6 +206,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", known=KNOWN,
              .select(key, F.posexplode(canonical(F.concat(F.array(body), lines, paragraphs))).alias("_i", "_form")))
 
     entire = [F.md5(whole_form(f"{title}\n\n{licence}")) for _, licence, titles in licences for title in ["", *titles]]
+    entire += [F.md5(whole_form(file)) for _, file in files]
 
     def found(unit, digest, n, held):
         return F.struct(F.lit(unit).alias("unit"), digest.alias("digest"), n.cast("long").alias("n"), F.lit(held).alias("held"))

@@ -92,3 +92,16 @@ def test_copyright_lines(spark):
 
 def lc_words(text):
     return " ".join("".join(c if c.isalnum() else " " for c in text.lower()).split())
+
+
+def test_published_files_of_longer_licences(spark):
+    names = ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause"]
+    docs = [(i, published(n)) for i, n in enumerate(names)] + [(10 + i, f"Read me\n\n{published(n)}\n\nmore") for i, n in enumerate(names)]
+    docs += [(20, lc.TEXTS["Apache-2.0"]), (21, lc.TEXTS["GPL-3.0"].replace("https:", "http:")), (22, " ".join(lc.TEXTS["MPL-2.0"].split()))]
+    assert found(spark, docs) == ([(False, i, n, "text", 1) for i, n in enumerate(names)] + [(False, 10 + i, n, "part", 1) for i, n in enumerate(names)]
+                                  + [(False, 20, "Apache-2.0", "text", 1), (False, 21, "GPL-3.0", "text", 1), (False, 22, "MPL-2.0", "text", 1)])
+
+
+def test_no_licence_holds_another(spark):
+    forms = spark.range(1).select(*[lc.whole_form(x).alias(f"c{i}") for i, (_, x, _) in enumerate(lc.LICENCES)]).first()
+    assert not [(i, j) for i, a in enumerate(forms) for j, b in enumerate(forms) if i != j and f" {a} " in f" {b} "]
