@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pixelchange.llm import decision_list, decontaminate, edit_tokens, lang_id, licences, ngram_jaccard, relative_lz, sentencepiece_rounds, shards, warc
+from pixelchange.llm import decision_list, decontaminate, dialogue_repair, edit_tokens, lang_id, licences, ngram_jaccard, relative_lz, sentencepiece_rounds, shards, warc
 from pixelchange.llm.common import table
 
 
@@ -64,6 +64,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def op12_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue_repair.op12_dialogue_repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality_rules": op2_quality_rules,
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_extendible_shards": op9_extendible_shards,
     "op10_license_scan": op10_license_scan,
+    "op12_dialogue_repair": op12_dialogue_repair,
 }
 
 ORACLE: dict[str, str] = {
