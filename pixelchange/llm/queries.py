@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pixelchange.llm import decision_list, decontaminate, dialogue_repair, edit_tokens, lang_id, licences, ngram_jaccard, relative_lz, sentencepiece_rounds, shards, warc
+from pixelchange.llm import decision_list, decontaminate, dialogue_repair, edit_tokens, lang_id, lexical_rank, licences, ngram_jaccard, relative_lz, sentencepiece_rounds, shards, warc
 from pixelchange.llm.common import table
 
 
@@ -68,6 +68,10 @@ def op12_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogue_repair.op12_dialogue_repair(table(spark, sf_dir, "conversations"))
 
 
+def op13_lexical_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_rank.op13_lexical_rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality_rules": op2_quality_rules,
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_extendible_shards": op9_extendible_shards,
     "op10_license_scan": op10_license_scan,
     "op12_dialogue_repair": op12_dialogue_repair,
+    "op13_lexical_rank": op13_lexical_rank,
 }
 
 ORACLE: dict[str, str] = {
@@ -87,4 +92,5 @@ ORACLE: dict[str, str] = {
     "op8_warc": warc.WARC_SQL,
     "op9_extendible_shards": shards.shard_sql(),
     "op10_license_scan": licences.scan_sql(),
+    "op13_lexical_rank": lexical_rank.search_sql(),
 }
