@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pixelchange.llm import decision_list, decontaminate, dialogue_repair, edit_tokens, lang_id, lexical_rank, licences, ngram_jaccard, relative_lz, sentencepiece_rounds, shards, warc
+from pixelchange.llm import decision_list, decontaminate, dialogue_repair, edit_tokens, lang_id, lexical_rank, licences, ngram_jaccard, norm_search, relative_lz, sentencepiece_rounds, shards, warc
 from pixelchange.llm.common import table
 
 
@@ -64,6 +64,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_norm_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_search.op11_norm_search(table(spark, sf_dir, "embeddings"))
+
+
 def op12_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogue_repair.op12_dialogue_repair(table(spark, sf_dir, "conversations"))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_extendible_shards": op9_extendible_shards,
     "op10_license_scan": op10_license_scan,
+    "op11_norm_search": op11_norm_search,
     "op12_dialogue_repair": op12_dialogue_repair,
     "op13_lexical_rank": op13_lexical_rank,
 }
@@ -92,5 +97,6 @@ ORACLE: dict[str, str] = {
     "op8_warc": warc.WARC_SQL,
     "op9_extendible_shards": shards.shard_sql(),
     "op10_license_scan": licences.scan_sql(),
+    "op11_norm_search": norm_search.search_sql(),
     "op13_lexical_rank": lexical_rank.search_sql(),
 }
