@@ -7,19 +7,24 @@ bucket; a bucket that is larger than ``LEAF`` is split: the hash of its path
 chooses coordinates (1 / similarity of them on average, one at least), and
 the values there name the buckets below.  Whether two classes meet further
 down depends on their similarity only, so the runs, repeated, find a pair
-at the threshold with a known chance (``RUNS``: over 0.99).
+at the threshold with a known chance: their number follows from the target ``RECALL``.
 
 Small buckets are compared by brute force: the sketches rule out what is far
 from the threshold, then the whole shingle sets decide.  A pair that meets
 in several buckets counts in the one of least number.  No pair leaves a
 task: a bucket returns, for each class, its number of links and the least
 class that it hangs together with, so a group of n near copies makes n rows
-a bucket, not n squared.  Buckets of near copies that no splitting makes
-smaller are compared in blocks of ``BLOCK`` by ``BLOCK``.
+a bucket, not n squared.  A bucket of near copies that splitting does not make
+smaller is split no further and stands once for all runs and paths that find it; it is
+compared in blocks of ``BLOCK`` by ``BLOCK``.  Its rows are dealt once a block, its
+comparisons (all pairs of different texts, of which none may be lost) grow with
+the square of the group.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,14 +37,30 @@ from pixelchange.llm.common import materialise, mix, slices, split_words, string
 SHINGLE = 5
 TENTHS = 8                  # similarity of a link, in tenths: exact in integers
 COORDINATES = 64
-RUNS = 8
 LEAF = 64
 DEPTH = 4
+RECALL = 0.99               # least chance that a pair at the threshold meets in some run
 BLOCK = 1024
+KEPT = 0.5                  # a bucket with this share of the one above it is dense
 MARGIN = 0.25               # four standard errors of a sketch's estimate
 PAIRS = 200_000             # pairs that a task compares at once
 
 
+def runs_for(recall: float, similarity: float = TENTHS / 10) -> int:
+    """Runs after which a pair of that similarity has met with the chance ``recall``.
+
+    Each level of a run chooses each coordinate with the chance 1 / (similarity
+    COORDINATES), one at least, and the pair goes on where the chosen values agree;
+    ``lost`` is the chance that it meets in no bucket of the last level."""
+    p = 10 / TENTHS / COORDINATES
+    lost = 0.0
+    for _ in range(DEPTH + 1):
+        parted = 1 - similarity * (1 - lost)          # one chosen coordinate leads nowhere
+        none = (1 - p) ** COORDINATES
+        lost = (1 - p + p * parted) ** COORDINATES - none + none * parted
+    return max(1, math.ceil(math.log(1 - recall) / math.log(lost)))
+
+
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct shingles of each text, sorted, and their offsets.
 
@@ -109,9 +130,10 @@ def _children(path: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _roots(batches):
+    runs = runs_for(RECALL)
     for batch in batches:
         sketch = _matrix(batch.column(1), np.uint32, COORDINATES)
-        for run in range(RUNS):
+        for run in range(runs):
             row, path = _children(np.full(len(sketch), mix(np.array([run + 1], np.uint64))[0]), sketch)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(path.view(np.int64))], names=["rep", "path"])
 
@@ -119,25 +141,38 @@ def _roots(batches):
 def _split(batches):
     for batch in batches:
         row, path = _children(batch.column(1).to_numpy().view(np.uint64), _matrix(batch.column(2), np.uint32, COORDINATES))
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(path.view(np.int64))], names=["rep", "path"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(path.view(np.int64)), batch.column(3).take(pa.array(row))],
+                                         names=["rep", "path", "above"])
 
 
 def leaves(classes: DataFrame) -> DataFrame:
-    """Small buckets of all runs: ``rep``, ``path``, ``size`` (2 at least)."""
-    level = classes.select("rep", "sketch").mapInArrow(_roots, "rep long, path long")
-    out = None
+    """Buckets to compare, of all runs: ``rep``, ``path``, ``size`` (2 at least).
+
+    Most are small.  A large bucket that keeps most of the bucket above it is
+    dense: its classes are near copies of each other, which no further splitting
+    parts.  All runs find such a group, on many paths; it is named by its least
+    class instead, so that it is one bucket."""
+    level = classes.select("rep", "sketch").mapInArrow(_roots, "rep long, path long").withColumn("above", F.lit(None).cast("long"))
+    small, dense = [], []
     for depth in range(DEPTH + 1):
         level = materialise(level, "join-level")
-        counts = level.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        sized = materialise(level.join(counts, "path"), "join-buckets")
-        done = sized if depth == DEPTH else sized.where(F.col("size") <= LEAF)
-        out = done if out is None else out.unionByName(done)
-        large = sized.where(F.col("size") > LEAF)
-        if depth == DEPTH or large.isEmpty():
+        counts = (level.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("least"), F.first("above").alias("above"))
+                  .where("size > 1")
+                  .select("path", "size", "least", F.coalesce(F.col("size") >= KEPT * F.col("above"), F.lit(False)).alias("kept")))
+        sized = materialise(level.drop("above").join(counts, "path"), "join-buckets")
+        large = (F.col("size") > LEAF) & F.lit(depth < DEPTH)
+        small.append(sized.where((F.col("size") <= LEAF) | (~large & ~F.col("kept"))).select("rep", "path"))
+        dense.append(sized.where((F.col("size") > LEAF) & F.col("kept")).select("rep", F.col("least").alias("path")))
+        split = sized.where(large & ~F.col("kept"))
+        if depth == DEPTH or split.isEmpty():
             break
-        level = (large.select("rep", "path").join(classes.select("rep", "sketch"), "rep")
-                 .select("rep", "path", "sketch").mapInArrow(_split, "rep long, path long"))
-    return out.dropDuplicates(["rep", "path"])
+        level = (split.select("rep", "path", "size").join(classes.select("rep", "sketch"), "rep")
+                 .select("rep", "path", "sketch", "size").mapInArrow(_split, "rep long, path long, above long"))
+    out = small[0]
+    for more in small[1:] + dense:
+        out = out.unionByName(more)
+    out = out.dropDuplicates(["rep", "path"])
+    return out.join(out.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "path")
 
 
 def _blocks(rows: DataFrame) -> DataFrame:

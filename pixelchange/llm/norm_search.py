@@ -330,9 +330,9 @@ def op11_norm_search(embeddings: DataFrame) -> DataFrame:
 def search_sql() -> str:
     """DuckDB SQL for the query's rows."""
     return f"""
-    WITH whole AS (SELECT vec_id, list_transform(embedding, x -> floor({SCALE} * x::DOUBLE)) AS v FROM embeddings
+    WITH whole AS (SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS v FROM embeddings
                    WHERE embedding IS NOT NULL
-                     AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     asking AS (SELECT vec_id AS query_id, min(v) AS q FROM whole WHERE vec_id % {QUERY_STEP} = 0 GROUP BY vec_id),
     scored AS (SELECT query_id, vec_id, list_inner_product(q, v)::BIGINT AS score
                FROM asking, whole WHERE vec_id IS DISTINCT FROM query_id AND len(q) = len(v)),

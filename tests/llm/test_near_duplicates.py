@@ -1,5 +1,6 @@
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from pixelchange.llm import ngram_jaccard as nj
@@ -59,6 +60,47 @@ def test_pair_counts_once(spark):
     assert Counter((r["doc_id"], r["n_links"]) for r in got) == Counter((d, n) for (d, _), (_, n) in zip(docs, links_and_classes(docs)))
 
 
+def test_runs_reach_the_target_recall():
+    """Pairs whose sketches agree in 8 of 10 coordinates, through all levels of all runs."""
+    r = np.random.default_rng(0)
+    n = 4000
+    a = r.integers(0, 2 ** 32, (n, nj.COORDINATES), dtype=np.uint32)
+    b = np.where(r.random(a.shape) < 0.8, a, r.integers(0, 2 ** 32, a.shape, dtype=np.uint32))
+    met = np.zeros(n, bool)
+    for run in range(nj.runs_for(nj.RECALL)):
+        start = np.full(n, nj.mix(np.array([run + 1], np.uint64))[0])
+        here = (np.arange(n), start)
+        for _ in range(nj.DEPTH + 1):
+            sides = []
+            for sketch in (a, b):
+                row, path = nj._children(here[1], sketch[here[0]])
+                sides.append(set(zip(here[0][row].tolist(), path.tolist())))
+            both = sorted(sides[0] & sides[1])
+            here = np.array([x for x, _ in both], np.int64), np.array([y for _, y in both], np.uint64)
+        met[here[0]] = True
+    assert met.mean() >= nj.RECALL - 0.005
+    assert nj.runs_for(0.5) < nj.runs_for(0.9) < nj.runs_for(0.999)
+
+
+def test_a_large_group_of_near_copies_is_dealt_once(spark, monkeypatch):
+    """Rows that are split or compared grow with the group, not with its square."""
+    made = {}
+
+    def counted(df, name):
+        out = written(df, name)
+        made.setdefault(name, []).append(out.count())
+        return out
+
+    written = nj.materialise
+    monkeypatch.setattr(nj, "materialise", counted)
+    for n in (300, 600):
+        made.clear()
+        base = prose(3, 120)
+        got = nj.near_duplicates(table(spark, [(i, " ".join(edited(base, 1 + i % 2, i))) for i in range(n)])).collect()
+        assert {r["class_id"] for r in got} == {0}
+        assert sum(made["join-level"]) < 40 * n and sum(made["join-leaves"]) < 12 * n
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 2), (2, 3), (3, 4), (4, 5), (9, 8)], [(i, i + 1) for i in range(40)], [(50, i) for i in range(40)]])
 def test_components(spark, edges):
     got = {r["node"]: r["label"] for r in nj.components(table(spark, edges, "a long, b long")).collect()}
