@@ -101,10 +101,10 @@ def per_text(sums: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def utf8_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string array without nulls, and the texts' offsets in them."""
+    """All bytes of a string or binary array without nulls, and the texts' offsets in them."""
     if not len(texts):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
-    size = 8 if pa.types.is_large_string(texts.type) else 4
+    size = 8 if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type) else 4
     buffers = texts.buffers()
     at = np.frombuffer(buffers[1], np.int64 if size == 8 else np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
     data = np.frombuffer(buffers[2], np.uint8)[at[0]:at[-1]] if buffers[2] is not None else np.zeros(0, np.uint8)

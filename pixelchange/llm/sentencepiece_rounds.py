@@ -1,32 +1,30 @@
 """SentencePiece BPE by vectorised merge rounds, and decoding.
 
-A batch's texts are cut into words at places that no piece can span (before
-a run of blanks, around characters that are in no longer piece).  The
-distinct words are laid out as one flat numpy array of symbols.  A round
-looks up the rank of each pair of neighbours, takes the leftmost pair of
-least rank in every word, merges these in all words at once and compacts
-the array; words without a pair leave it.  One merge a word and round is
-the order in which the library merges, so the ids are the same.  Words
-longer than ``LONG_WORD`` symbols would need as many rounds as symbols;
-they take the same merges from a heap instead.
+A batch's texts are cut into words at places that no piece can span: between
+two characters that are neighbours in no piece.  The distinct words are laid
+out as one flat numpy array of symbols.  A round looks up the rank of each
+pair of neighbours, takes the least rank in every word, merges the leftmost
+pairs of that rank in all words at once and compacts the array; words
+without a pair leave it.  The library merges one pair after another, best rank
+first, leftmost first; all pairs of the least rank that don't overlap can be
+merged in the same round if the new piece is part of no pair of a better rank
+(``alone`` tells); else a round merges the leftmost of them only.  So the ids
+are the same.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
-import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pixelchange.llm.common import slices, strings
+from pixelchange.llm.common import slices, strings, utf8_bytes
 
 BLANK = "▁"
-LONG_WORD = 256
-CACHED_WORDS = 200_000      # words whose ids a task keeps (memory only, no effect on results)
 
 
 def read_model(path: str) -> dict:
@@ -82,35 +80,45 @@ class Codec:
         self.ranks = np.array(ranks, np.int64)[order]
         self.made = np.array(made, np.int64)[order]
         self.none = len(rank_of)
-        # Characters that merge with nothing stand alone, as words.
-        merging = {c for p in longer for c in p} - {BLANK}
-        inner = "".join(re.escape(c) for c in sorted(merging))
-        self.word = re.compile(f"{BLANK}*[{inner}]+|{BLANK}+|[^{inner}{BLANK}]")
-        self.cache: dict[str, tuple[int, bytes, bytes, bytes]] = {}
+        # Pieces that are made after all pairs that hold them can be merged at all places at once.
+        best = np.full(self.width, self.none, np.int64)
+        left, right = self.keys // self.width, self.keys % self.width
+        np.minimum.at(best, left, self.ranks)
+        np.minimum.at(best, right, self.ranks)
+        self.alone = best[self.made] > self.ranks
+        # Neighbours inside pieces: no word is cut between them.
+        inner = sorted({c for p in longer for c in p})
+        self.kind = np.zeros(0x110000, np.uint16)
+        self.kind[[ord(c) for c in inner]] = np.arange(1, len(inner) + 1)
+        self.kind[0x20] = self.kind[ord(BLANK)]
+        self.joined = np.zeros((len(inner) + 1, len(inner) + 1), bool)
+        for p in longer:
+            k = self.kind[[ord(c) for c in p]]
+            self.joined[k[:-1], k[1:]] = True
+        # Symbol of each character, and of each id its decimal text with a comma and its bytes.
+        self.symbol_of = np.full(0x110000, self.other, np.int64)
+        for p, i in self.symbol.items():
+            if len(p) == 1:
+                self.symbol_of[ord(p)] = i
+        self.symbol_of[0x20] = self.symbol_of[ord(BLANK)]
+        self.id_text = pa.array([b"%d," % i for i in range(len(pieces))], pa.large_binary())
+        self.id_bytes = pa.array(self.surface, pa.large_binary())
 
     def _pairs(self, left, right):
+        """Rank of pairs of symbols, and where their merge is listed."""
         key = left * self.width + right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        hit = self.keys[at] == key
-        return np.where(hit, self.ranks[at], self.none), self.made[at]
-
-    def merge_words(self, words: list[str]) -> list[list[int]]:
-        """Symbols of each word after all merges."""
-        out: list = [None] * len(words)
-        short = [i for i, w in enumerate(words) if len(w) <= LONG_WORD]
-        for i, w in enumerate(words):
-            if len(w) > LONG_WORD:
-                out[i] = self._heap([self.symbol.get(c, self.other) for c in w])
-        if not short:
-            return out
-        lens = np.array([len(words[i]) for i in short], np.int64)
-        text = "".join(words[i] for i in short)
-        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        distinct, inverse = np.unique(points, return_inverse=True)
-        symbols = np.array([self.symbol.get(chr(c), self.other) for c in distinct], np.int64)[inverse]
-        word = np.repeat(np.arange(len(short)), lens)
-        done: list[tuple[np.ndarray, np.ndarray]] = []
-        rank, made = self._ranks(symbols, word)
+        return np.where(self.keys[at] == key, self.ranks[at], self.none), at
+
+    def merge_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of all words, one word after another, and the words' offsets in them."""
+        data, _ = utf8_bytes(words)
+        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        symbols, place = self.symbol_of[points], np.arange(len(points))
+        word = np.repeat(np.arange(len(words)), pc.utf8_length(words).to_numpy())
+        done: list[tuple] = []
+        rank, merge = np.full(len(symbols), self.none, np.int64), np.zeros(len(symbols), np.int64)
+        self._refresh(symbols, word, rank, merge, np.arange(len(symbols)))
         while len(symbols):
             starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
             size = np.diff(np.append(starts, len(word)))
@@ -118,112 +126,91 @@ class Codec:
             live = least < self.none
             if not live.all():
                 stay = np.repeat(live, size)
-                done.append((word[~stay], symbols[~stay]))
-                symbols, word, rank, made = symbols[stay], word[stay], rank[stay], made[stay]
+                done.append((word[~stay], symbols[~stay], place[~stay]))
+                symbols, word, place, rank, merge = symbols[stay], word[stay], place[stay], rank[stay], merge[stay]
                 if not len(symbols):
                     break
                 size, least = size[live], least[live]
-                starts = np.concatenate([[0], np.cumsum(size)[:-1]])
             hits = np.flatnonzero(rank == np.repeat(least, size))
-            first = hits[np.concatenate([[True], word[hits][1:] != word[hits][:-1]])]
-            symbols[first] = made[first]
+            chosen = hits[self._together(hits, word[hits], merge[hits])]
+            symbols[chosen] = self.made[merge[chosen]]
             keep = np.ones(len(symbols), bool)
-            keep[first + 1] = False
+            keep[chosen + 1] = False
             moved = np.cumsum(keep) - 1
-            symbols, word, rank, made = symbols[keep], word[keep], rank[keep], made[keep]
-            at = moved[first]
-            self._refresh(symbols, word, rank, made, np.concatenate([at, at[at > 0] - 1]))
-        order_word = np.concatenate([w for w, _ in done]) if done else np.zeros(0, np.int64)
-        flat = np.concatenate([s for _, s in done]) if done else np.zeros(0, np.int64)
-        order = np.argsort(order_word, kind="stable")
-        cuts = np.cumsum(np.bincount(order_word, minlength=len(short)))
-        flat = flat[order].tolist()
-        a = 0
-        for i, b in zip(short, cuts.tolist()):
-            out[i] = flat[a:b]
-            a = b
-        return out
-
-    def _ranks(self, symbols, word):
-        rank = np.full(len(symbols), self.none, np.int64)
-        made = np.zeros(len(symbols), np.int64)
-        if len(symbols) > 1:
-            self._refresh(symbols, word, rank, made, np.arange(len(symbols)))
-        return rank, made
-
-    def _refresh(self, symbols, word, rank, made, at):
+            symbols, word, place, rank, merge = symbols[keep], word[keep], place[keep], rank[keep], merge[keep]
+            at = moved[chosen]
+            self._refresh(symbols, word, rank, merge, np.concatenate([at, at[at > 0] - 1]))
+        if not done:
+            return symbols, np.zeros(len(words) + 1, np.int64)
+        word, symbols, place = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(word, kind="stable")
+        word, ids, place = word[order], symbols[order], points[place[order]]
+        odd = np.flatnonzero(ids >= self.first_extra)          # characters without a piece become bytes
+        if len(odd):
+            own = [chr(c if c != 0x20 else ord(BLANK)).encode() for c in place[odd]]
+            many = np.ones(len(ids), np.int64)
+            many[odd] = [len(b) for b in own]
+            first = np.cumsum(many) - many
+            ids, word = np.repeat(ids, many), np.repeat(word, many)
+            for at, raw in zip(first[odd], own):
+                ids[at:at + len(raw)] = [self.bytes[b] for b in raw]
+        return ids, np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(words)))])
+
+    def _together(self, hits, word, merge) -> np.ndarray:
+        """Which of the least pairs of each word a round merges: the leftmost and, where
+        that changes nothing for the others, every second one of a run of overlaps."""
+        first = np.concatenate([[True], word[1:] != word[:-1]])
+        at = np.arange(len(hits))
+        run = np.concatenate([[True], hits[1:] != hits[:-1] + 1]) | first
+        even = (at - np.maximum.accumulate(np.where(run, at, 0))) % 2 == 0
+        starts = np.flatnonzero(first)
+        free = np.logical_and.reduceat(self.alone[merge], starts)
+        return first | (even & np.repeat(free, np.diff(np.append(starts, len(hits)))))
+
+    def _refresh(self, symbols, word, rank, merge, at):
         """Rank anew the pairs that start at ``at``."""
         last = at == len(symbols) - 1
         rank[at[last]] = self.none
         at = at[~last]
         r, m = self._pairs(symbols[at], symbols[at + 1])
         rank[at] = np.where(word[at] == word[at + 1], r, self.none)
-        made[at] = m
-
-    def _heap(self, symbols: list[int]) -> list[int]:
-        n = len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        flat = np.array(symbols, np.int64)
-        ranks, made = self._pairs(flat[:-1], flat[1:])
-        heap = [(int(r), i, symbols[i], symbols[i + 1], int(m)) for i, (r, m) in enumerate(zip(ranks, made)) if r < self.none]
-        heapq.heapify(heap)
-
-        def push(i, j):
-            key = symbols[i] * self.width + symbols[j]
-            at = int(np.searchsorted(self.keys, key))
-            if at < len(self.keys) and self.keys[at] == key:
-                heapq.heappush(heap, (int(self.ranks[at]), i, symbols[i], symbols[j], int(self.made[at])))
-
-        while heap:
-            _, i, a, b, m = heapq.heappop(heap)
-            j = after[i]
-            if symbols[i] != a or j >= n or symbols[j] != b:
-                continue
-            symbols[i], symbols[j] = m, -1
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-                push(i, after[i])
-            if before[i] >= 0:
-                push(before[i], i)
-        return [s for s in symbols if s >= 0]
-
-    def ids(self, word: str, symbols: list[int]) -> list[int]:
-        """Piece ids of a merged word; characters without a piece become bytes."""
-        if not symbols or max(symbols) < self.first_extra:
-            return symbols
-        out, at = [], 0
-        for s in symbols:
-            if s < self.first_extra:
-                out.append(s)
-                at += 1 if len(self.surface[s]) == 1 else self._chars(s)
-            else:
-                out.extend(self.bytes[b] for b in word[at].encode())
-                at += 1
-        return out
-
-    def _chars(self, s: int) -> int:
-        return len(self.surface[s].decode())
-
-    def words(self, texts: list[str]) -> list[list[str]]:
-        return [self.word.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
-
-    def learn(self, words) -> None:
-        """Fill the cache: number of ids, ids as text, decoded bytes, and ids as
-        32-bit numbers of each new word."""
-        new = [w for w in words if w not in self.cache]
-        if len(self.cache) + len(new) > CACHED_WORDS:
-            self.cache, new = {}, list(words)
-        for w, s in zip(new, self.merge_words(new)):
-            ids = self.ids(w, s)
-            self.cache[w] = (len(ids), b"".join(b"%d," % i for i in ids), b"".join(self.surface[i] for i in ids),
-                             np.array(ids, "<i4").tobytes())
+        merge[at] = m
+
+    def words(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Words of all texts, one after another, and the offsets of each text's words.
+        A text begins with a blank; an empty one has no words."""
+        led = pc.binary_join_element_wise("", texts, " ")
+        texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", led).cast(pa.large_string())
+        data, at = utf8_bytes(texts)
+        if not len(data):
+            return pa.array([], pa.large_string()), np.zeros(len(texts) + 1, np.int64)
+        kind = self.kind[np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)]
+        begins = np.flatnonzero((data & 0xC0) != 0x80)          # first bytes of characters
+        cut = np.concatenate([[True], ~self.joined[kind[:-1], kind[1:]]])
+        cut[np.searchsorted(begins, at[:-1][np.diff(at) > 0])] = True
+        ends = np.append(begins[cut], len(data))
+        words = pa.Array.from_buffers(pa.large_string(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+        return words, np.searchsorted(ends, at)
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and the texts' offsets in them."""
+        words, at = self.words(texts)
+        coded = words.dictionary_encode()
+        ids, begin = self.merge_words(coded.dictionary)
+        word = coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(np.diff(begin)[word])])
+        # places in ids, word after word
+        places = np.arange(ends[-1]) + np.repeat(begin[word] - ends[:-1], np.diff(ends))
+        return ids[places], ends[at]
+
+    def joined_as(self, form: pa.Array, ids: np.ndarray, at: np.ndarray) -> tuple[memoryview, list[int]]:
+        """``form`` of all ids in one buffer, and the texts' offsets in it."""
+        data, ends = utf8_bytes(form.take(pa.array(ids)))
+        return memoryview(data), ends[at].tolist()
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        words = self.words(texts)
-        distinct = sorted({w for ws in words for w in ws})
-        of = {w: self.ids(w, s) for w, s in zip(distinct, self.merge_words(distinct))}
-        return [[i for w in ws for i in of[w]] for ws in words]
+        ids, at = self.encode_all(pa.array(texts, pa.string()))
+        return [ids[a:b].tolist() for a, b in zip(at, at[1:])]
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids, without the blank that encoding puts before a text."""
@@ -249,21 +236,14 @@ def encode_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text
         own = Codec(shared.value)
         for batch in batches:
             for part in slices(batch, "_text"):
-                words = own.words(strings(part.column(1)).to_pylist())
-                own.learn({w for ws in words for w in ws})
-                counts, id_digests, text_digests, raw_ids = [], [], [], []
-                for ws in words:
-                    got = [own.cache[w] for w in ws]
-                    counts.append(sum(g[0] for g in got))
-                    id_digests.append(hashlib.sha256(b"".join([g[1] for g in got])[:-1]).hexdigest())
-                    raw = b"".join([g[2] for g in got])
-                    text_digests.append(hashlib.sha256(raw[1:] if raw[:1] == b" " else raw).hexdigest())
-                    if with_ids:
-                        raw_ids.append(b"".join([g[3] for g in got]))
-                columns = [part.column(0), pa.array(counts, pa.int64()), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())]
+                ids, at = own.encode_all(strings(part.column(1)))
+                (id_text, id_at), (raw, raw_at) = own.joined_as(own.id_text, ids, at), own.joined_as(own.id_bytes, ids, at)
+                # ids are joined by commas, of which the last is none; the blank before a text is no part of it
+                id_digests = [hashlib.sha256(id_text[a:max(a, b - 1)]).hexdigest() for a, b in zip(id_at, id_at[1:])]
+                text_digests = [hashlib.sha256(raw[a + (raw[a:a + 1] == b" "):b] if b > a else b"").hexdigest() for a, b in zip(raw_at, raw_at[1:])]
+                columns = [part.column(0), pa.array(np.diff(at)), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())]
                 if with_ids:
-                    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                    columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(raw_ids), "<i4"))))
+                    columns.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(columns, names=[key, "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(columns)])
 
     kind = kept.schema["_key"].dataType.simpleString()
