@@ -81,6 +81,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def text_hashes(texts: pa.Array) -> np.ndarray:
+    """64-bit hash of each string: those of up to 32 bytes as four numbers at a time
+    for all strings, longer ones one by one."""
+    data, at = utf8_bytes(texts)
+    size = np.diff(at)
+    out = np.zeros(len(size), np.uint64)
+    for i in np.flatnonzero(size > 32):
+        out[i] = xxhash.xxh3_64_intdigest(data[at[i]:at[i + 1]])
+    short = np.flatnonzero(size <= 32)
+    if len(short):
+        cell = at[short][:, None] + np.arange(32)
+        there = np.arange(32) < size[short][:, None]
+        lanes = np.where(there, np.append(data, np.uint8(0))[np.where(there, cell, len(data))], 0).astype(np.uint8).view(np.uint64)
+        with np.errstate(over="ignore"):
+            h = mix(size[short].astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+            for j in range(4):
+                h = mix(h ^ (lanes[:, j] * np.uint64(0xD6E8FEB86659FD93)))
+        out[short] = h
+    return out
+
+
 def window_hashes(h: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
     """Hash of each run of ``k`` consecutive words; shorter input has none."""
     n = len(h) - k + 1

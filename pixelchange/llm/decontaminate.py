@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pixelchange.llm.common import slices, split_words, strings, window_hashes, word_hashes
+from pixelchange.llm.common import slices, split_words, strings, text_hashes, window_hashes
 
 SEED = 2                    # words of an n-gram; the bound above is one for pairs
 SPAN = 5                    # n-grams of which one at least is a seed
@@ -36,9 +36,15 @@ STRETCH = 8                 # item lengths that are aligned in one piece
 
 
 def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of each text, without case and punctuation, and their offsets."""
-    words, at = split_words(pc.replace_substring_regex(pc.utf8_lower(texts), r"[^\p{L}\p{N}]+", " "))
-    return word_hashes(words), at
+    """Hashes of the words of each text, without case and punctuation, and their offsets.
+
+    Only the distinct stretches between blanks are folded; each gives some words."""
+    raw, at = split_words(texts)
+    coded = raw.dictionary_encode()
+    words, begin = split_words(pc.replace_substring_regex(pc.utf8_lower(coded.dictionary), r"[^\p{L}\p{N}]+", " "))
+    own, code = text_hashes(words), coded.indices.to_numpy()
+    ends = np.concatenate([[0], np.cumsum(np.diff(begin)[code])])
+    return own[np.arange(ends[-1]) + np.repeat(begin[code] - ends[:-1], np.diff(ends))], ends[at]
 
 
 def least_score(size: np.ndarray, min_share: float, min_score: int) -> np.ndarray:
@@ -230,11 +236,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = N
                        F.lit(None).cast(LEAKS).alias("leaks"))
     kind = rows.schema["row"].dataType.simpleString()
     schema = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("first_word", pa.int32()), ("end_word", pa.int32())]))
-    blocks = _blocks(benchmark, text, block_bytes)
-    for block in blocks:
+    bodies = rows.select("_text")                  # counts are taken of the documents as they came
+    for block in _blocks(benchmark, text, block_bytes):
         items = Items(block)
         counts = np.zeros(len(items.keys), np.int64)
-        for r in (rows.select("_text").mapInArrow(lambda it, i=items: _count(it, i), "k long, n long")
+        for r in (bodies.mapInArrow(lambda it, i=items: _count(it, i), "k long, n long")
                   .groupBy("k").agg(F.sum("n").alias("n")).toLocalIterator()):       # one number an n-gram of the block
             counts[r["k"]] = r["n"]
         items.use(items.choose(counts, min_share, min_score))
