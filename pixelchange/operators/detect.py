@@ -6,9 +6,12 @@ pixels: round r fits the next segment of every still-active pixel at once.
 
 Round r, for all active pixels together:
 
+0. (``screen``, once) D9 local robust fits take out cloud that QA missed,
+   (``stable``) the round starts at the first stable window of a pixel,
 1. D10 fit each band on the initial window: the first ``min_obs`` clear
    observations, extended to span ``min_years`` (a grouped aggregate of
-   sums of products, solved by Cholesky),
+   sums of products, solved by Cholesky; ``orders`` and ``alpha``: 4, 6 or 8
+   terms by the number of observations, Lasso),
 2. D11 score every later observation: sum over detection bands of
    (residual / rmse)^2, rmse floored by the pixel's variogram,
 3. D12 a break starts at the first observation from which ``peek``
@@ -43,6 +46,7 @@ from ..config import (BAND_PREFIX, BAND_SERIES, BANDS, CHI2_99_5, DAYS_PER_YEAR,
 from ..functions.dates import ordinal_to_iso
 from ..session import checkpoint_dir
 from . import fit as fitmod
+from . import screen, start
 
 PIXEL = ["cx", "cy", "px", "py"]
 # Inside the rounds a pixel is one bigint key (grouping and hashing one
@@ -63,6 +67,8 @@ def pixel_id():
 def _payload(keys):
     return [c for c in PIXEL if c not in keys]
 
+# Curve quality of a segment before the first stable window.
+CURVE_START = 14
 # Landsat pixel QA bits: 0 fill, 3 cloud shadow, 5 cloud.
 QA_FILL_BIT = 1
 QA_CLOUD_BITS = 8 | 32
@@ -82,6 +88,17 @@ class DetectParams:
     min_years: float = 1.0
     refine: int = 1
     fill: int = FILL
+    # model order by number of observations (``terms`` is the most), Lasso weight
+    orders: tuple | None = None
+    alpha: float | None = None
+    # first stable window, found among all windows of a round, with look-back
+    stable: bool = False
+    stable_sigma: float = 3.0
+    # robust screening: band and side (1 too bright, -1 too dark) of what is taken out
+    screen: tuple = ()
+    screen_rows: int = 16
+    screen_rounds: int = 3
+    screen_factor: float = 4.89
     partitions: int | None = None
     partition_bytes: int = 128 * 1024 * 1024
 
@@ -105,10 +122,20 @@ def clear_observations(obs: DataFrame, p: DetectParams) -> DataFrame:
     return obs.where(clear_flag(p))
 
 
+def complete_params(**given) -> DetectParams:
+    """The detector with all parts: screening of bright green and dark short wave
+    infrared, stable start with look-back, 4, 6 or 8 terms."""
+    return DetectParams(**{**dict(terms=8, orders=(4, 6, 8), stable=True, screen=(("greens", 1), ("swir1s", -1))), **given})
+
+
 # ---------------------------------------------------------------------------
 # One round
 # ---------------------------------------------------------------------------
 
+def _solve(sums: DataFrame, keys, p: DetectParams, carry) -> DataFrame:
+    return fitmod.solve(sums, keys, p.bands, p.terms, p.ridge, carry=carry, orders=p.orders, alpha=p.alpha)
+
+
 def _score(active: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
     """Steps 1-3 for every active pixel.
 
@@ -123,16 +150,18 @@ def _score(active: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
     length of a trailing run of flags.
     """
     span = F.lit(p.min_years * DAYS_PER_YEAR)
+    if p.stable:
+        # a row per pixel; the frames of all windows stay out of the round's plan
+        active = start.from_window(active, materialise(start.first_windows(active, p, keys)), keys)
     xs = fitmod.with_regressors(active, p.terms)
-    in_init = (F.col("n") <= p.min_obs) | ((F.col("t") - F.col("t0")) < span)
+    in_init = (F.col("n") >= 1) & ((F.col("n") <= p.min_obs) | ((F.col("t") - F.col("t0")) < span))
     sums = xs.groupBy(*keys).agg(
         F.count(F.when(in_init, 1)).alias("n"),
-        F.count(F.lit(1)).alias("last_n"),
+        F.max("n").alias("last_n"),
         (F.max("t") - F.min("t0")).alias("_reach"),
         *fitmod.sum_aggs(p.terms, p.bands, where=in_init))
     sums = sums.where((F.col("n") >= p.min_obs) & (F.col("_reach") >= span))
-    model = fitmod.solve(sums, keys, p.bands, p.terms, p.ridge, carry=("n", "last_n")) \
-        .withColumnRenamed("n", "init_n")
+    model = _solve(sums, keys, p, ("n", "last_n")).withColumnRenamed("n", "init_n").drop("order")
     scored = xs.join(model.hint("shuffle_hash"), keys, "inner")
     # the flagged rows are checkpointed once: the break search and the
     # rows it is joined back to then read it, instead of fitting twice
@@ -151,7 +180,8 @@ def _flag(scored: DataFrame, p: DetectParams) -> DataFrame:
         z = z + F.when(rm > 0, (r / rm) * (r / rm)).otherwise(F.lit(0.0))
     # only what later steps read: the model itself stays out of the rows
     keep = [c for c in scored.columns if not c.startswith(("_x", "b_", "rmse_"))]
-    return scored.select(*keep, ((F.col("n") > F.col("init_n")) & (z > p.threshold)).cast("int").alias("flag"))
+    scored_rows = (F.col("n") > F.col("init_n")) | (F.col("n") < 1)
+    return scored.select(*keep, (scored_rows & (z > p.threshold)).cast("int").alias("flag"))
 
 
 def _refine(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
@@ -159,19 +189,20 @@ def _refine(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
     when none), re-score and find the break again: a model of the whole
     stable stretch drifts less than one of the first year."""
     before = (F.col("brk_n").isNull() | (F.col("n") < F.col("brk_n"))) & (F.col("flag") == 0)
-    base = scored.select("*", before.alias("_before")).drop("flag", "brk_n", "brk_t", "trailing")
+    base = scored.select("*", before.alias("_before")).drop("flag", "brk_n", "brk_t", "trailing", "back_n")
     xs = fitmod.with_regressors(base, p.terms)
     use = F.col("_before")
     sums = xs.groupBy(*keys).agg(F.count(F.when(use, 1)).alias("n"),
                                  *fitmod.sum_aggs(p.terms, p.bands, where=use))
-    model = fitmod.solve(sums, keys, p.bands, p.terms, p.ridge, carry=("n",)).drop("n")
+    model = _solve(sums, keys, p, ("n",)).drop("n", "order")
     xs2 = xs.drop("_before").join(model.hint("shuffle_hash"), keys, "inner")
     return _breaks(materialise(_flag(xs2, p)), p, keys)
 
 
 def _breaks(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
     """brk_n / brk_t of the first run of ``peek`` consecutive flags and
-    the length of a run of flags that reaches the last row."""
+    the length of a run of flags that reaches the last row; ``back_n``: the
+    last row of such a run before the stable start."""
     flagged = scored.where(F.col("flag") == 1).select(*keys, "n", "t")
     w = Window.partitionBy(*keys).orderBy("n")
     runs = (flagged.select(*keys, "n", "t", (F.col("n") - F.row_number().over(w)).alias("_g"))
@@ -179,9 +210,10 @@ def _breaks(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
                    .agg(F.min("n").alias("start"), F.count(F.lit(1)).alias("len"),
                         F.min_by("t", "n").alias("t_start")))
     brk = (runs.groupBy(*keys)
-               .agg(F.min(F.when(F.col("len") >= p.peek, F.struct("start", "t_start"))).alias("_b"),
+               .agg(F.min(F.when((F.col("len") >= p.peek) & (F.col("start") >= 1), F.struct("start", "t_start"))).alias("_b"),
+                    F.max(F.when((F.col("len") >= p.peek) & (F.col("start") < 1), F.col("start") + F.col("len") - 1)).alias("back_n"),
                     F.max(F.struct("start", "len")).alias("_l"))
-               .select(*keys, F.col("_b.start").alias("brk_n"), F.col("_b.t_start").alias("brk_t"),
+               .select(*keys, "back_n", F.col("_b.start").alias("brk_n"), F.col("_b.t_start").alias("brk_t"),
                        (F.col("_l.start") + F.col("_l.len") - 1).alias("_last_end"),
                        F.col("_l.len").alias("_last_len")))
     # one narrow row per pixel with a flag; every reader joins it anew
@@ -206,26 +238,56 @@ def _summarise(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
         F.max("brk_n").alias("brk_n"),
         F.max("brk_t").alias("brk_t"),
         F.max("trailing").alias("trailing"),
+        F.max("t0").alias("t0"),
         *[F.first(c).alias(c) for c in _payload(keys)],
         *fitmod.sum_aggs(p.terms, p.bands, where=inl))
-    refit = fitmod.solve(sums, keys, p.bands, p.terms, p.ridge,
-                         carry=("n", "sday_n", "eday_n", "brk_n", "brk_t", "trailing", *_payload(keys)))
+    refit = _solve(sums, keys, p, ("n", "sday_n", "eday_n", "brk_n", "brk_t", "trailing", "t0", *_payload(keys)))
     peek_rows = scored.where(F.col("brk_n").isNotNull() & (F.col("n") >= F.col("brk_n"))
-                             & (F.col("n") < F.col("brk_n") + p.peek)) \
-                      .select(*keys, "t", "t0", *p.bands)
-    refit_b = refit.select(*keys, *[f"b_{b}_{i}" for b in p.bands for i in range(p.terms)])
-    resid = fitmod.with_regressors(peek_rows.join(refit_b.hint("shuffle_hash"), keys), p.terms).select(
-        *keys, *[fitmod.residual_cols(b, p.terms).alias(f"r_{b}") for b in p.bands])
-    mags = resid.groupBy(*keys).agg(*[F.median(f"r_{b}").alias(f"mag_{b}") for b in p.bands])
-    out = refit.join(mags.hint("shuffle_hash"), keys, "left")
+                             & (F.col("n") < F.col("brk_n") + p.peek))
+    out = refit.join(_magnitudes(peek_rows, refit, p, keys).hint("shuffle_hash"), keys, "left")
     broke = F.col("brk_n").isNotNull()
     out = (out.withColumn("bday_n", F.coalesce(F.col("brk_t"), F.col("eday_n")))
               .withColumn("chprob", F.when(broke, F.lit(1.0))
                           .otherwise(F.least(F.col("trailing"), F.lit(p.peek)) / F.lit(float(p.peek))))
-              .withColumn("curqa", F.lit(p.terms)))
+              .withColumn("curqa", F.col("order") if p.orders else F.lit(p.terms)))
     for b in p.bands:
         out = out.withColumn(f"mag_{b}", F.when(broke, F.col(f"mag_{b}")).otherwise(F.lit(0.0)))
-    return out
+    return _from_first_day(out, p)
+
+
+def _magnitudes(rows: DataFrame, model: DataFrame, p: DetectParams, keys) -> DataFrame:
+    """Median residual of each band over some rows of each pixel."""
+    b = model.select(*keys, *[f"b_{b}_{i}" for b in p.bands for i in range(p.terms)])
+    near = rows.select(*keys, "t", "t0", *p.bands).join(b.hint("shuffle_hash"), keys)
+    resid = fitmod.with_regressors(near, p.terms).select(
+        *keys, *[fitmod.residual_cols(b, p.terms).alias(f"r_{b}") for b in p.bands])
+    return resid.groupBy(*keys).agg(*[F.median(f"r_{b}").alias(f"mag_{b}") for b in p.bands])
+
+
+def _from_first_day(seg: DataFrame, p: DetectParams) -> DataFrame:
+    """Intercepts at the segment's first day: look-back may put it before the day
+    that the trend counts from."""
+    if p.stable:
+        for b in p.bands:
+            moved = F.col(f"b_{b}_0") + F.col(f"b_{b}_1") * (F.col("sday_n") - F.col("t0")) / F.lit(DAYS_PER_YEAR)
+            seg = seg.withColumn(f"b_{b}_0", moved)
+    return seg.drop("t0", "order")
+
+
+def _start_segments(scored: DataFrame, p: DetectParams, keys) -> DataFrame:
+    """Segments of what lies before the look-back's end, for pixels whose first stable
+    window comes after a change: they end there, and the change is the next row."""
+    early = F.col("n") <= F.col("back_n")
+    xs = fitmod.with_regressors(scored.where(F.col("back_n").isNotNull()), p.terms)
+    sums = xs.groupBy(*keys).agg(
+        F.count(F.when(early, 1)).alias("n"), F.min("t").alias("sday_n"), F.max(F.when(early, F.col("t"))).alias("eday_n"),
+        F.lit(None).cast("int").alias("brk_n"), F.min(F.when(~early, F.col("t"))).alias("brk_t"), F.lit(0).cast("bigint").alias("trailing"),
+        F.max("t0").alias("t0"), *[F.first(c).alias(c) for c in _payload(keys)], *fitmod.sum_aggs(p.terms, p.bands, where=early))
+    fitted = _solve(sums, keys, p, ("n", "sday_n", "eday_n", "brk_n", "brk_t", "trailing", "t0", *_payload(keys)))
+    after = scored.where((F.col("n") > F.col("back_n")) & (F.col("n") <= F.col("back_n") + p.peek))
+    out = fitted.join(_magnitudes(after, fitted, p, keys).hint("shuffle_hash"), keys)
+    return _from_first_day(out.withColumn("bday_n", F.col("brk_t")).withColumn("chprob", F.lit(1.0))
+                           .withColumn("curqa", F.lit(CURVE_START)), p)
 
 
 def _next_active(scored: DataFrame, p: DetectParams, keys=PIXEL) -> DataFrame:
@@ -308,6 +370,8 @@ def prepare(obs: DataFrame, p: DetectParams, keys=PIXEL, partitioned: bool = Fal
         if "pid" in keys and "pid" not in obs.columns:
             obs = obs.select("*", pixel_id())
         clear = clear_observations(obs.repartition(_partitions(obs.sparkSession, p, obs), *keys), p)
+    if p.screen:
+        clear = screen.screened(clear, p, keys)
     w = Window.partitionBy(*keys).orderBy("t")
     # one window operator: row number, first day and lag differences
     diffs = [F.abs(F.col(b) - F.lag(b).over(w)).alias(f"_d_{b}") for b in p.bands] if p.variogram_floor else []
@@ -326,7 +390,7 @@ def detect_rounds(obs: DataFrame, p: DetectParams | None = None, keys=PIXEL, par
 
     Returns (segments, used): ``segments`` has one row per pixel segment
     (long per band: b_{band}_{i}, rmse_{band}, mag_{band}; ``seg`` counts
-    the pixel's segments from 1), ``used`` one row per (pixel, day) that
+    the pixel's segments from 1, 0 is one before the first stable window), ``used`` one row per (pixel, day) that
     some segment used.  Rounds go on until no pixel is left.
     """
     p = p or DetectParams()
@@ -337,6 +401,11 @@ def detect_rounds(obs: DataFrame, p: DetectParams | None = None, keys=PIXEL, par
     segments, used = [], []
     while True:
         scored = _score(active, p, keys)
+        if p.stable:
+            if not segments:
+                starts = materialise(_start_segments(scored, p, keys).withColumn("seg", F.lit(0)))
+                used.append(scored.where(F.col("n") <= F.col("back_n")).select(*keys, *_payload(keys), "t"))
+            scored = scored.where(F.col("back_n").isNull() | (F.col("n") > F.col("back_n")))
         for _ in range(p.refine):
             scored = _refine(scored, p, keys)
         segments.append(materialise(_summarise(scored, p, keys).withColumn("seg", F.lit(len(segments) + 1))))
@@ -345,7 +414,7 @@ def detect_rounds(obs: DataFrame, p: DetectParams | None = None, keys=PIXEL, par
         if active.where(F.col("n") == p.min_obs).isEmpty():
             break
     seg = segments[0]
-    for s in segments[1:]:
+    for s in segments[1:] + ([starts] if p.stable else []):
         seg = seg.unionByName(s)
     u = used[0]
     for s in used[1:]:

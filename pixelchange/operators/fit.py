@@ -4,7 +4,10 @@ Per group (pixel, segment) the model of each band is
 
     y = b0 + b1 * (t - t0) / 365.25 + b2 * cos(w t) + b3 * sin(w t),  w = 2 pi / 365.25
 
-(``terms=2`` keeps the trend only).  The regressors are shared by all
+(``terms=2`` keeps the trend only; 6 and 8 add the second and third harmonic).
+``orders`` lets the number of terms follow the number of observations, and
+``alpha`` gives the Lasso instead of the ridge solution, by cyclic coordinate
+descent on the same sums.  The regressors are shared by all
 bands, so one ``groupBy().agg()`` collects the sums of products X'X
 (terms*(terms+1)/2 sums), X'y and y'y per band; Catalyst runs it as a
 partial aggregate, so no series is ever gathered in one place.  The
@@ -17,13 +20,20 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from ..config import DAYS_PER_YEAR
 
 OMEGA = 2.0 * math.pi / DAYS_PER_YEAR
 RIDGE = 1e-3
+# Observations for each term of a model whose order follows their number.
+PER_TERM = 3
+# Sweeps of the coordinate descent, from the ridge solution.
+SWEEPS = 30
 
 
 def dbl(x: float) -> str:
@@ -37,11 +47,70 @@ def regressor_sql(i: int, t: str = "t", t0: str = "t0") -> str:
         return dbl(1.0)
     if i == 1:
         return f"(({t}) - ({t0})) / {dbl(DAYS_PER_YEAR)}"
-    if i == 2:
-        return f"cos({dbl(OMEGA)} * ({t}))"
-    if i == 3:
-        return f"sin({dbl(OMEGA)} * ({t}))"
-    raise ValueError(i)
+    if i > 7:
+        raise ValueError(i)
+    return f"{'cos' if i % 2 == 0 else 'sin'}({dbl(OMEGA * (i // 2))} * ({t}))"
+
+
+def orders_of(n: np.ndarray, orders) -> np.ndarray:
+    """Terms of models of ``n`` observations: the most of ``orders`` that have
+    ``PER_TERM`` observations each, else the fewest."""
+    out = np.full(len(n), min(orders))
+    for k in sorted(orders):
+        out[n >= PER_TERM * k] = k
+    return out
+
+
+def descend(gram: np.ndarray, xy: np.ndarray, b: np.ndarray, weight: np.ndarray, sweeps: int) -> np.ndarray:
+    """Cyclic coordinate descent for the Lasso on the sums of many series at once.
+
+    gram (m, k, k), xy and b (m, bands, k), weight (m): n * alpha.  Minimises
+    |y - Xb|^2 / 2 + weight * sum |b_i| over the terms but the intercept."""
+    b = b.copy()
+    rest = xy - np.einsum("mjk,mbk->mbj", gram, b)        # X'(y - Xb)
+    for _ in range(sweeps):
+        for j in range(b.shape[2]):
+            own = gram[:, j, j][:, None]
+            rho = rest[:, :, j] + own * b[:, :, j]
+            new = rho if j == 0 else np.sign(rho) * np.maximum(np.abs(rho) - weight[:, None], 0.0)
+            step = new / own - b[:, :, j]
+            rest -= step[:, :, None] * gram[:, None, j, :]
+            b[:, :, j] += step
+    return b
+
+
+def batch_solver(bands: int, terms: int, ridge: float, orders, alpha: float | None, sweeps: int):
+    """(sums of a row as one array, n) -> coefficients and errors of all bands.
+
+    For models whose order differs from row to row, and for the Lasso: a batch of rows
+    goes through numpy together.  Up to 155 steps of SQL a row took the planner longer
+    than the work, and the descent as array expressions thirty times as long.  Terms from
+    a row's order on get a row and column of the unit matrix, so they come out as 0."""
+    pairs = [(i, j) for i in range(terms) for j in range(i + 1)]
+
+    @F.arrow_udf(ArrayType(DoubleType()))
+    def solve_batch(sums: pa.Array, count: pa.Array) -> pa.Array:
+        m = len(sums)
+        flat = sums.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(m, -1)
+        n = count.to_numpy(zero_copy_only=False)
+        gram = np.empty((m, terms, terms))
+        for c, (i, j) in enumerate(pairs):
+            gram[:, i, j] = gram[:, j, i] = flat[:, c]
+        xy = flat[:, len(pairs):len(pairs) + bands * terms].reshape(m, bands, terms)
+        yy = flat[:, len(pairs) + bands * terms:]
+        used = orders_of(n, orders) if orders else np.full(m, terms)
+        rest = np.arange(terms)[None, :] >= used[:, None]
+        gram = np.where(rest[:, :, None] | rest[:, None, :], np.eye(terms), gram)
+        xy = np.where(rest[:, None, :], 0.0, xy)
+        b = np.linalg.solve(gram + ridge * np.diag([0.0] + [1.0] * (terms - 1)), xy.transpose(0, 2, 1)).transpose(0, 2, 1)
+        if alpha is not None:
+            b = descend(gram, xy, b, n * alpha, sweeps)
+        rss = yy - 2 * (b * xy).sum(axis=2) + np.einsum("mbj,mjk,mbk->mb", b, gram, b)
+        error = np.sqrt(np.maximum(rss, 0.0) / np.maximum(n - used, 1)[:, None])
+        out = np.concatenate([b.reshape(m, -1), error], axis=1)
+        return pa.ListArray.from_arrays(pa.array(np.arange(m + 1, dtype=np.int32) * out.shape[1]), pa.array(out.reshape(-1), from_pandas=True))
+
+    return solve_batch
 
 
 def cholesky_sql(terms: int, ridge: float = RIDGE) -> list[tuple[str, str]]:
@@ -90,8 +159,9 @@ def solution_steps(terms: int, bands, ridge: float = RIDGE, n: str = "n") -> lis
 
 
 def fit(df: DataFrame, keys, bands, terms: int = 4, t: str = "t",
-        ridge: float = RIDGE, t0: str | None = None) -> DataFrame:
-    """One row per group with n, t0, b_{band}_{i}, rmse_{band}.
+        ridge: float = RIDGE, t0: str | None = None, orders=None, alpha: float | None = None) -> DataFrame:
+    """One row per group with n, t0, b_{band}_{i}, rmse_{band} (and with
+    ``orders`` the number of terms used, ``order``).
 
     ``t0`` names a column constant per group holding the reference day;
     without it the group's first day is used (a second pass is then
@@ -107,26 +177,30 @@ def fit(df: DataFrame, keys, bands, terms: int = 4, t: str = "t",
                          terms, t, "_t0")
     aggs = [F.count(F.lit(1)).alias("n"), F.first("_t0").alias("t0")] + sum_aggs(terms, bands)
     sums = xs.groupBy(*keys).agg(*aggs)
-    return solve(sums, keys, bands, terms, ridge)
+    return solve(sums, keys, bands, terms, ridge, orders=orders, alpha=alpha)
+
+
+def sum_names(terms: int, bands) -> list[str]:
+    """Names of the sums, in the order of ``sum_aggs``."""
+    return [f"xx_{i}{j}" for i in range(terms) for j in range(i + 1)] + [
+        x for b in bands for x in (*[f"xy_{b}_{i}" for i in range(terms)], f"yy_{b}")]
 
 
-def sum_aggs(terms: int, bands, where=None, prefix: str = ""):
+def sum_aggs(terms: int, bands, where=None, named: bool = True):
     """Aggregates X'X, X'y, y'y over rows carrying _x columns; with
     ``where`` only rows meeting it count (conditional sums let one pass
     fit one subset while computing other per group statistics)."""
     x = [None] + [F.col(f"_x{i}") for i in range(1, terms)]
     keep = (lambda c: F.when(where, c)) if where is not None else (lambda c: c)
-    aggs = []
+    products = []
     for i in range(terms):
         for j in range(i + 1):
-            prod = F.lit(1.0) if i == j == 0 else (x[i] if j == 0 else x[i] * x[j])
-            aggs.append(F.sum(keep(prod)).alias(f"{prefix}xx_{i}{j}"))
+            products.append(F.lit(1.0) if i == j == 0 else (x[i] if j == 0 else x[i] * x[j]))
     for b in bands:
         y = F.col(b).cast("double")
-        for i in range(terms):
-            aggs.append(F.sum(keep(y if i == 0 else x[i] * y)).alias(f"{prefix}xy_{b}_{i}"))
-        aggs.append(F.sum(keep(y * y)).alias(f"{prefix}yy_{b}"))
-    return aggs
+        products += [*[y if i == 0 else x[i] * y for i in range(terms)], y * y]
+    sums = [F.sum(keep(c)) for c in products]
+    return [s.alias(n) for s, n in zip(sums, sum_names(terms, bands))] if named else sums
 
 
 def with_regressors(df: DataFrame, terms: int, t: str = "t", t0: str = "t0") -> DataFrame:
@@ -142,12 +216,23 @@ def residual_cols(band: str, terms: int = 4):
     return F.col(band) - fit_
 
 
-def solve(sums: DataFrame, keys, bands, terms: int = 4, ridge: float = RIDGE, carry=("n", "t0")) -> DataFrame:
+def solve(sums: DataFrame, keys, bands, terms: int = 4, ridge: float = RIDGE, carry=("n", "t0"),
+          orders=None, alpha: float | None = None, sweeps: int = SWEEPS) -> DataFrame:
     """One projection; later steps refer to earlier ones by lateral alias,
     so the plan is analysed once and each value is computed once.
-    ``carry`` names the other columns of ``sums`` to keep."""
-    steps = [f"{sql} AS {alias}" for alias, sql in solution_steps(terms, bands, ridge)]
-    out = sums.selectExpr(*keys, *carry, *steps)
-    keep = list(keys) + list(carry) + [f"b_{b}_{i}" for b in bands for i in range(terms)] \
-        + [f"rmse_{b}" for b in bands]
-    return out.select(*keep)
+    ``carry`` names the other columns of ``sums`` to keep.  With ``orders`` the number
+    of terms follows ``n`` (column ``order`` of the result), with ``alpha`` the ridge
+    solution starts the Lasso's descent; ``batch_solver`` does both."""
+    carry = list(carry)
+    coefs, errors = [f"b_{b}_{i}" for b in bands for i in range(terms)], [f"rmse_{b}" for b in bands]
+    if not orders and alpha is None:
+        steps = [f"{sql} AS {alias}" for alias, sql in solution_steps(terms, bands, ridge)]
+        return sums.selectExpr(*keys, *carry, *steps).select(*keys, *carry, *coefs, *errors)
+    known = [f"xx_{i}{j}" for i in range(terms) for j in range(i + 1)] + [f"xy_{b}_{i}" for b in bands for i in range(terms)]
+    packed = F.array(*[F.col(c).cast("double") for c in known + [f"yy_{b}" for b in bands]])
+    own = batch_solver(len(bands), terms, ridge, tuple(orders) if orders else None, alpha, sweeps)
+    order = F.lit(min(orders or [terms]))
+    for k in sorted(orders or []):
+        order = F.when(F.col("n") >= PER_TERM * k, k).otherwise(order)
+    found = sums.select(*keys, *carry, own(packed, F.col("n")).alias("_b"), *[order.alias("order")] * bool(orders))
+    return found.select(*keys, *carry, *["order"] * bool(orders), *[F.col("_b")[i].alias(c) for i, c in enumerate(coefs + errors)])

@@ -9,7 +9,7 @@ the engines' results compare value by value.
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DoubleType, FloatType, IntegerType, LongType,
                                ShortType)
@@ -20,6 +20,8 @@ from ..functions.dates import date_to_ordinal, ordinal_to_date, ordinal_to_iso
 from ..functions.names import namespace_column
 from ..operators import detect as D
 from ..operators import features as FT
+from ..operators import fit as fitmod
+from ..operators import screen, start
 from ..operators import forest as RF
 from ..operators import segments as SG
 from ..operators import series as SR
@@ -45,6 +47,12 @@ TREND = D.DetectParams(bands=["greens"], detection_bands=["greens"], qa=None, th
                        peek=3, min_obs=12, terms=2, variogram_floor=False, min_years=0.0, refine=0)
 
 
+# All parts of the detector on three bands: chi-square 0.99 of 3 degrees of freedom.
+COMPLETE = D.complete_params(bands=["greens", "nirs", "swir1s"], detection_bands=["greens", "nirs", "swir1s"], threshold=11.345)
+# Weight of the Lasso's penalty, per observation (q43).
+LASSO = 50.0
+
+
 def _norm(df: DataFrame) -> DataFrame:
     """Integral columns -> BIGINT, FLOAT -> DOUBLE (the oracle's types)."""
     cols = []
@@ -165,7 +173,6 @@ def q12_scores(spark, sf):
 
 
 def q13_harmonic_fit(spark, sf):
-    from ..operators import fit as fitmod
     o = _obs(spark, sf)
     f = fitmod.fit(o, ["px", "py"], ["greens"], terms=4)
     return _norm(f.select("px", "py", "n", *[F.round(f"b_greens_{i}", 3).alias(f"b{i}") for i in range(4)],
@@ -526,5 +533,47 @@ def q41_detection_round_trip(spark, sf):
     return _norm(T.read_chip(spark, root, ids).select("cx", "cy", F.array_join("dates", ",").alias("dates")))
 
 
+# ---------------------------------------------------------------------------
+# Parts of the complete detector
+# ---------------------------------------------------------------------------
+
+def q42_screened_days(spark, sf):
+    """Clear observations that local robust fits take for cloud or shadow."""
+    p = D.DetectParams(screen=COMPLETE.screen)
+    clear = D.clear_observations(_obs(spark, sf), p)
+    # a narrow key and the two bands are all that the fits need
+    rows = clear.select(D.pixel_id(), "px", "py", "t", *[b for b, _ in p.screen])
+    return _norm(screen.residuals(rows, p, D.PID).where(screen.cloudy(p)).select("px", "py", "t"))
+
+
+def q43_model_order(spark, sf):
+    """4, 6 or 8 terms by the number of observations, Lasso."""
+    clear = D.clear_observations(_obs(spark, sf), D.DetectParams())
+    t0 = F.min("t").over(Window.partitionBy("px", "py"))      # the grouping has the same partitions
+    f = fitmod.fit(clear.select("px", "py", "t", "greens", t0.alias("_first")), ["px", "py"], ["greens"], terms=8, t0="_first",
+                   orders=(4, 6, 8), alpha=LASSO)
+    return _norm(f.select("px", "py", "n", "order", *[F.round(f"b_greens_{i}", 2).alias(f"b{i}") for i in range(8)],
+                          F.round("rmse_greens", 2).alias("rmse")))
+
+
+def q44_stable_start(spark, sf):
+    """The first stable window of each pixel."""
+    p = D.DetectParams(stable=True)
+    checkpoint_dir(spark)
+    prepared = D.materialise(D.prepare(_obs(spark, sf), p, D.PID))
+    pixel = prepared.where("n = 1").select("pid", "px", "py")
+    first = start.first_windows(prepared, p, D.PID)
+    return _norm(first.join(pixel, D.PID).select("px", "py", F.col("_s").alias("s"), F.col("_t0").alias("t")))
+
+
+def q45_complete_detector(spark, sf):
+    """D1-D14 with screening, stable start, look-back and model order."""
+    seg = D.detect_rounds(_obs(spark, sf), COMPLETE, D.PID)[0]
+    return _norm(seg.select("px", "py", "seg", ordinal_to_iso("sday_n").alias("sday"), ordinal_to_iso("eday_n").alias("eday"),
+                            ordinal_to_iso("bday_n").alias("bday"), F.col("n").alias("nobs"), "curqa", F.round("chprob", 4).alias("chprob"),
+                            *[F.round(f"{x}_{b}", 1).alias(f"{x}_{b}") for b in COMPLETE.bands for x in ("mag", "rmse")],
+                            F.round("b_greens_0", 1).alias("int_greens")))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items())
            if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}

@@ -12,7 +12,8 @@ from __future__ import annotations
 from ..config import BAND_PREFIX, BAND_SERIES, BANDS, NUM_TREES
 from ..operators.detect import DetectParams
 from . import catalogue as C
-from .detector_sql import FINISHED, REGRESSORS, _fit, detector_ctes
+from ..operators.fit import SWEEPS
+from .detector_sql import FINISHED, REGRESSORS, _fit, detector_ctes, screened, stable_start
 
 
 def PX(k):
@@ -200,6 +201,59 @@ def _q13():
         f"SELECT px, py, nfit AS n, {', '.join(f'{R(f"b_greens_{i}", 3)} AS b{i}' for i in range(4))}, {R('rmse_greens', 3)} AS rmse FROM f"
 
 
+SEEN = f"seen AS MATERIALIZED (SELECT * FROM obs WHERE {CLEAR7})"
+
+
+def _q42():
+    return _with(OBS, SEEN, *screened(DetectParams(screen=C.COMPLETE.screen), "seen", "kept")) + \
+        "SELECT px, py, CAST(t AS BIGINT) AS t FROM kept_r WHERE cloudy"
+
+
+def _q43():
+    """The ridge solution by elimination, then one row of the recursion a sweep."""
+    p = DetectParams(bands=["greens"], detection_bands=["greens"], qa=None, terms=8, orders=(4, 6, 8))
+    xs = ", ".join(f"{x} AS x{i}" for i, x in enumerate(REGRESSORS))
+    g = lambda i, j: f"g{min(i, j)}{max(i, j)}"
+    gram = ", ".join(f"CASE WHEN ord > {j} THEN q{i}{j} ELSE {float(i == j)!r}::DOUBLE END AS g{i}{j}" for i in range(8) for j in range(i, 8))
+    xy = ", ".join(f"CASE WHEN ord > {i} THEN w_greens_{i} ELSE 0.0 END AS v{i}" for i in range(8))
+    held = ", ".join([f"g{i}{j}" for i in range(8) for j in range(i, 8)] + [f"v{i}" for i in range(8)])
+    new = []
+    for i in range(8):
+        rest = f"(v{i}" + "".join(f" - {g(i, j)} * {'n' if j < i else 'b'}{j}" for j in range(8) if j != i) + ")"
+        new.append(f"{rest if i == 0 else f'sign({rest}) * greatest(abs({rest}) - {C.LASSO!r} * nfit, 0.0)'} / {g(i, i)} AS n{i}")
+    chain = "d"
+    for i in range(8):
+        chain = f"(SELECT *, {new[i]} FROM {chain}) l{i}"
+    model = " + ".join(f"b{i} * x{i}" for i in range(8))
+    body = [OBS, f"a AS (SELECT px, py, t, greens, min(t) OVER (PARTITION BY px, py) AS t0 FROM obs WHERE {CLEAR7})",
+            f"x AS MATERIALIZED (SELECT *, {xs} FROM a)", *_fit("f", "x", "TRUE", p),
+            f"d(px, py, nfit, ord, step, {held}, {', '.join(f'b{i}' for i in range(8))}) AS (SELECT px, py, nfit, ord, 0, {held}, {', '.join(f'b_greens_{i}' for i in range(8))} "
+            f"FROM (SELECT px, py, nfit, ord, {gram}, {xy} FROM f_s) q JOIN (SELECT px, py, {', '.join(f'b_greens_{i}' for i in range(8))} FROM f) r USING (px, py) "
+            f"UNION ALL SELECT px, py, nfit, ord, step + 1, {held}, {', '.join(f'n{i}' for i in range(8))} FROM {chain} WHERE step < {SWEEPS})",
+            f"last AS MATERIALIZED (SELECT * FROM d WHERE step = {SWEEPS})",
+            f"e AS MATERIALIZED (SELECT px, py, sqrt(sum(pow(greens - ({model}), 2)) / greatest(any_value(nfit) - any_value(ord), 1)) AS rmse FROM x JOIN last USING (px, py) GROUP BY px, py)"]
+    return "WITH RECURSIVE " + ",\n".join(body) + f"""
+SELECT px, py, nfit AS n, CAST(ord AS BIGINT) AS "order", {', '.join(f'{R(f"b{i}", 2)} AS b{i}' for i in range(8))}, {R('rmse', 2)} AS rmse FROM last JOIN e USING (px, py)"""
+
+
+def _q44():
+    p = DetectParams(stable=True)
+    xs = ", ".join(f"{x} AS x{i}" for i, x in enumerate(REGRESSORS[:4]))
+    steps = ", ".join(f"abs({b} - lag({b}) OVER (PARTITION BY px, py ORDER BY t)) AS {b}" for b in p.detection_bands)
+    vario = ", ".join(f"coalesce(median({b}), 0.0) AS vario_{b}" for b in p.detection_bands)
+    return _with(OBS, SEEN, f"vario AS MATERIALIZED (SELECT px, py, {vario} FROM (SELECT px, py, {steps} FROM seen) q GROUP BY px, py)",
+                 "a AS (SELECT s.*, row_number() OVER (PARTITION BY px, py ORDER BY t) AS n, min(t) OVER (PARTITION BY px, py) AS t0, vario.* EXCLUDE (px, py) FROM seen s JOIN vario USING (px, py))",
+                 f"v AS MATERIALIZED (SELECT *, {xs} FROM a)", *stable_start(p, "v", "st")) + "SELECT px, py, CAST(s AS BIGINT) AS s, CAST(ts AS BIGINT) AS t FROM st"
+
+
+def _q45():
+    p = C.COMPLETE
+    parts = ", ".join(f"{R(f'{x}_{b}', 1)} AS {x}_{b}" for b in p.bands for x in ("mag", "rmse"))
+    return _with(OBS, *detector_ctes(p, rounds=FULL_ROUNDS)) + f"""SELECT px, py, CAST(seg AS BIGINT) AS seg, {ISO('sday_n')} AS sday, {ISO('eday_n')} AS eday,
+  {ISO('bday_n')} AS bday, CAST(nobs AS BIGINT) AS nobs, CAST(curqa AS BIGINT) AS curqa, {R('chprob', 4)} AS chprob, {parts}, {R('b_greens_0', 1)} AS int_greens
+FROM segs WHERE {FINISHED}"""
+
+
 CELLS38 = f"""cells AS MATERIALIZED (
   SELECT {CX('p.x')} AS cx, {CY('p.y')} AS cy, {DAY('o_orderdate')} AS t, l_partkey % {C.CELLS} AS cell,
          max(CAST(l_quantity AS INTEGER)) * 100 + 1 AS g, max(CAST(l_quantity AS INTEGER)) * 100 + 6 AS th, 40000 + max(l_linenumber) AS qa
@@ -379,6 +433,11 @@ FROM (SELECT *, p_partkey % {C.CELLS} AS cell FROM partpix) p GROUP BY cx, cy, c
        {ISO('730000')} || ',' || {ISO('p_size + 730001')} AS dates, CAST(1 AS BIGINT) AS m1, TRUE AS no_qa
 FROM (SELECT *, p_partkey % 7 > 0 AS has FROM partpix) p""",
 
+    "q42_screened_days": _q42(),
+    "q43_model_order": _q43(),
+    "q44_stable_start": _q44(),
+    "q45_complete_detector": _q45(),
+
     "q41_detection_round_trip": _with(OBS, PTS, TILES) + f"""SELECT cx, cy, string_agg({ISO('t')}, ',' ORDER BY t) AS dates
 FROM (SELECT DISTINCT cx, cy, o.t FROM obs o JOIN tiles ON {TX('o.cx')} = tx AND {TY('o.cy')} = ty) d GROUP BY cx, cy""",
 }

@@ -250,3 +250,51 @@ def test_raster_chips_to_segments(spark, tmp_path):
     fill = ccd.where(~data_px)
     assert fill.count() == 10000 - 3
     assert fill.where("sday = '0001-01-01'").count() == 10000 - 3
+
+
+def _series_of(rng, n, years=3.0):
+    t = np.sort(rng.choice(np.arange(730000, 730000 + int(years * 365)), n, replace=False)).astype(float)
+    y = 500 + 30 * (t - t[0]) / DAYS_PER_YEAR + 80 * np.cos(W * t) + 40 * np.sin(2 * W * t) + 25 * np.cos(3 * W * t) + rng.normal(0, 5, n)
+    return t, y
+
+
+def _design8(t, t0):
+    cols = [np.ones_like(t), (t - t0) / DAYS_PER_YEAR]
+    for h in (1, 2, 3):
+        cols += [np.cos(h * W * t), np.sin(h * W * t)]
+    return np.stack(cols, axis=1)
+
+
+def test_order_follows_the_observations_and_lasso_matches_numpy(spark):
+    """4, 6 and 8 terms; the descent on the sums against one on the rows."""
+    rng = np.random.default_rng(5)
+    sizes = [8, 12, 17, 18, 23, 24, 40, 90]
+    rows, want = [], {}
+    for k, n in enumerate(sizes):
+        t, y = _series_of(rng, n)
+        rows += [(k, int(a), float(b), float(2 * b - 100)) for a, b in zip(t, y)]
+        order = 8 if n >= 24 else 6 if n >= 18 else 4
+        for band, v in (("y", y), ("z", 2 * y - 100)):
+            x = _design8(t, t[0])[:, :order]
+            ridge = np.linalg.solve(x.T @ x + fitmod.RIDGE * np.diag([0.0] + [1.0] * (order - 1)), x.T @ v)
+            b = ridge.copy()
+            for _ in range(fitmod.SWEEPS):
+                for j in range(order):
+                    rho = x[:, j] @ (v - x @ b) + (x[:, j] @ x[:, j]) * b[j]
+                    b[j] = (rho if j == 0 else np.sign(rho) * max(abs(rho) - 2.0 * n, 0)) / (x[:, j] @ x[:, j])
+            want[k, band] = order, ridge, b, np.sqrt(((v - x @ b) ** 2).sum() / max(n - order, 1))
+    df = spark.createDataFrame(rows, "k int, t int, y double, z double")
+    plain = {r.k: r for r in fitmod.fit(df, ["k"], ["y", "z"], terms=8, orders=(4, 6, 8)).collect()}
+    lasso = {r.k: r for r in fitmod.fit(df, ["k"], ["y", "z"], terms=8, orders=(4, 6, 8), alpha=2.0).collect()}
+    for (k, band), (order, ridge, b, rmse) in want.items():
+        assert plain[k].order == lasso[k].order == order
+        for got, coefs in ((plain[k], ridge), (lasso[k], b)):
+            assert [got[f"b_{band}_{i}"] for i in range(8)] == pytest.approx(list(coefs) + [0.0] * (8 - order), rel=1e-6, abs=1e-6)
+        assert lasso[k][f"rmse_{band}"] == pytest.approx(rmse, rel=1e-6)
+    # the Lasso's own conditions: correlations with the residual are bounded by the weight
+    t, y = _series_of(np.random.default_rng(9), 200)
+    x = _design8(t, t[0])
+    b = fitmod.descend((x.T @ x)[None], (x.T @ y)[None, None], np.zeros((1, 1, 8)), np.array([200 * 6.0]), 2000)[0, 0]
+    grad = x.T @ (y - x @ b)
+    assert abs(grad[0]) < 1e-4 and (np.abs(grad[1:]) <= 1200 + 1e-4).all() and (b == 0).any()
+    assert np.abs(np.abs(grad[1:][b[1:] != 0]) - 1200).max() < 1e-3
