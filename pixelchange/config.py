@@ -70,6 +70,9 @@ EXCLUDED_TRENDS = (0, 9)
 # Proleptic Gregorian ordinal of 1970-01-01 (Python date.toordinal()).
 UNIX_EPOCH_ORDINAL = 719163
 
+# Table of finished chips (a resumed run leaves them out).
+LEDGER_TABLE = "ledger"
+
 # Detector defaults (Zhu & Woodcock 2014; kept as arguments everywhere).
 DETECTION_BANDS = ["green", "red", "nir", "swir1", "swir2"]
 CHI2_99_5 = 15.086          # chi-square 0.99 quantile, 5 degrees of freedom

@@ -44,7 +44,7 @@ from .. import schemas
 from ..config import (BAND_PREFIX, BAND_SERIES, BANDS, CHI2_99_5, DAYS_PER_YEAR, DETECTION_BANDS, FILL,
                       MIN_OBSERVATIONS, PEEK_SIZE, SENTINEL_DAY)
 from ..functions.dates import ordinal_to_iso
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, scratch_path
 from . import fit as fitmod
 from . import screen, start
 
@@ -52,6 +52,8 @@ PIXEL = ["cx", "cy", "px", "py"]
 # Inside the rounds a pixel is one bigint key (grouping and hashing one
 # long instead of four ints); cx, cy, px, py travel along as payload.
 PID = ["pid"]
+# Observations that come in strips of a chip stay in their strip's partition.
+STRIP = ["sid", "pid"]
 # Bytes of an observation row inside the rounds, and how much larger rows
 # are there than in the (compressed) files that a size estimate is of.
 ROW_BYTES = 100
@@ -318,17 +320,21 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     conf = df.sparkSession.conf
     with _PLANNING:
-        old = conf.get("spark.sql.adaptive.enabled", "true")
-        conf.set("spark.sql.adaptive.enabled", "false")
+        old = {k: conf.get(k, "true") for k in _PLANNED_WITHOUT}
+        for k in old:
+            conf.set(k, "false")
         try:
             return df.checkpoint(eager=True)
         finally:
-            conf.set("spark.sql.adaptive.enabled", old)
+            for k, v in old.items():
+                conf.set(k, v)
 
 
 # The switch above holds for a whole session; detectors that run in other
 # threads of the driver wait for their turn.
 _PLANNING = threading.RLock()
+# The second lets joins by (strip, pixel) use a partitioning by strip.
+_PLANNED_WITHOUT = ("spark.sql.adaptive.enabled", "spark.sql.requireAllClusterKeysForCoPartition")
 
 
 def _partitions(spark, p: DetectParams, df: DataFrame) -> int:
@@ -352,12 +358,31 @@ UNKNOWN_BYTES = 2 ** 60
 def partition_observations(obs: DataFrame, p: DetectParams, keys=PID) -> DataFrame:
     """Every input row (pixel, day, bands, clear flag), hash partitioned by
     pixel and checkpointed once: the rounds, the sentinel pixels and the
-    masks all read it without shuffling or recomputing the input."""
-    n = _partitions(obs.sparkSession, p, obs)
+    masks all read it without shuffling or recomputing the input.  Rows with a
+    strip (keys ``STRIP``) are where they belong."""
     if "pid" in keys and "pid" not in obs.columns:
         obs = obs.select("*", pixel_id())
-    return materialise(obs.repartition(n, *keys)
-                          .select(*keys, *_payload(keys), "t", *p.bands, clear_flag(p).alias("_clear")))
+    columns = [*keys, *_payload(keys), "t", *p.bands, clear_flag(p).alias("_clear")]
+    if "sid" in keys:
+        return stored_by_strip(obs.select(*columns), p.partitions)
+    return materialise(obs.repartition(_partitions(obs.sparkSession, p, obs), *keys).select(*columns))
+
+
+def stored_by_strip(obs: DataFrame, buckets: int) -> DataFrame:
+    """Observations that are dealt by strip, as a bucketed table in the scratch folder.
+
+    Decoding is Python work, behind which Spark no longer knows how rows are dealt; the
+    buckets (each written by the one task that has its strips) tell it again, so the
+    rounds read them without an exchange."""
+    spark = obs.sparkSession
+    path = scratch_path(spark, "strips")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    # stored under other names: a checkpoint forgets a partitioning by columns that are
+    # qualified by a table, and only a real renaming takes the qualifier off
+    stored = {"sid": "strip_key", "pid": "pixel_key"}
+    (obs.select(*[F.col(c).alias(stored.get(c, c)) for c in obs.columns])
+        .write.format("parquet").bucketBy(buckets, "strip_key").option("path", path).saveAsTable(name))
+    return spark.table(name).select(*[F.col(stored.get(c, c)).alias(c) for c in obs.columns])
 
 
 def prepare(obs: DataFrame, p: DetectParams, keys=PIXEL, partitioned: bool = False) -> DataFrame:
@@ -465,7 +490,8 @@ def default_segments(pixels: DataFrame, segments: DataFrame, template: DataFrame
     pay = _payload(keys)
     ids = (pixels.groupBy(*keys).agg(*[F.first(c).alias(c) for c in pay]) if pay
            else pixels.select(*keys).distinct())
-    missing = ids.join(segments.select(*keys), keys, "left_anti")
+    # columns of their own: segments come from the same rows as the pixels
+    missing = ids.join(segments.select(*[F.col(k).alias(k) for k in keys]), keys, "left_anti")
     iso = ordinal_to_iso(F.lit(SENTINEL_DAY))
     fill = []
     for f in template.schema.fields:
@@ -507,8 +533,9 @@ def detect(obs: DataFrame, p: DetectParams | None = None) -> DataFrame:
     return wide.select(*schemas.detection_schema().names, F.lit(algorithm()).alias("algorithm"))
 
 
-def detect_tables(obs: DataFrame, p: DetectParams | None = None):
-    """D1 + D4 + D5 straight into the three stored tables.
+def detect_tables(obs: DataFrame, p: DetectParams | None = None, keys=PID):
+    """D1 + D4 + D5 straight into the three stored tables (``keys``: ``STRIP`` for
+    observations that are dealt by strips).
 
     Returns (chip, pixel, segment) frames with the table schemas.  Unlike
     ``detect`` no wide per-segment rows are built, so a pixel's dates and
@@ -518,13 +545,13 @@ def detect_tables(obs: DataFrame, p: DetectParams | None = None):
     """
     p = p or DetectParams()
     checkpoint_dir(obs.sparkSession)
-    base = partition_observations(obs, p, PID)
-    seg, used = detect_rounds(base, p, keys=PID, partitioned=True)
-    flat = format_segments(seg, p, PID)
-    flat = flat.unionByName(default_segments(base, seg, flat, PID)) \
+    base = partition_observations(obs, p, keys)
+    seg, used = detect_rounds(base, p, keys=keys, partitioned=True)
+    flat = format_segments(seg, p, keys)
+    flat = flat.unionByName(default_segments(base, seg, flat, keys)) \
                .withColumn("rfrawp", F.lit(None).cast("array<float>"))
     segment = flat.select(*schemas.segment_schema().names)
-    pixel = processing_mask(base, used, PID).select(*schemas.pixel_schema().names)
+    pixel = processing_mask(base, used, keys).select(*schemas.pixel_schema().names)
     days = base.groupBy("cx", "cy").agg(F.array_sort(F.collect_set("t")).alias("_d"))
     chip = days.select("cx", "cy", F.transform("_d", lambda o: ordinal_to_iso(o)).alias("dates"))
     return chip, pixel, segment

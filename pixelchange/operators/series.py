@@ -86,28 +86,60 @@ def chip_observations(chips: DataFrame, registry: DataFrame, bands=ARD_BANDS, re
     c = rasters.layer_to_band(chips, registry)
     if partitions:
         c = c.repartition(partitions, "x", "y")
-    # layers of one sensor only: two sensors may see a chip at the same time
-    c = c.withColumn("sensor", F.upper(F.substring("ubid", 1, 4)))
-    packed = F.struct(F.col("data"), F.col("data_type"))
-    g = c.groupBy("x", "y", "acquired", "sensor").agg(
+    g = _acquisitions(c.withColumn("raw", F.unbase64("data")), ["x", "y"], bands, required)
+    return _pixels(g, bands, required, F.lit(0))
+
+
+# Strips that a chip is cut into; a divisor of its rows.
+STRIPS = 10
+
+
+def strip_observations(chips: DataFrame, registry: DataFrame, partitions: int, bands=ARD_BANDS, required=ARD_BANDS,
+                       strips: int = STRIPS) -> DataFrame:
+    """``chip_observations`` dealt by strips of a chip, with ``sid``, the strip's key.
+
+    Each packed layer is cut into the bytes of ``strips`` bands of pixel rows before
+    the one exchange (by ``sid``), and decoded behind it.  So a chip is the work of
+    several tasks, packed bytes are all that moves, and a pixel's rows come out in the
+    partition of its strip, where the detector's rounds (keys ``sid``, ``pid``) leave them."""
+    c = rasters.layer_to_band(chips, registry)
+    part = rasters.value_bytes(F.col("data_type")) * F.lit(CHIP_SHAPE[0] * CHIP_SHAPE[1] // strips)
+    c = c.select("x", "y", "acquired", "ubid", "band", "data_type", F.unbase64("data").alias("whole"), part.alias("part"))
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(strips - 1)),
+                         lambda i: F.struct(i.alias("strip"), F.substring("whole", i * F.col("part") + 1, F.col("part")).alias("raw")))
+    cut = c.select("x", "y", "acquired", "ubid", "band", "data_type", F.explode(pieces).alias("p")).select("*", "p.strip", "p.raw").drop("p")
+    dealt = cut.withColumn("sid", F.xxhash64("x", "y", "strip")).repartition(partitions, "sid")
+    g = _acquisitions(dealt, ["sid", "x", "y", "strip"], bands, required)
+    return _pixels(g, bands, required, F.col("strip") * F.lit(CHIP_SHAPE[0] // strips), ["sid"])
+
+
+def _acquisitions(layers: DataFrame, keys, bands, required) -> DataFrame:
+    """Rows (keys, acquired) with the packed bytes and type of each band, where every
+    required band is there.  Layers of one sensor only: two sensors may see a chip at
+    the same time; of complete acquisitions the first sensor by name counts."""
+    packed = F.struct(F.col("raw"), F.col("data_type"))
+    g = layers.withColumn("sensor", F.upper(F.substring("ubid", 1, 4))).groupBy(*keys, "acquired", "sensor").agg(
         *[F.max(F.when(F.col("band") == b, packed)).alias(b) for b in bands])
     for b in required:
-        g = g.where(F.col(f"{b}.data").isNotNull())
-    # of complete acquisitions at one time the first sensor by name counts
-    g = (g.groupBy("x", "y", "acquired").agg(F.min_by(F.struct(*bands), "sensor").alias("s"))
-          .select("x", "y", "acquired", "s.*"))
-    dec = g.select(F.col("x").alias("cx"), F.col("y").alias("cy"),
+        g = g.where(F.col(f"{b}.raw").isNotNull())
+    return (g.groupBy(*keys, "acquired").agg(F.min_by(F.struct(*bands), "sensor").alias("s"))
+            .select(*keys, "acquired", "s.*"))
+
+
+def _pixels(g: DataFrame, bands, required, first_row, carry=()) -> DataFrame:
+    """Acquisitions decoded, one row per pixel; ``first_row``: of the chip's rows."""
+    dec = g.select(*carry, F.col("x").alias("cx"), F.col("y").alias("cy"), first_row.alias("first_row"),
                    date_to_ordinal(F.substring("acquired", 1, 10)).alias("t"),
-                   *[rasters.decode(F.col(f"{b}.data"), F.col(f"{b}.data_type")).alias(b) for b in bands])
+                   *[rasters.decode_bytes(F.col(f"{b}.raw"), F.col(f"{b}.data_type")).alias(b) for b in bands])
     for b in required:
         dec = dec.where(F.col(b).isNotNull())
     size = F.size(F.col(required[0]))
     full = [F.coalesce(F.col(b), F.array_repeat(F.lit(None).cast("float"), size)).alias(b) for b in bands]
-    z = dec.select("cx", "cy", "t", F.posexplode(F.arrays_zip(*full)).alias("i", "v"))
+    z = dec.select(*carry, "cx", "cy", "first_row", "t", F.posexplode(F.arrays_zip(*full)).alias("i", "v"))
     ncols = CHIP_SHAPE[1]
-    return z.select("cx", "cy",
+    return z.select(*carry, "cx", "cy",
                     (F.col("cx") + F.lit(30) * (F.col("i") % ncols)).cast("int").alias("px"),
-                    (F.col("cy") - F.lit(30) * F.floor(F.col("i") / ncols)).cast("int").alias("py"),
+                    (F.col("cy") - F.lit(30) * (F.col("first_row") + F.floor(F.col("i") / ncols))).cast("int").alias("py"),
                     "t", *[F.col(f"v.{b}").cast(_element_type(b)).alias(b) for b in bands])
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DoubleType, FloatType, IntegerType, LongType,
                                ShortType)
 
-from ..config import BAND_PREFIX, PIXEL_TABLE
+from ..config import BAND_PREFIX, CHIP_SHAPE, PIXEL_TABLE
 from ..functions import grid
 from ..functions.dates import date_to_ordinal, ordinal_to_date, ordinal_to_iso
 from ..functions.names import namespace_column
@@ -38,8 +38,8 @@ CHUNK = 1000
 TAKE = 2500
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
-# Distance of two lines of an order in its raster (q36): some fall on later rows.
-RASTER_STEP = 37
+# Cells of a whole chip's raster.
+CELLS = CHIP_SHAPE[0] * CHIP_SHAPE[1]
 
 # One band, trend only, 3 consecutive |residual| > 2 rmse after 12
 # observations: many pixels get several segments (q14, q15, q19, q28).
@@ -408,29 +408,28 @@ def q35_namespace(spark, sf):
     return _norm(out)
 
 
+def _quarter(day):
+    """First day of a date's quarter: an acquisition of the raster queries."""
+    return date_to_ordinal(F.trunc(F.to_date(day), "quarter"))
+
+
+def _corner_chip():
+    """The first chip of the tile of a point (x, y)."""
+    return grid.tile_of_chip("x", "y")       # snaps any point
+
+
 def q36_decode_chip(spark, sf):
-    li = standins.table(spark, sf, "lineitem")
-    o = standins.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    pts = _points(spark, sf)
-    lines = li.groupBy("l_orderkey", "l_linenumber").agg(
-        F.max(F.round(F.col("l_quantity") * 100).cast("int")).alias("q"))
-    packed = lines.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(
-        F.struct(((F.col("l_linenumber") - 1) * RASTER_STEP).alias("i"), "q"))).alias("m"))
-    # as long as the order's last line asks for
-    raster = packed.select("l_orderkey", F.transform(F.sequence(F.lit(0), F.array_max(F.map_keys("m"))),
-                                                     lambda i: F.coalesce(F.try_element_at("m", i), F.lit(-9999))).alias("vals"))
-    cx, cy = grid.chip_of_point("x", "y")
-    chips = (raster.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-                   .join(pts, F.col("o_custkey") == F.col("c_custkey"))
-                   .select(F.col("l_orderkey").alias("rec"), cx.alias("x"), cy.alias("y"),
-                           F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("acquired"),
-                           rasters.encode_int16(F.col("vals")).alias("data"),
-                           F.lit("le07_srb1").alias("ubid")))
-    typed = rasters.layer_to_band(chips, rasters.registry(spark))
-    dec = typed.select("rec", "x", "y", rasters.decode(F.col("data"), F.col("data_type")).alias("values"))
+    """A whole raster for each tile and quarter, a line's cell by its order and number."""
+    o = standins.table(spark, sf, "orders").select("o_orderkey", "o_custkey", _quarter("o_orderdate").alias("t"))
+    tx, ty = _corner_chip()
+    at = o.join(_points(spark, sf), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "t", tx.alias("cx"), ty.alias("cy"))
+    cells = (standins.table(spark, sf, "lineitem").join(at, F.col("l_orderkey") == F.col("o_orderkey"))
+             .groupBy("cx", "cy", "t", ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % CELLS).cast("int").alias("cell"))
+             .agg(F.max(F.round(F.col("l_quantity") * 100).cast("int")).alias("blues")))
+    typed = rasters.layer_to_band(_packed(cells, [("le07_srb1", "INT16", "blues", -9999)]), rasters.registry(spark))
+    dec = typed.select("x", "y", "acquired", rasters.decode(F.col("data"), F.col("data_type")).alias("values"))
     px = rasters.pixel_rows(dec, "values", "x", "y")
-    px = px.where(F.col("value") != -9999)
-    return _norm(px.select("rec", "i", "px", "py", F.col("value").cast("bigint").alias("value")))
+    return _norm(px.where(F.col("value") != -9999).select("acquired", "i", "px", "py", F.col("value").cast("bigint").alias("value")))
 
 
 def q37_upsert_batches(spark, sf):
@@ -448,27 +447,23 @@ def q37_upsert_batches(spark, sf):
     return _norm(back.select(*D.PIXEL, "sday", "eday", F.col("chprob").cast("double").alias("chprob"), "curqa"))
 
 
-# Cells of the small rasters that q38 and q39 pack their tables into.
-CELLS = 120
+def _packed(cells, layers):
+    """Rows (cx, cy, t, cell, one column per layer) -> raster records of whole chips.
 
+    A cell without a row has the layer's filler."""
+    by_chip = cells.groupBy("cx", "cy", "t").agg(F.collect_list(F.struct("cell", *[band for _, _, band, _ in layers])).alias("m"))   # a chip's cells
+    layer = lambda ubid, kind, band, filler: F.struct(F.lit(ubid).alias("ubid"), F.lit(kind).alias("kind"), F.lit(float(filler)).alias("filler"),
+                                                      F.col(f"m.{band}").cast("array<double>").alias("v"))
+    one = by_chip.select("cx", "cy", "t", F.col("m.cell").alias("cells"), F.explode(F.array(*[layer(*x) for x in layers])).alias("l"))
+    return one.select(F.col("cx").alias("x"), F.col("cy").alias("y"), F.concat(ordinal_to_iso("t"), F.lit("T00:00:00Z")).alias("acquired"),
+                      rasters.encode_cells(F.col("cells"), F.col("l.v"), F.col("l.kind"), F.col("l.filler")).alias("data"),
+                      F.lit("").alias("hash"), F.lit("").alias("source"), "l.ubid")
 
-def _write_chips(spark, cells, layers):
-    """Rows (cx, cy, t, cell, one column per layer) -> raster chip files; where they are.
 
-    A cell without a row has the layer's filler."""
-    by_chip = cells.groupBy("cx", "cy", "t").agg(F.map_from_entries(F.collect_list(
-        F.struct("cell", F.struct(*[band for _, _, band, _ in layers])))).alias("m"))
-    def layer(ubid, kind, band, filler):
-        cell = lambda i: F.coalesce(F.try_element_at("m", i)[band].cast("double"), F.lit(float(filler)))
-        values = F.transform(F.sequence(F.lit(0), F.array_max(F.map_keys("m"))), cell)
-        return F.struct(F.lit(ubid).alias("ubid"), F.lit(kind).alias("kind"), values.alias("v"))
-
-    one = F.explode(F.array(*[layer(*x) for x in layers])).alias("l")
-    chips = by_chip.select(F.col("cx").alias("x"), F.col("cy").alias("y"),
-                           F.concat(ordinal_to_iso("t"), F.lit("T00:00:00Z")).alias("acquired"), one)
+def _write_chips(spark, cells, layers):
+    """The records of ``_packed`` as chip files; where they are."""
     path = scratch_path(spark, "chips")
-    (chips.select("x", "y", "acquired", rasters.encode(F.col("l.v"), F.col("l.kind")).alias("data"), F.lit("").alias("hash"),
-                  F.lit("").alias("source"), "l.ubid").write.json(path))
+    _packed(cells, layers).write.json(path)
     return path
 
 
@@ -480,11 +475,11 @@ def q38_raster_ard(spark, sf):
     """Lines packed into INT16 and UINT16 rasters, decoded, assembled."""
     layers = [(f"LC08_SRB{i + 2}", "INT16", b, -9999) for i, b in enumerate(["blues", "greens", "reds", "nirs", "swir1s", "swir2s"])]
     layers += [("LC08_BTB10", "INT16", "thermals", -9999), ("LC08_PIXELQA", "UINT16", "qas", 1)]
-    o = standins.table(spark, sf, "orders").select("o_orderkey", "o_custkey", date_to_ordinal("o_orderdate").alias("t"))
-    cx, cy = grid.chip_of_point("x", "y")
-    lines = (standins.table(spark, sf, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-             .join(_points(spark, sf), F.col("o_custkey") == F.col("c_custkey")))
-    cells = lines.groupBy(cx, cy, "t", (F.col("l_partkey") % CELLS).cast("int").alias("cell")).agg(
+    o = standins.table(spark, sf, "orders").select("o_orderkey", "o_custkey", _quarter("o_orderdate").alias("t"))
+    tx, ty = _corner_chip()
+    at = o.join(_points(spark, sf), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "t", tx.alias("cx"), ty.alias("cy"))
+    lines = standins.table(spark, sf, "lineitem").join(at, F.col("l_orderkey") == F.col("o_orderkey"))
+    cells = lines.groupBy("cx", "cy", "t", (F.col("l_partkey") % CELLS).cast("int").alias("cell")).agg(
         *[F.max((F.col("l_quantity").cast("int") * 100 + F.lit(i))).alias(b) for i, (_, _, b, _) in enumerate(layers[:7])],
         F.max(F.lit(40000) + F.col("l_linenumber")).alias("qas"))
     path = _write_chips(spark, cells, layers)
@@ -497,8 +492,9 @@ def q38_raster_ard(spark, sf):
 def q39_raster_aux(spark, sf):
     """Parts packed into FLOAT32, BYTE and INT16 rasters; a layer that a chip lacks is null."""
     layers = [("AUX_DEM", "FLOAT32", "dem", -1), ("AUX_TRENDS", "BYTE", "trends", 255), ("AUX_ASPECT", "INT16", "aspect", -9999), ("AUX_MPW", "BYTE", "mpw", 255)]
-    cx, cy = standins.pixel_keys("p_partkey")[:2]
-    cells = standins.table(spark, sf, "part").groupBy(cx, cy, F.lit(1).alias("t"), (F.col("p_partkey") % CELLS).cast("int").alias("cell")).agg(
+    pts = standins.table(spark, sf, "part").withColumns({"x": standins.place_x("p_partkey"), "y": standins.place_y("p_partkey")})
+    tx, ty = _corner_chip()
+    cells = pts.groupBy(tx.alias("cx"), ty.alias("cy"), F.lit(1).alias("t"), (F.col("p_partkey") % CELLS).cast("int").alias("cell")).agg(
         F.max(F.col("p_size") + 0.5).alias("dem"), F.max(F.col("p_size") % 10).alias("trends"),
         F.max(-F.col("p_size")).alias("aspect"), F.max(F.col("p_size") % 2).alias("mpw"))
     aux = SR.aux(rasters.scan_chips(spark, _write_chips(spark, cells, layers)), rasters.registry(spark), "0001-01-01/0001-12-31")

@@ -25,12 +25,13 @@ from ..operators import features as FT
 from ..operators import forest as RF
 from ..operators import segments as SG
 from ..operators import series as SR
-from ..sources import rasters
+from ..session import checkpoint_dir
+from ..sources import ledger, rasters
 from ..sources import tables as T
 
 
 def detect_batch(obs: DataFrame, root: str, params: D.DetectParams | None = None,
-                 replace_chips: bool = False) -> DataFrame:
+                 replace_chips: bool = False, keys=D.PID) -> DataFrame:
     """Observations -> detect -> chip, pixel, segment tables.
 
     The three tables come from ``detect_tables`` (no wide per-segment
@@ -38,7 +39,7 @@ def detect_batch(obs: DataFrame, root: str, params: D.DetectParams | None = None
     in executor memory.  Segment is written last: it is the completion
     marker.  Returns the distinct chip ids done.
     """
-    chip, pixel, segment = D.detect_tables(obs, params)
+    chip, pixel, segment = D.detect_tables(obs, params, keys)
     T.write_chip(chip, root)
     T.write_pixel(pixel, root)
     T.write_segment(segment, root, replace_chips=replace_chips)
@@ -62,6 +63,10 @@ def chunk_chips(chips: DataFrame, chunk_size: int) -> DataFrame:
     return chips.withColumn("batch", F.floor((i * grid.chips_per_side() + j) / F.lit(chunk_size)))
 
 
+def chips_of_a_tile() -> int:
+    return grid.chips_per_side() ** 2
+
+
 def tile_chips(spark: SparkSession, x: float, y: float) -> DataFrame:
     """G5+G6 for one point given by the user."""
     pt = spark.createDataFrame([(float(x), float(y))], "x double, y double")
@@ -75,20 +80,26 @@ def _restrict(obs: DataFrame, chips: DataFrame) -> DataFrame:
 
 def change_detection(spark: SparkSession, x: float, y: float, obs: DataFrame, root: str,
                      acquired: str | None = None, number: int | None = None,
-                     chunk_size: int | None = None, params: D.DetectParams | None = None) -> DataFrame:
-    """Detect every chip of the tile holding (x, y) (the first ``number`` if given)."""
+                     chunk_size: int | None = None, params: D.DetectParams | None = None,
+                     resume: bool = False) -> DataFrame:
+    """Detect every chip of the tile holding (x, y) (the first ``number`` if given).
+
+    Chips are noted in the ledger when their chunk is written; ``resume`` leaves out
+    those it has for the same dates and parameters.  Returns the chips done now."""
     acquired = acquired or acquired_default()
     chips = take_chips(tile_chips(spark, x, y), number)
+    if resume:
+        chips = ledger.open_chips(chips, root, acquired, params)
     obs = obs.where(in_acquired_days("t", acquired))
-    if not chunk_size:
-        return detect_batch(_restrict(obs, chips), root, params)
-    batched = chunk_chips(chips, chunk_size).checkpoint(eager=True)
+    checkpoint_dir(spark)
+    batched = chunk_chips(chips, chunk_size or chips_of_a_tile()).checkpoint(eager=True)
     # a tile has 2,500 chips, so there are at most so many batches
     batches = sorted(r["batch"] for r in batched.select("batch").distinct().collect())
-    done = None
+    done = spark.createDataFrame([], "cx int, cy int")
     for b in batches:
-        part = detect_batch(_restrict(obs, batched.where(F.col("batch") == b)), root, params)
-        done = part if done is None else done.unionByName(part)
+        chunk = batched.where(F.col("batch") == b)
+        done = done.unionByName(detect_batch(_restrict(obs, chunk), root, params))
+        ledger.record(chunk, root, acquired, params)
     return done
 
 
@@ -96,7 +107,8 @@ def detect_chips(spark: SparkSession, ids: DataFrame, chips_path: str, registry:
                  acquired: str | None = None, params: D.DetectParams | None = None, fmt: str = "json") -> DataFrame:
     """E1 from chip ids and raster chip files: scan, decode, assemble, detect, write.
 
-    The number of pixel partitions follows from the number of acquisitions
+    Packed layers are dealt once, by strips of a chip; no row of a pixel is shuffled
+    behind that.  The number of partitions follows from the number of acquisitions
     (their packed rasters are counted, not decoded)."""
     chips = rasters.scan_chips(spark, chips_path, ids, acquired or acquired_default(), fmt)
     params = params or D.DetectParams()
@@ -104,7 +116,7 @@ def detect_chips(spark: SparkSession, ids: DataFrame, chips_path: str, registry:
         rows = chips.select("x", "y", "acquired").distinct().count() * CHIP_SHAPE[0] * CHIP_SHAPE[1]
         size = -(-rows * D.ROW_BYTES // params.partition_bytes)
         params = dataclasses.replace(params, partitions=max(spark.sparkContext.defaultParallelism, size))
-    return detect_batch(SR.chip_observations(chips, registry), root, params)
+    return detect_batch(SR.strip_observations(chips, registry, params.partitions), root, params, keys=D.STRIP)
 
 
 def aux_for_chips(spark: SparkSession, ids: DataFrame, chips_path: str, registry: DataFrame,

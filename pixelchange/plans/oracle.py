@@ -254,11 +254,12 @@ def _q45():
 FROM segs WHERE {FINISHED}"""
 
 
+QUARTER = DAY("date_trunc('quarter', CAST(o_orderdate AS DATE))")
 CELLS38 = f"""cells AS MATERIALIZED (
-  SELECT {CX('p.x')} AS cx, {CY('p.y')} AS cy, {DAY('o_orderdate')} AS t, l_partkey % {C.CELLS} AS cell,
+  SELECT {TX('p.x')} AS cx, {TY('p.y')} AS cy, {QUARTER} AS t, l_partkey % {C.CELLS} AS cell,
          max(CAST(l_quantity AS INTEGER)) * 100 + 1 AS g, max(CAST(l_quantity AS INTEGER)) * 100 + 6 AS th, 40000 + max(l_linenumber) AS qa
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN pts p ON o_custkey = c_custkey
-  WHERE {DAY('o_orderdate')} BETWEEN {DAY(f"DATE '{C.ACQUIRED[:10]}'")} AND {DAY(f"DATE '{C.ACQUIRED[11:]}'")}
+  WHERE {QUARTER} BETWEEN {DAY(f"DATE '{C.ACQUIRED[:10]}'")} AND {DAY(f"DATE '{C.ACQUIRED[11:]}'")}
   GROUP BY 1, 2, 3, 4)"""
 
 
@@ -397,12 +398,11 @@ FROM spans JOIN partpix USING (cx, cy, px, py)""",
                                            '[^A-Za-z0-9_]', '_', 'g')), '^_+', '') AS namespace
 FROM nation JOIN region ON n_regionkey = r_regionkey""",
 
-    "q36_decode_chip": _with(PTS) + f"""SELECT l_orderkey AS rec, CAST(i AS BIGINT) AS i,
-       {CX('p.x')} + 30 * (i % 100) AS px, {CY('p.y')} - 30 * (i // 100) AS py, CAST(q AS BIGINT) AS value
-FROM (SELECT l_orderkey, {C.RASTER_STEP} * (l_linenumber - 1) AS i, max(CAST(round(l_quantity * 100) AS INTEGER)) AS q
-      FROM lineitem GROUP BY 1, 2) l
-JOIN orders o ON o.o_orderkey = l.l_orderkey
-JOIN pts p ON p.c_custkey = o.o_custkey
+    "q36_decode_chip": _with(PTS) + f"""SELECT {ISO('t')} || 'T00:00:00Z' AS acquired, CAST(cell AS BIGINT) AS i,
+       cx + 30 * (cell % 100) AS px, cy - 30 * (cell // 100) AS py, CAST(q AS BIGINT) AS value
+FROM (SELECT {TX('p.x')} AS cx, {TY('p.y')} AS cy, {QUARTER} AS t, (l_orderkey * 7 + l_linenumber) % {C.CELLS} AS cell,
+             max(CAST(round(l_quantity * 100) AS INTEGER)) AS q
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN pts p ON o_custkey = c_custkey GROUP BY 1, 2, 3, 4) l
 WHERE q <> -9999""",
 
     "q37_upsert_batches": _with(PTS, TILES) + f"""SELECT {CX('x')} AS cx, {CY('y')} AS cy, x AS px, y AS py, {ISO('t')} AS sday, {ISO('t')} AS eday,
@@ -414,16 +414,16 @@ QUALIFY row_number() OVER (PARTITION BY l_partkey, t ORDER BY l_linenumber % 2,
     "q38_raster_ard": _with(PTS, CELLS38) + f"""SELECT cx, cy, cx + 30 * (cell % 100) AS px, cy - 30 * (cell // 100) AS py,
        string_agg(CAST(t AS VARCHAR), ',' ORDER BY t DESC) AS dates, string_agg(CAST(g AS VARCHAR), ',' ORDER BY t DESC) AS greens,
        string_agg(CAST(th AS VARCHAR), ',' ORDER BY t DESC) AS thermals, string_agg(CAST(qa AS VARCHAR), ',' ORDER BY t DESC) AS qas
-FROM (SELECT d.cx, d.cy, d.t, c.cell, coalesce(g, -9999) AS g, coalesce(th, -9999) AS th, coalesce(qa, 1) AS qa, any_value(qa) OVER (PARTITION BY d.cx, d.cy, c.cell) AS seen
-      FROM (SELECT cx, cy, t, max(cell) AS top FROM cells GROUP BY 1, 2, 3) d
-      JOIN (SELECT range AS cell FROM range(0, {C.CELLS})) c ON c.cell <= top
+FROM (SELECT d.cx, d.cy, d.t, c.cell, coalesce(g, -9999) AS g, coalesce(th, -9999) AS th, coalesce(qa, 1) AS qa
+      FROM (SELECT DISTINCT cx, cy, t FROM cells) d
+      JOIN (SELECT DISTINCT cx, cy, cell FROM cells) c USING (cx, cy)
       LEFT JOIN cells USING (cx, cy, t, cell)) r
-WHERE seen IS NOT NULL GROUP BY cx, cy, cell""",
+GROUP BY cx, cy, cell""",
 
     "q39_raster_aux": _with(PARTPIX) + f"""SELECT cx, cy, cx + 30 * (cell % 100) AS px, cy - 30 * (cell // 100) AS py,
        max(p_size) + 0.5::DOUBLE AS dem, CAST(max(p_size % 10) AS DOUBLE) AS trends, CAST(max(-p_size) AS DOUBLE) AS aspect,
        CAST(max(p_size % 2) AS DOUBLE) AS mpw, TRUE AS no_slope
-FROM (SELECT *, p_partkey % {C.CELLS} AS cell FROM partpix) p GROUP BY cx, cy, cell""",
+FROM (SELECT {TX('px')} AS cx, {TY('py')} AS cy, p_size, p_partkey % {C.CELLS} AS cell FROM partpix) p GROUP BY cx, cy, cell""",
 
     "q40_nested_models": _with(PARTPIX) + f"""SELECT cx, cy, px, py,
        CASE WHEN has THEN {ISO('p_size + 730000')} ELSE '0001-01-01' END AS sday, CASE WHEN has THEN {ISO('p_size + 730100')} ELSE '0001-01-01' END AS eday,

@@ -35,6 +35,9 @@ REGISTRY_SCHEMA = StructType([
     StructField("data_shape", ArrayType(IntegerType())), StructField("data_fill", IntegerType()),
     StructField("tags", ArrayType(StringType()))])
 
+# Chip ids that a scan broadcasts at most (a tile has 2,500).
+MAX_BROADCAST_IDS = 1_000_000
+
 # numpy dtypes of registry data types (little endian); each fits a 32-bit float.
 DTYPES = {"INT16": "<i2", "UINT16": "<u2", "UINT8": "u1", "BYTE": "u1", "FLOAT32": "<f4"}
 
@@ -129,7 +132,10 @@ def scan_chips(spark: SparkSession, path: str, ids: DataFrame | None = None,
     if acquired:
         df = df.where(in_acquired("acquired", acquired))
     if ids is not None:
-        ids = ids.select(F.col("cx").alias("x"), F.col("cy").alias("y"))
+        ids = ids.select(F.col("cx").alias("x"), F.col("cy").alias("y")).distinct()
+        # counted ids stay small (two numbers each); beyond the limit the records are shuffled
+        if ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS:
+            ids = F.broadcast(ids)
         df = df.join(ids, ["x", "y"], "left_semi")
     return df
 
@@ -152,6 +158,35 @@ def decode(data: Column, data_type: Column) -> Column:
     return _decode(F.unbase64(data), data_type)
 
 
+def decode_bytes(raw: Column, data_type: Column) -> Column:
+    """T3 on bytes (of a whole raster or some of its rows)."""
+    return _decode(raw, data_type)
+
+
+def value_bytes(data_type: Column) -> Column:
+    """Bytes of one value of a registry type."""
+    out = F.when(F.lit(False), F.lit(0))
+    for name, dtype in DTYPES.items():
+        out = out.when(data_type == name, F.lit(np.dtype(dtype).itemsize))
+    return out
+
+
+@F.pandas_udf(StringType())
+def _encode_cells(cells: pd.Series, values: pd.Series, dtype: pd.Series, filler: pd.Series) -> pd.Series:
+    out = []
+    for c, v, t, f in zip(cells, values, dtype, filler):
+        raster = np.full(CHIP_SHAPE[0] * CHIP_SHAPE[1], f, DTYPES[t])
+        raster[np.asarray(c, np.int64)] = v
+        out.append(base64.b64encode(raster.tobytes()).decode())
+    return pd.Series(out, dtype=object)
+
+
+def encode_cells(cells: Column, values: Column, data_type: Column, filler: Column) -> Column:
+    """A whole raster, packed, from the places and values of some of its cells
+    (arrays of one length); the others hold the filler."""
+    return _encode_cells(cells, values, data_type, filler.cast("double"))
+
+
 @F.pandas_udf(StringType())
 def _encode(values: pd.Series, dtype: pd.Series) -> pd.Series:
     return pd.Series([None if v is None else base64.b64encode(np.asarray(v, DTYPES[t]).tobytes()).decode()
