@@ -2,10 +2,12 @@
 
 A document's pre-tokens are cut into segments; a segment tree over them
 holds characters and tokens of each subtree (two arrays, children of node i
-at 2i and 2i+1).  An edit descends the tree to the segments that it
-touches, re-encodes these and as much context as the pre-tokenizer's
-boundaries need, and updates the sums on the paths to the root.  All other
-segments keep their counts.
+at 2i and 2i+1).  Edits descend the tree to the segments that they touch;
+edits whose regions meet are one region.  A region and as much context as the
+pre-tokenizer's boundaries need is encoded anew, cut into segments of the usual
+size, and the sums above are updated.  All other segments keep their counts, and
+the new text is put together once, so the work is in the edits and what they
+touch, however many there are.
 
 Pre-tokens are found from left to right and depend only on the text from
 their start on, so a boundary after a letter or digit, before the edit, stays;
@@ -15,6 +17,7 @@ behind the edit, encoding ends as soon as it meets an old segment boundary.
 from __future__ import annotations
 
 import base64
+from itertools import accumulate
 
 import pyarrow as pa
 import regex
@@ -69,28 +72,64 @@ class Counter:
     def edit(self, text: str, tree: "Tree", start: int, end: int, by: str) -> tuple[str, int]:
         """Replace ``text[start:end]`` and bring the tree up to date; the new text
         and the number of characters encoded anew."""
-        new = text[:start] + by + text[end:]
-        first, at = tree.find(max(start - 1, 0))
-        while first > 0 and not (at < start and text[at - 1].isalnum()):
+        return self.edit_all(text, tree, [(start, end, by)])
+
+    def edit_all(self, text: str, tree: "Tree", edits: list[tuple[int, int, str]]) -> tuple[str, int]:
+        """Apply edits that are in order and don't overlap (``disjoint``)."""
+        pieces, at = [], 0
+        for start, end, by in edits:
+            pieces += [text[at:start], by]
+            at = end
+        new = "".join(pieces) + text[at:]
+        chars, tokens = tree.leaves()
+        begin = [0, *accumulate(chars)]                     # old places of the segments
+        out_chars, out_tokens, kept, shift, anew, e = [], [], 0, 0, 0, 0
+        while e < len(edits):
+            first = self._region(text, tree, begin, edits[e][0])
+            out_chars += chars[kept:first]
+            out_tokens += tokens[kept:first]
+            at = pos = begin[first] + shift
+            sizes, counts, last, more = [], [], first, True
+            while more:
+                start, end, by = edits[e]
+                e += 1
+                shift += len(by) - (end - start)
+                last = max(last, tree.find(max(end - 1, start, 0))[0])
+                behind = end + shift                        # new place of what follows the edit
+                following = begin[self._region(text, tree, begin, edits[e][0])] if e < len(edits) else None
+                more = False
+                while pos < len(new):
+                    # old boundaries behind the edit that the scan has passed belong to the region
+                    while last + 1 < tree.n and pos - shift > begin[last + 1]:
+                        last += 1
+                    stop = begin[last + 1]
+                    if following is not None and (following < stop or pos - shift >= edits[e][0]):
+                        more = True                         # the next edit's region begins in this one
+                        break
+                    if pos - shift == stop and stop >= end and pos >= behind and pos > at:
+                        break
+                    pre = self.pattern.match(new, pos).group()
+                    sizes.append(len(pre))
+                    counts.append(self.tokens(pre))
+                    pos += len(pre)
+                else:
+                    more = e < len(edits)
+                    last = tree.n - 1 if not more else last
+            anew += pos - at
+            for a in range(0, len(sizes), SEGMENT):
+                out_chars.append(sum(sizes[a:a + SEGMENT]))
+                out_tokens.append(sum(counts[a:a + SEGMENT]))
+            kept = last + 1
+        tree.renew(out_chars + chars[kept:], out_tokens + tokens[kept:])
+        return new, anew
+
+    def _region(self, text: str, tree: "Tree", begin: list[int], start: int) -> int:
+        """Segment at which the region of an edit begins: its start is a boundary that
+        the edit can't move."""
+        first = tree.find(max(start - 1, 0))[0]
+        while first > 0 and not (begin[first] < start and text[begin[first] - 1].isalnum()):
             first -= 1
-            at -= tree.chars[tree.size + first]
-        last, stop = tree.find(max(end - 1, start, 0))
-        stop += tree.chars[tree.size + last] if tree.n else 0
-        shift, tokens, pos = len(by) - (end - start), 0, at
-        while pos < len(new):
-            # Old boundaries behind the edit that the scan has passed belong to the region.
-            while last + 1 < tree.n and pos - shift > stop:
-                last += 1
-                stop += tree.chars[tree.size + last]
-            if pos - shift == stop and stop >= end and pos >= start + len(by) and pos > at:
-                break
-            pre = self.pattern.match(new, pos).group()
-            tokens += self.tokens(pre)
-            pos += len(pre)
-        else:
-            last = max(tree.n - 1, 0)
-        tree.replace(first, last, pos - at, tokens)
-        return new, pos - at
+        return first
 
 
 class Tree:
@@ -128,15 +167,14 @@ class Tree:
                 node += 1
         return node - self.size, start
 
-    def replace(self, first: int, last: int, chars: int, tokens: int) -> None:
-        """Put all of a region into its first segment; the others become empty."""
-        for leaf in range(first, last + 1):
-            node = self.size + leaf
-            more = (chars if leaf == first else 0) - self.chars[node], (tokens if leaf == first else 0) - self.tokens[node]
-            while node:
-                self.chars[node] += more[0]
-                self.tokens[node] += more[1]
-                node //= 2
+    def leaves(self) -> tuple[list[int], list[int]]:
+        """Characters and tokens of the segments."""
+        return list(self.chars[self.size:self.size + self.n]), list(self.tokens[self.size:self.size + self.n])
+
+    def renew(self, chars: list[int], tokens: list[int]) -> None:
+        """Other segments; all sums above them follow."""
+        new = Tree.build(chars, tokens)
+        self.chars, self.tokens, self.n, self.size = new.chars, new.tokens, new.n, new.size
 
 
 def redactions(text: str) -> list[tuple[int, int, str]]:
@@ -202,9 +240,9 @@ def build_trees(docs: DataFrame, ranks_path: str, edits_of=None, key: str = "doc
 def apply_edits(rows: DataFrame, ranks_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Counts of each row of ``build_trees`` after its ``edits``.
 
-    Edits are of the text as it is stored; they are applied from the last to
-    the first, so that offsets stay true.  Overlaps are clipped (``disjoint``);
-    null edits are none.  Returns the new text, the new tree, tokens before
+    Edits are of the text as it is stored.  Overlaps are clipped (``disjoint``);
+    null edits are none; repeated rows give repeated rows; other columns are
+    ignored.  Returns the new text, the new tree, tokens before
     and after, the number of edits and of characters encoded anew."""
     shared = rows.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     kept = rows.select(F.col(key).alias("_key"), F.col(text).alias("_text"), "chars", "tokens", "segments", "edits")
@@ -213,20 +251,18 @@ def apply_edits(rows: DataFrame, ranks_path: str, key: str = "doc_id", text: str
         counter = Counter(shared.value)
         for batch in batches:
             for part in slices(batch, "_text"):
-                out = {k: [] for k in ("text", "chars", "tokens", "before", "after", "edits", "anew")}
+                out = {k: [] for k in ("text", "chars", "tokens", "segments", "before", "after", "edits", "anew")}
                 for body, chars, tokens, n, edits in zip(*(part.column(i).to_pylist() for i in range(1, 6))):
-                    tree, anew = Tree(chars, tokens, n), 0
+                    tree = Tree(chars, tokens, n)
                     out["before"].append(tree.total())
                     todo = disjoint([(e["start"], e["end"], e["by"]) for e in edits or [] if e is not None], len(body))
-                    for start, end, by in reversed(todo):
-                        body, size = counter.edit(body, tree, start, end, by)
-                        anew += size
-                    for name, value in (("text", body), ("chars", tree.chars), ("tokens", tree.tokens), ("after", tree.total()),
+                    body, anew = counter.edit_all(body, tree, todo)
+                    for name, value in (("text", body), ("chars", tree.chars), ("tokens", tree.tokens), ("segments", tree.n), ("after", tree.total()),
                                         ("edits", len(todo)), ("anew", anew)):
                         out[name].append(value)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(out["text"], pa.string()), pa.array(out["chars"], pa.list_(pa.int32())),
-                     pa.array(out["tokens"], pa.list_(pa.int32())), part.column(4), pa.array(out["before"], pa.int64()),
+                     pa.array(out["tokens"], pa.list_(pa.int32())), pa.array(out["segments"], pa.int32()), pa.array(out["before"], pa.int64()),
                      pa.array(out["after"], pa.int64()), pa.array(out["edits"], pa.int64()), pa.array(out["anew"], pa.int64())],
                     names=[key, text, "chars", "tokens", "segments", "n_tokens_before", "n_tokens", "n_edits", "n_chars_anew"])
 

@@ -1,4 +1,5 @@
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -76,3 +77,37 @@ def test_stored_trees_take_any_edits(spark, counter):
             new = new[:a] + by + new[b:]
         assert got[d]["text"] == new and got[d]["n_tokens"] == full(counter, new)
     assert got[3]["text"] == text and got[3]["n_edits"] == 0 and got[3]["n_tokens"] == got[3]["n_tokens_before"]
+
+
+def test_dense_edits_are_linear(counter):
+    """A contact list: a thousand edits in 60 KB, each line masked."""
+    r = random.Random(4)
+    text = "\n".join(f"Person {i} writes from name{i}.{r.randrange(999)}@mail{i % 7}.example.org today" for i in range(1000))
+    todo = et.redactions(text)
+    assert len(todo) == 1000
+    tree = counter.tree(text)
+    began = time.process_time()
+    new, anew = counter.edit_all(text, tree, todo)
+    assert time.process_time() - began < 0.5
+    assert tree.total() == full(counter, new) and anew <= len(new)
+    assert max(tree.leaves()[0]) < 40 * et.SEGMENT and sum(tree.leaves()[0]) == len(new)
+    # again and again: segments keep their size
+    for _ in range(3):
+        at = sorted(r.sample(range(len(new)), 200))
+        new, _ = counter.edit_all(new, tree, et.disjoint([(a, a + r.randrange(3), r.choice(["", "x", " y ", "\n"])) for a in at], len(new)))
+        assert tree.total() == full(counter, new)
+        assert max(tree.leaves()[0]) < 40 * et.SEGMENT
+
+
+def test_many_edits_at_once_equal_encoding_again(counter):
+    r = random.Random(8)
+    letters = "ab  c\n1'sé.,\t"
+    for _ in range(300):
+        text = "".join(r.choice(letters) for _ in range(r.randrange(400)))
+        tree = counter.tree(text)
+        for _ in range(3):
+            places = [r.randrange(len(text) + 1) for _ in range(r.randrange(12))]
+            todo = et.disjoint([(a, a + r.randrange(6), "".join(r.choice(letters) for _ in range(r.randrange(5)))) for a in places], len(text))
+            text, _ = counter.edit_all(text, tree, todo)
+            assert tree.total() == full(counter, text)
+            assert sum(tree.leaves()[0]) == len(text)
