@@ -29,10 +29,23 @@ def hash60(*columns: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("\x01", *texts)), 1, 15), 16, 10).cast("long")
 
 
+def _lowest(hist: DataFrame, top: int, depth: int, limit: int) -> int:
+    """The fewest bits with which some prefix fits: sums of siblings, from ``depth``
+    bits up to where none is within the limit.  So no prefix of so few bits that all
+    rows share it is ever a key, unless they fit it."""
+    level = hist.select(F.col("p").alias("prefix"), "bytes")
+    while depth > top:
+        level = materialise(level.groupBy(F.shiftright("prefix", 1).alias("prefix")).agg(F.sum("bytes").alias("bytes")), "shard-level")
+        if level.where(F.col("bytes") <= limit).isEmpty():
+            break
+        depth -= 1
+    return depth
+
+
 def _settle(hist: DataFrame, top: int, depth: int, limit: int) -> DataFrame:
     """Directory of all prefixes of ``depth`` bits: the fewest bits, from ``top``
     on, with which the bytes fit (null: not even with all)."""
-    levels = (hist.select("p", "bytes", F.explode(F.sequence(F.lit(top), F.lit(depth))).alias("depth"))
+    levels = (hist.select("p", "bytes", F.explode(F.sequence(F.lit(_lowest(hist, top, depth, limit)), F.lit(depth))).alias("depth"))
               .withColumn("prefix", F.expr(f"shiftright(p, {depth} - depth)")))
     fits = levels.groupBy("depth", "prefix").agg(F.sum("bytes").alias("shard_bytes")).where(F.col("shard_bytes") <= limit)
     best = (levels.join(fits, ["depth", "prefix"])
