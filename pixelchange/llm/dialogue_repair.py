@@ -291,8 +291,9 @@ def repair(rows: DataFrame) -> DataFrame:
     seen = F.row_number().over(Window.partitionBy("conv_id", "digest", "gone").orderBy(F.asc_nulls_first("turn"))) > 1
     fault = F.when(F.col("blank"), 1).when(F.col("seen"), 2).when(F.col("cut"), 3).otherwise(0)
     symbol = F.when(F.col("gone"), 0).otherwise(F.col("kind") * 4 + fault + FIRST)
-    signed = (narrow.withColumn("seen", seen).select("conv_id", "turn", "digest", symbol.alias("symbol"))
-              .sortWithinPartitions("conv_id", F.asc_nulls_first("turn"), "digest")
+    # of equal rows of one turn the first is the one that was not seen earlier
+    signed = (narrow.withColumn("seen", seen).select("conv_id", "turn", "digest", "seen", symbol.alias("symbol"))
+              .sortWithinPartitions("conv_id", F.asc_nulls_first("turn"), "digest", "seen")
               .select("conv_id", "turn", "symbol")
               .mapInArrow(sign, f"conv_id {conv}, {SIGNED}"))
     both = signed.withColumn("is_row", F.lit(False)).unionByName(
@@ -304,3 +305,68 @@ def repair(rows: DataFrame) -> DataFrame:
 
 def op12_dialogue_repair(conversations: DataFrame) -> DataFrame:
     return repair(damage(conversations))
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit: a character is put in, then eight shifts."""
+    steps = ", ".join(["-1"] * 8)
+    each = f"flatten([[CAST(ascii(x) AS BIGINT), {steps}] FOR x IN string_split({text}, '')])"
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], {each}), "
+            "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384::BIGINT * (c & 1)) END), 4294967295::BIGINT)")
+
+
+def repair_sql() -> str:
+    """DuckDB SQL for the query's rows: the repaired sequence row by row, with the best
+    (cost, audit, text) for each state of the role order."""
+    blank = r"[\x20\x09-\x0D]"
+    said = lambda c: f"coalesce(CAST({c} AS VARCHAR), ' ')"
+    best = lambda options: f"list_min([x FOR x IN [{', '.join(options)}] IF x IS NOT NULL])"
+    states = range(4)
+    # the first edits: insertions alone
+    start = ["{'c': 0, 'a': '', 't': ''}", "NULL", "{'c': 5, 'a': 'I', 't': 'user:'}", "{'c': 10, 'a': 'II', 't': 'user:' || chr(10) || 'assistant:'}"]
+
+    def put(s: int, cost: str, edit: str, line: str) -> str:
+        glue = f"CASE WHEN b{s}.t = '' THEN '' ELSE b{s}.t || chr(10) END"
+        return f"CASE WHEN b{s} IS NOT NULL AND {{when}} THEN {{{{'c': b{s}.c + {cost}, 'a': b{s}.a || '{edit}', 't': {glue} || {line}}}}} END"
+
+    moves = {q: [f"CASE WHEN b{q} IS NOT NULL THEN {{'c': b{q}.c + 2, 'a': b{q}.a || 'D', 't': b{q}.t}} END"] for q in states}
+    for kind, name in (("s", "system"), ("u", "user"), ("a", "assistant")):
+        for p, q in STEPS[kind]:
+            moves[q].append(put(p, "extra", "K", "role || ':' || body").format(when=f"usable AND kind = '{kind}'"))
+            if kind != "s":
+                moves[q].append(put(p, "extra + 1", "R", f"'{name}:' || body").format(when="usable"))
+    stepped = ", ".join(f"{best(moves[q])} AS m{q}" for q in states)
+
+    def insert(s: int, line: str, twice: bool = False) -> str:
+        lines = f"'{line}:'" if not twice else f"'{line}:' || chr(10) || '{'assistant' if line == 'user' else 'user'}:'"
+        glue = f"CASE WHEN m{s}.t = '' THEN '' ELSE m{s}.t || chr(10) END"
+        return f"CASE WHEN m{s} IS NOT NULL THEN {{'c': m{s}.c + {10 if twice else 5}, 'a': m{s}.a || '{'II' if twice else 'I'}', 't': {glue} || {lines}}} END"
+
+    closed = {0: ["m0"], 1: ["m1"], 2: ["m2", *[insert(s, "user") for s in (0, 1, 3)]],
+              3: ["m3", insert(2, "assistant"), *[insert(s, "user", True) for s in (0, 1)]]}
+    after = ", ".join(f"{best(closed[q])} AS n{q}" for q in states)
+    return f"""
+    WITH RECURSIVE drawn AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, {said('role')} AS role, {said('text')} AS body,
+                            {_crc32_sql(f"({said('conv_id')} || ':' || {said('turn')})")} % 20 AS draw FROM conversations),
+    damaged AS (SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+                       CASE draw WHEN 1 THEN '' WHEN 2 THEN translate(body, '.!?', '') ELSE body END AS body
+                FROM drawn, (SELECT range AS copy FROM range(0, 2)) r WHERE draw <> 0 AND (copy = 0 OR draw = 3)),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || body)) AS n,
+                      regexp_replace(body, '{blank}+$', '') AS bare FROM damaged),
+    counted AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, body ORDER BY n) AS again FROM placed),
+    judged AS (SELECT *, CASE WHEN substr(role, 1, 1) IN ('s', 'u', 'a') THEN substr(role, 1, 1) ELSE 'o' END AS kind,
+                      CASE WHEN bare = '' THEN 'blank' WHEN again > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM counted),
+    edited AS MATERIALIZED (SELECT conv_id, n, role, body, kind, fault IN ('', 'truncated') AS usable, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS extra FROM judged),
+    walk AS (SELECT conv_id, 0 AS n, {', '.join(f"{x} AS b{i}" for i, x in enumerate(x if x != 'NULL' else "CAST(NULL AS STRUCT(c INTEGER, a VARCHAR, t VARCHAR))" for x in start))}
+             FROM (SELECT DISTINCT conv_id FROM conversations) c
+             UNION ALL
+             SELECT conv_id, n, {after.replace(' AS n', ' AS b')} FROM (
+               SELECT w.conv_id, e.n, {stepped} FROM walk w JOIN edited e ON w.conv_id IS NOT DISTINCT FROM e.conv_id AND e.n = w.n + 1) s),
+    ended AS (SELECT conv_id, {best(['b0', 'b3'])} AS won FROM walk QUALIFY n = max(n) OVER (PARTITION BY conv_id)),
+    faults AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+                      count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+                      count(*) FILTER (WHERE before IS NOT NULL AND before || kind NOT IN ('su', 'ua', 'au')) AS illegal
+               FROM (SELECT *, lag(kind) OVER (PARTITION BY conv_id ORDER BY n) AS before FROM judged) j GROUP BY conv_id)
+    SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, CAST(won.c AS BIGINT) AS cost, won.a AS audit, sha256(won.t) AS repaired_sha256
+    FROM ended e LEFT JOIN faults f ON e.conv_id IS NOT DISTINCT FROM f.conv_id"""

@@ -98,5 +98,6 @@ ORACLE: dict[str, str] = {
     "op9_extendible_shards": shards.shard_sql(),
     "op10_license_scan": licences.scan_sql(),
     "op11_norm_search": norm_search.search_sql(),
+    "op12_dialogue_repair": dialogue_repair.repair_sql(),
     "op13_lexical_rank": lexical_rank.search_sql(),
 }

@@ -6,10 +6,11 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
 
 from pixelchange.llm import dialogue_repair as dr
-from pixelchange.llm.queries import QUERIES
+from pixelchange.llm.queries import ORACLE, QUERIES
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import table, write
 
@@ -175,3 +176,20 @@ def test_extra_columns_with_clashing_names(spark, tmp_root):
     df = table(spark, rows, SCHEMA + ", cost int, digest string").selectExpr("*", "1 AS is_row", "2 AS gone", "3 AS draw", "4 AS symbol")
     path = write(spark, tmp_root, conversations=df)
     assert found(QUERIES["op12_dialogue_repair"](spark, path)) == expected([r[:4] for r in rows])
+
+
+@pytest.mark.parametrize("given", [True, False])
+def test_sql(given, tmp_path):
+    """The query's SQL against the search over edit scripts, on the given and on odd rows."""
+    con = duckdb.connect()
+    if given:
+        con.execute(f"CREATE TABLE conversations AS SELECT conv_id, turn, role, text FROM read_parquet('{SF_SMALL}/conversations.parquet')")
+    else:
+        r = random.Random(6)
+        con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+        rows = [(None, None, None, None), (None, 3, "user", "a."), (1, None, "user", "x."), (1, 5, "", " "), (2, 9, "system", "s?"), (2, 9, "system", "s?")]
+        rows += [(c, i, r.choice(["user", "assistant", "system", "tool", None]), r.choice(["a.", "b!", "c", "", "d? \n", f"e{i}."])) for c in range(10, 90) for i in range(12)]
+        con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    rows = con.execute("SELECT conv_id, turn, role, text FROM conversations").fetchall()
+    out = con.execute(f"SELECT conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 FROM ({ORACLE['op12_dialogue_repair']}) q").fetchall()
+    assert {r[0]: r[1:] for r in out} == expected(rows)
