@@ -47,8 +47,10 @@ TREND = D.DetectParams(bands=["greens"], detection_bands=["greens"], qa=None, th
                        peek=3, min_obs=12, terms=2, variogram_floor=False, min_years=0.0, refine=0)
 
 
+# Errors within which a window is stable (q44, q45): strict, as the lines have no seasons.
+STRICT = 0.6
 # All parts of the detector on three bands: chi-square 0.99 of 3 degrees of freedom.
-COMPLETE = D.complete_params(bands=["greens", "nirs", "swir1s"], detection_bands=["greens", "nirs", "swir1s"], threshold=11.345)
+COMPLETE = D.complete_params(bands=["greens", "nirs", "swir1s"], detection_bands=["greens", "nirs", "swir1s"], threshold=11.345, stable_sigma=STRICT)
 # Weight of the Lasso's penalty, per observation (q43).
 LASSO = 50.0
 
@@ -554,7 +556,7 @@ def q43_model_order(spark, sf):
 
 def q44_stable_start(spark, sf):
     """The first stable window of each pixel."""
-    p = D.DetectParams(stable=True)
+    p = D.DetectParams(stable=True, stable_sigma=STRICT)
     checkpoint_dir(spark)
     prepared = D.materialise(D.prepare(_obs(spark, sf), p, D.PID))
     pixel = prepared.where("n = 1").select("pid", "px", "py")

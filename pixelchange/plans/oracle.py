@@ -237,7 +237,7 @@ SELECT px, py, nfit AS n, CAST(ord AS BIGINT) AS "order", {', '.join(f'{R(f"b{i}
 
 
 def _q44():
-    p = DetectParams(stable=True)
+    p = DetectParams(stable=True, stable_sigma=C.STRICT)
     xs = ", ".join(f"{x} AS x{i}" for i, x in enumerate(REGRESSORS[:4]))
     steps = ", ".join(f"abs({b} - lag({b}) OVER (PARTITION BY px, py ORDER BY t)) AS {b}" for b in p.detection_bands)
     vario = ", ".join(f"coalesce(median({b}), 0.0) AS vario_{b}" for b in p.detection_bands)
