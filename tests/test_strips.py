@@ -82,7 +82,7 @@ def test_one_exchange_from_chip_files_to_segments(spark, chip_files, monkeypatch
     by = {(r.cx, r.bday): r["count"] for r in seg.groupBy("cx", "bday").count().collect()}
     changed = datetime.date.fromordinal(int(days[STEP_AT])).isoformat()
     last = datetime.date.fromordinal(int(days[-1])).isoformat()
-    assert by[CX, changed] > 9_000 and by.get((CX + 3000, changed), 0) == 0 and by[CX + 3000, last] > 9_000
+    assert by[CX, changed] > 9_000 and by.get((CX + 3000, changed), 0) < 50 and by[CX + 3000, last] > 9_000
     assert seg.select("px", "py").distinct().count() == 20_000
     assert T.scan_table(spark, tmp_root, "pixel").count() == 20_000
     assert T.scan_table(spark, tmp_root, "chip").count() == 2
