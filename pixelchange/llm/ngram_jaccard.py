@@ -390,3 +390,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def op1_ngram_jaccard(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs)
+
+
+def links_sql() -> str:
+    """DuckDB SQL over all pairs that share a shingle; components by reachability."""
+    return rf"""
+    WITH RECURSIVE docs AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    grams AS (SELECT DISTINCT row, unnest([array_to_string(w[i:i + {SHINGLE - 1}], ' ') FOR i IN range(1, greatest(len(w) - {SHINGLE - 1}, 1) + 1)]) AS gram
+              FROM docs WHERE len(w) > 0 AND doc_id IS NOT NULL),
+    sizes AS (SELECT row, count(*) AS n FROM grams GROUP BY row),
+    shared AS MATERIALIZED (SELECT a.row AS a, b.row AS b, count(*) AS common FROM grams a JOIN grams b ON a.gram = b.gram AND a.row <> b.row GROUP BY ALL),
+    links AS MATERIALIZED (SELECT a, b FROM shared JOIN sizes x ON x.row = a JOIN sizes y ON y.row = b WHERE 10 * common >= {TENTHS} * (x.n + y.n - common)),
+    reach(a, b) AS (SELECT row, row FROM docs UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+    least AS (SELECT r.a AS row, min(d.doc_id) AS class_id FROM reach r JOIN docs d ON d.row = r.b GROUP BY r.a),
+    counts AS (SELECT a AS row, count(*) AS n_links FROM links GROUP BY a)
+    SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links FROM docs JOIN least USING (row) LEFT JOIN counts USING (row)"""

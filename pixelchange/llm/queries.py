@@ -93,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_ngram_jaccard": ngram_jaccard.links_sql(),
     "op3_relative_lz": relative_lz.removal_sql(),
     "op8_warc": warc.WARC_SQL,
     "op9_extendible_shards": shards.shard_sql(),

@@ -1,5 +1,6 @@
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -110,3 +111,14 @@ def test_components(spark, edges):
         for a, b in edges:
             label[a] = label[b] = min(label[a], label[b])
     assert got == label
+
+
+def test_sql_of_the_query(spark, tmp_root):
+    base = prose(12, 40)
+    docs = [(i, " ".join(edited(base, i % 3, i))) for i in range(12)] + [(20, ""), (21, None), (22, "a b"), (23, "a b"), (24, "a b c d e")]
+    df = table(spark, docs)
+    con = duckdb.connect()
+    df.write.parquet(f"{tmp_root}/documents.parquet")
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_root}/documents.parquet/*.parquet')")
+    got = con.execute(f"SELECT doc_id, class_id, n_links FROM ({nj.links_sql()}) q").fetchall()
+    assert sorted((d is None, d, c, n) for d, c, n in got) == expected(docs)
