@@ -25,6 +25,8 @@ PIXEL_TABLE = "pixel"
 SEGMENT_TABLE = "segment"
 TILE_TABLE = "tile"
 DETECTION_TABLE = "data"
+# Auxiliary series of a namespace (not a table of the keyed store).
+AUX_TABLE = "aux"
 
 # Primary keys of the stored tables.
 CHIP_KEY = ["cx", "cy"]

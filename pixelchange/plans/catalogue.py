@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DoubleType, FloatType, IntegerType, LongType,
                                ShortType)
 
-from ..config import BAND_PREFIX, CHIP_SHAPE, PIXEL_TABLE
+from ..config import BAND_PREFIX, CHIP_SHAPE, PIXEL_TABLE, TILE_GRID
 from ..functions import grid
 from ..functions.dates import date_to_ordinal, ordinal_to_date, ordinal_to_iso
-from ..functions.names import namespace_column
+from ..functions.names import namespace_column, namespace_name
 from ..operators import detect as D
 from ..operators import features as FT
 from ..operators import fit as fitmod
@@ -26,7 +26,7 @@ from ..operators import forest as RF
 from ..operators import segments as SG
 from ..operators import series as SR
 from ..session import checkpoint_dir, scratch_path
-from ..sources import rasters, standins
+from ..sources import namespaces, rasters, standins
 from ..sources import tables as T
 from . import jobs
 
@@ -573,5 +573,57 @@ def q45_complete_detector(spark, sf):
                             F.round("b_greens_0", 1).alias("int_greens")))
 
 
+# ---------------------------------------------------------------------------
+# Store and catalogue
+# ---------------------------------------------------------------------------
+
+def _namespace(spark, version):
+    """A namespace of its own, with its tables in the shared folder."""
+    place = scratch_path(spark, "namespace")
+    name = namespace_name(spark, "http://host/" + place.rsplit("-", 1)[1], "http://host/aux", version)
+    return namespaces.create(spark, name, place)
+
+
+def _buckets(spark):
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def q46_namespace_tables(spark, sf):
+    """One table name in two namespaces; the second one is stored, replaced and published."""
+    root, one, two = scratch_path(spark, "store"), _namespace(spark, "1.0"), _namespace(spark, "2.0")
+    spans = _spans(spark, sf)
+    slot = F.expr(f"(px + {int(TILE_GRID['tx'])}) div {standins.PIXEL_SIZE} % 4")
+    cols = [c for c in T.SCHEMAS["segment"]().fieldNames() if c not in spans.columns]
+    rows = spans.select("*", *[F.lit(None).cast(T.SCHEMAS["segment"]()[c].dataType).alias(c) for c in cols])
+    namespaces.save(spans, one, "segment", _buckets(spark))
+    T.write_segment(rows.where(slot != 0), root)
+    T.write_segment(rows.withColumn("curqa", F.lit(8)).where(slot != 1), root)
+    T.compact(spark, root, "segment")
+    T.write_segment(rows.withColumn("curqa", F.lit(14)).where(slot == 2), root, replace_chips=True)
+    namespaces.publish(spark, root, two, "segment", _buckets(spark))
+    at = lambda name, version: namespaces.read(spark, name, "segment").select(F.lit(version).alias("version"), *FT.FEATURE_KEYS)
+    qa = namespaces.read(spark, two, "segment").select(*FT.FEATURE_KEYS, "curqa")
+    return _norm(at(one, "1.0").unionByName(at(two, "2.0")).join(qa, FT.FEATURE_KEYS, "left"))
+
+
+def q47_joins_in_place(spark, sf):
+    """J6, J7 on bucketed tables: features and predictions meet the segments without a shuffle."""
+    name = _namespace(spark, "1.0")
+    spans = namespaces.save(_spans(spark, sf).withColumn("rfrawp", F.lit(None).cast("array<float>")), name, "segment", _buckets(spark))
+    aux = namespaces.save(standins.aux_layers(spark, sf), name, "aux", _buckets(spark))
+    given = namespaces.join_in_place(spans.drop("rfrawp"), aux.select(*D.PIXEL, "aspect", "dem")).select(
+        *FT.FEATURE_KEYS, F.array(F.get("aspect", 0).cast("float"), F.get("dem", 0)).alias("rfrawp"))
+    preds = namespaces.save(given, name, "prediction", _buckets(spark), D.PIXEL)
+    return _norm(_in_place(spans, aux, preds))
+
+
+def _in_place(spans, aux, preds):
+    done = namespaces.join_in_place(spans.drop("rfrawp"), preds, also=("sday", "eday"))
+    j = FT.dependent(namespaces.join_in_place(aux, done))
+    first = lambda c: F.round(F.get(F.col(c), 0).cast("double"), 4).alias(c)
+    return j.select(*FT.FEATURE_KEYS, "label", first("slope"), first("mpw"),
+                    *[F.round(F.col("rfrawp")[i].cast("double"), 2).alias(f"r{i}") for i in range(2)])
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items())
            if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}

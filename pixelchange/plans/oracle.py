@@ -438,6 +438,18 @@ FROM (SELECT *, p_partkey % 7 > 0 AS has FROM partpix) p""",
     "q44_stable_start": _q44(),
     "q45_complete_detector": _q45(),
 
+    "q46_namespace_tables": _with(OBS, SPANS) + """, slots AS (SELECT *, (px + 2565585) // 30 % 4 AS slot FROM spans),
+two AS (SELECT cx, cy, px, py, sday, eday, CASE slot WHEN 2 THEN 14 WHEN 1 THEN NULL ELSE 8 END AS curqa FROM slots s
+        WHERE slot = 2 OR (cx, cy) NOT IN (SELECT (cx, cy) FROM slots WHERE slot = 2))
+SELECT '1.0' AS version, cx, cy, px, py, sday, eday, CAST(curqa AS BIGINT) AS curqa
+FROM spans LEFT JOIN two USING (cx, cy, px, py, sday, eday)
+UNION ALL SELECT '2.0', cx, cy, px, py, sday, eday, CAST(curqa AS BIGINT) FROM two""",
+
+    "q47_joins_in_place": _with(OBS, SPANS, PARTPIX) + f"""SELECT cx, cy, px, py, sday, eday, CAST(p_size % 10 AS BIGINT) AS label,
+       {R(F32('p_partkey % 45'), 4)} AS slope, {R('CAST(p_size % 2 AS DOUBLE)', 4)} AS mpw,
+       {R(F32('p_size'), 2)} AS r0, {R(F32('p_retailprice'), 2)} AS r1
+FROM spans JOIN partpix USING (cx, cy, px, py)""",
+
     "q41_detection_round_trip": _with(OBS, PTS, TILES) + f"""SELECT cx, cy, string_agg({ISO('t')}, ',' ORDER BY t) AS dates
 FROM (SELECT DISTINCT cx, cy, o.t FROM obs o JOIN tiles ON {TX('o.cx')} = tx AND {TY('o.cy')} = ty) d GROUP BY cx, cy""",
 }
