@@ -154,12 +154,7 @@ def classification(spark: SparkSession, x: float, y: float, msday: int, meday: i
     model = training(train_aux, root, msday, meday, num_trees, acquired=acquired)
     if model is None:
         return None
-    ids = tile_chips(spark, x, y)
-    segs = SG.filter_detected(T.read_segment(spark, root, ids))
-    preds = RF.dedensify(RF.classify(model, FT.features(_aux_acquired(_restrict(aux, ids), acquired), segs)))
-    # materialise before the upsert replaces the files ``segs`` reads
-    out = SG.join_predictions(segs, preds).checkpoint(eager=True)
-    T.write_segment(out, root)
+    out = _classify_tile(spark, x, y, model, _aux_acquired(aux, acquired), root)
     tile = grid.tile(pt).select("tx", "ty").first()
     path = model_path or f"{root.rstrip('/')}/models/{tile.tx}_{tile.ty}"
     RF.save_model(model, path)
@@ -167,6 +162,29 @@ def classification(spark: SparkSession, x: float, y: float, msday: int, meday: i
     return out
 
 
+def _classify_tile(spark: SparkSession, x: float, y: float, model, aux: DataFrame, root: str) -> DataFrame:
+    """Votes of a model for all detected segments of a tile, written to the store."""
+    ids = tile_chips(spark, x, y)
+    segs = SG.filter_detected(T.read_segment(spark, root, ids))
+    preds = RF.dedensify(RF.classify(model, FT.features(_restrict(aux, ids), segs)))
+    # written and returned: computed once
+    out = SG.join_predictions(segs, preds).checkpoint(eager=True)
+    T.write_segment(out, root)
+    return out
+
+
+def classify_stored(spark: SparkSession, x: float, y: float, aux: DataFrame, root: str,
+                    acquired: str | None = None) -> DataFrame | None:
+    """E4 without training: classify the tile's segments with the model that its tile
+    record names (S17), as after a new detection.  None if no model is recorded."""
+    pt = spark.createDataFrame([(float(x), float(y))], "x double, y double")
+    record = T.read_tile(spark, root, grid.tile(pt).select("tx", "ty")).first()
+    if record is None or not record["model"]:
+        return None
+    checkpoint_dir(spark)
+    return _classify_tile(spark, x, y, RF.load_model(record["model"]), _aux_acquired(aux, acquired), root)
+
+
 def tile_metadata(spark: SparkSession, root: str, tx: int, ty: int, msday: int, meday: int,
                   model: str, name: str = "random-forest", aux_source: str | None = None,
                   classes: list | None = None) -> DataFrame:
@@ -192,5 +210,5 @@ def tile_metadata(spark: SparkSession, root: str, tx: int, ty: int, msday: int,
     return T.write_tile(row, root)
 
 
-__all__ = ["detect_batch", "detect_chips", "aux_for_chips", "change_detection", "training", "classification", "tile_metadata",
+__all__ = ["detect_batch", "detect_chips", "aux_for_chips", "change_detection", "training", "classification", "classify_stored", "tile_metadata",
            "take_chips", "chunk_chips", "date_to_ordinal"]

@@ -78,6 +78,13 @@ def test_classification_job(spark, tmp_root):
     slots = {len(r["rfrawp"]) for r in out.select("rfrawp").collect()}
     assert slots <= {len(RF.labels(model)) + 1}
     assert all(abs(sum(r["rfrawp"]) - 5) < 1e-3 for r in out.select("rfrawp").collect())
+    # segments written anew have no votes; the stored model gives the same ones again
+    votes = {tuple(r[c] for c in RF.FEATURE_KEYS): r["rfrawp"] for r in out.collect()}
+    T.write_segment(out.withColumn("rfrawp", F.lit(None).cast("array<float>")), tmp_root)
+    again = jobs.classify_stored(spark, pt.x, pt.y, aux, tmp_root)
+    assert {tuple(r[c] for c in RF.FEATURE_KEYS): r["rfrawp"] for r in again.collect()} == votes
+    assert T.scan_table(spark, tmp_root, "segment").where("rfrawp IS NOT NULL").count() == len(votes) > 0
+    assert jobs.classify_stored(spark, pt.x + 150000, pt.y, aux, tmp_root) is None
     assert jobs.classification(spark, pt.x, pt.y, 700000, 740000, aux, tmp_root, num_trees=5, acquired="1980-01-01/1981-01-01") is None
 
 
