@@ -28,6 +28,12 @@ def test_q38_has_the_chip_of_each_customer_and_the_day_of_each_order(spark):
     assert len(got) == len(cells) and len({(c[0], c[1]) for c in want}) > 25
 
 
+def test_q39_has_the_chip_of_each_part(spark):
+    want = {tuple(r) for r in standins.table(spark, SF_SMALL, "part").select(*standins.pixel_keys("p_partkey")[:2]).collect()}
+    got = C.q39_raster_aux(spark, SF_SMALL)
+    assert {(r.cx, r.cy) for r in got.collect()} == want and len(want) > 25
+
+
 def test_pixels_without_data_can_be_left_out_of_a_series(spark):
     """As all pixels of whole chips, without those that hold the filler on every day."""
     rng = np.random.default_rng(5)
