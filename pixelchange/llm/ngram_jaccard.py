@@ -19,6 +19,11 @@ smaller is split no further and stands once for all runs and paths that find it;
 compared in blocks of ``BLOCK`` by ``BLOCK``.  Its rows are dealt once a block, its
 comparisons (all pairs of different texts, of which none may be lost) grow with
 the square of the group.
+
+Sketches and texts are the wide columns, and few classes meet any other: before a join
+that brings them, a bit map of the keys that are asked for (``_likely``) keeps the rest
+from the shuffle.  Sketches are stored by byte, the low bytes of all coordinates first:
+these alone rule out pairs.  The join that follows is the one that decides.
 """
 
 from __future__ import annotations
@@ -44,6 +49,9 @@ BLOCK = 1024
 KEPT = 0.5                  # a bucket with this share of the one above it is dense
 MARGIN = 0.25               # four standard errors of a sketch's estimate
 PAIRS = 200_000             # pairs that a task compares at once
+KEY_BITS = 16               # bits a key of ``_likely``: a row in sixteen of the others passes
+MOST_BITS = 1 << 25         # bits of all keys (4 MiB); beyond, more of the others pass
+MAP_BITS = 1 << 15          # bits of a row of them: what ``bitmap_construct_agg`` makes
 
 
 def runs_for(recall: float, similarity: float = TENTHS / 10) -> int:
@@ -110,14 +118,24 @@ def _sign(batches):
             value, at = shingle_sets(strings(part.column(1)))
             rows = sketches(value, at)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(_names(value, at), pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())],
+                [part.column(0), pa.array(_names(value, at), pa.int64()), pa.array([r.tobytes() for r in _planes(rows)], pa.binary())],
                 names=["doc_id", "rep", "sketch"])
 
 
+def _planes(sketch: np.ndarray) -> np.ndarray:
+    """Sketches by byte: the low bytes of all coordinates, then the next ones."""
+    return np.ascontiguousarray(sketch).view(np.uint8).reshape(len(sketch), COORDINATES, 4).transpose(0, 2, 1).reshape(len(sketch), -1)
+
+
 def _matrix(column, kind, width) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
 
 
+def _sketches_of(column) -> np.ndarray:
+    planes = _matrix(column, np.uint8, 4 * COORDINATES).reshape(-1, 4, COORDINATES)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint32).reshape(-1, COORDINATES)
+
+
 def _children(path: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets below each row's path: row number and new path."""
     with np.errstate(over="ignore"):
@@ -132,7 +150,7 @@ def _children(path: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndar
 def _roots(batches):
     runs = runs_for(RECALL)
     for batch in batches:
-        sketch = _matrix(batch.column(1), np.uint32, COORDINATES)
+        sketch = _sketches_of(batch.column(1))
         for run in range(runs):
             row, path = _children(np.full(len(sketch), mix(np.array([run + 1], np.uint64))[0]), sketch)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(path.view(np.int64))], names=["rep", "path"])
@@ -140,11 +158,24 @@ def _roots(batches):
 
 def _split(batches):
     for batch in batches:
-        row, path = _children(batch.column(1).to_numpy().view(np.uint64), _matrix(batch.column(2), np.uint32, COORDINATES))
+        row, path = _children(batch.column(1).to_numpy().view(np.uint64), _sketches_of(batch.column(2)))
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(path.view(np.int64)), batch.column(3).take(pa.array(row))],
                                          names=["rep", "path", "above"])
 
 
+def _likely(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows whose ``column`` is among the ``keys`` (one column, not null, no rows twice), and
+    few others: those whose hash has a bit of the keys' map, which is broadcast."""
+    bits = min(MOST_BITS, max(MAP_BITS, 1 << (KEY_BITS * keys.count()).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c, F.lit(11)), F.lit(bits))
+    part, bit = F.floor(F.col("_at") / MAP_BITS), F.col("_at") % MAP_BITS
+    maps = (keys.select(place(F.col(keys.columns[0])).alias("_at")).groupBy(part.alias("_part"))
+            .agg(F.bitmap_construct_agg(bit).alias("_map")))
+    byte = F.conv(F.hex(F.expr(f"substring(_map, cast(_at % {MAP_BITS} div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return (rows.withColumn("_at", place(F.col(column))).withColumn("_part", part).join(F.broadcast(maps), "_part")
+            .where(byte.bitwiseAND(F.expr("shiftleft(1, cast(_at % 8 as int))")) > 0).select(*rows.columns))
+
+
 def leaves(classes: DataFrame) -> DataFrame:
     """Buckets to compare, of all runs: ``rep``, ``path``, ``size`` (2 at least).
 
@@ -166,7 +197,8 @@ def leaves(classes: DataFrame) -> DataFrame:
         split = sized.where(large & ~F.col("kept"))
         if depth == DEPTH or split.isEmpty():
             break
-        level = (split.select("rep", "path", "size").join(classes.select("rep", "sketch"), "rep")
+        drawn = _likely(classes.select("rep", "sketch"), "rep", split.select("rep").distinct())
+        level = (split.select("rep", "path", "size").join(drawn, "rep")
                  .select("rep", "path", "sketch", "size").mapInArrow(_split, "rep long, path long, above long"))
     out = small[0]
     for more in small[1:] + dense:
@@ -252,7 +284,7 @@ def _plausible(batches):
         n = t.num_rows
         if n < 2:
             continue
-        sketch = _matrix(t.column("sketch"), np.uint32, COORDINATES)
+        sketch = _matrix(t.column("low"), np.uint8, COORDINATES)
         met = _met_before([np.asarray(p.values) for p in t.column("paths")], t.column("path")[0].as_py())
         wanted = np.zeros(n, bool)
         for i, j in _pairs(t.column("side").to_numpy(), t.column("a")[0] != t.column("b")[0]):
@@ -355,6 +387,12 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             return labels
 
 
+def wanted_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``first_doc`` and ``text`` of the documents to compare, and few others."""
+    bodies = texts.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("first_doc"), F.col("_text").alias("text"))
+    return _likely(bodies, "first_doc", wanted.select("first_doc").distinct())
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``class_id`` and ``n_links`` of each row.
 
@@ -369,14 +407,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = materialise(signed.where("doc_id IS NOT NULL AND rep IS NOT NULL").groupBy("rep").agg(
         F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("n_docs"), F.first("sketch").alias("sketch")), "join-classes")
     small = materialise(leaves(classes), "join-leaves")
-    paths = small.groupBy("rep").agg(F.sort_array(F.collect_list("path")).alias("paths"))     # a few a run
-    facts = paths.join(classes, "rep")
-    dealt = _blocks(small).join(facts, "rep").select("rep", "path", "a", "b", "side", "first_doc", "n_docs", "paths", "sketch")
+    paths = materialise(small.groupBy("rep").agg(F.sort_array(F.collect_list("path")).alias("paths")), "join-paths")     # a few a run
+    low = classes.select("rep", "first_doc", "n_docs", F.substring("sketch", 1, COORDINATES).alias("low"))
+    facts = paths.join(_likely(low, "rep", paths.select("rep")), "rep")
+    dealt = _blocks(small).join(facts, "rep").select("rep", "path", "a", "b", "side", "first_doc", "n_docs", "paths", "low")
     order = ["path", "a", "b"]
     wanted = materialise(dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(
         _plausible, "rep long, path long, a int, b int, side int, first_doc long, n_docs long, paths array<long>"), "join-plausible")
-    bodies = texts.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("first_doc"), F.col("_text").alias("text"))
-    brought = wanted.join(bodies, "first_doc").select(*wanted.columns, "text")
+    brought = wanted.join(wanted_texts(texts, wanted), "first_doc").select(*wanted.columns, "text")
     found = materialise(brought.repartition(*order).sortWithinPartitions(*order).mapInArrow(_compare, "rep long, root long, links long"), "join-links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     labels = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), "join-components").withColumnRenamed("node", "rep")

@@ -122,3 +122,31 @@ def test_sql_of_the_query(spark, tmp_root):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_root}/documents.parquet/*.parquet')")
     got = con.execute(f"SELECT doc_id, class_id, n_links FROM ({nj.links_sql()}) q").fetchall()
     assert sorted((d is None, d, c, n) for d, c, n in got) == expected(docs)
+
+
+def test_texts_that_nothing_asks_for_stay(spark, monkeypatch):
+    """The join that brings texts sends those of the classes to compare, not the table."""
+    texts = spark.range(20_000).selectExpr("id AS doc_id", "concat('text ', id) AS _text")
+    wanted = spark.range(0, 20_000, 40).selectExpr("id AS first_doc", "id % 7 AS path").unionByName(spark.range(1).selectExpr("id AS first_doc", "id AS path"))
+    got = {r["first_doc"]: r["text"] for r in nj.wanted_texts(texts, wanted).collect()}
+    assert all(got[i] == f"text {i}" for i in range(0, 20_000, 40)) and len(got) < 4_000
+    monkeypatch.setattr(nj, "MOST_BITS", 1 << 8)        # a full map lets others pass, and loses none
+    assert {r["first_doc"] for r in nj.wanted_texts(texts, wanted).collect()} >= set(range(0, 20_000, 40))
+    assert nj.wanted_texts(texts, wanted.where("false")).count() == 0
+
+
+def test_same_links_without_broadcast_joins(spark):
+    docs = [(i, " ".join(edited(prose(i // 10, 80), i % 3, i))) for i in range(120)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows_of(nj.near_duplicates(table(spark, docs))) == expected(docs)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_sketches_by_byte():
+    sketch = np.random.default_rng(3).integers(0, 2 ** 32, (5, nj.COORDINATES), dtype=np.uint64).astype(np.uint32)
+    stored = [r.tobytes() for r in nj._planes(sketch)]
+    assert (nj._sketches_of(nj.pa.array(stored)) == sketch).all()
+    assert (np.frombuffer(stored[0][:nj.COORDINATES], np.uint8) == sketch[0] % 256).all()
