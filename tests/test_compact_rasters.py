@@ -35,8 +35,16 @@ def _rasters(kind, fill, rng):
 def test_compact_rasters_keep_every_value_and_their_order(kind):
     rng, fill = np.random.default_rng(3), 1 if kind != "INT16" else -9999
     raws = _rasters(kind, fill, rng)
-    packed = [rasters._compact_text(base64.b64encode(r)) for r in raws]
-    assert [rasters._compact_text(base64.encodebytes(r)) for r in raws] == packed      # with line breaks
+    texts = [base64.b64encode(r).decode() for r in raws]
+    packed = rasters.compact_texts(texts)
+    assert [rasters.compact_texts([t])[0] for t in texts] == packed
+    broken = [base64.encodebytes(r).decode() for r in raws]       # with line breaks
+    assert rasters.compact_texts([*broken, None]) == [*packed, None]
+    # and one with line breaks among others of its length
+    less = base64.b64encode(raws[3][:-3]).decode()
+    odd = less[:500] + "\r\n\r\n" + less[500:]
+    assert len(odd) == len(texts[3])
+    assert rasters.compact_texts([texts[3], odd, texts[4]]) == [packed[3], *rasters.compact_texts([less]), packed[4]]
     by = lambda key: sorted(range(len(raws)), key=lambda i: (key[i], i))
     assert by(packed) == by(raws)
     c = rasters.CompactRasters(packed, kind)
